@@ -11,33 +11,46 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Bins of a double: 13 leading bits of the mantissa, so 4096 bins per power of two.
-_SPLIT = float(2**40 + 1)
-_HUGE = 1e290
+# Bins per factor e. Logarithms of doubles lie within +-746, so 400,000 keeps the bins
+# of positive values above zero.
+_PER_E = 512
+_SHIFT = 400_000
 
 
 def _bin(value: Column) -> Column:
-    """Value rounded to 13 bits (Veltkamp's splitting). It never reverses an order."""
-    scaled = value * F.lit(_SPLIT)
-    rounded = scaled - (scaled - value)
-    held = F.least(F.greatest(rounded, F.lit(-_HUGE)), F.lit(_HUGE))
-    return F.when(F.abs(value) < F.lit(_HUGE), held).otherwise(value)
+    """Whole number that never falls as the value rises; NaN comes last, as in a sort.
+
+    ``ln`` is semi-monotonic by the Java specification, so rounding cannot swap bins.
+    """
+
+    def size(x: Column) -> Column:
+        return F.floor(F.least(F.ln(x) * F.lit(float(_PER_E)), F.lit(1e6))) + _SHIFT
+
+    return F.when(value > 0, size(value)).when(value < 0, -size(-value)).otherwise(F.lit(0))
 
 
 def exact_quantiles(
     df: DataFrame, keys: list[str], value: str, fractions: dict[str, float]
 ) -> DataFrame:
-    """One row per group with the interpolated quantiles; nulls are left out."""
+    """One row per group with the interpolated quantiles; nulls are left out.
+
+    Counts are moved once to the bins' own partitioning. Bin totals, the join and the
+    ranking all use it, and both branches read the same shuffle; the null filters are
+    spelled out because the join would otherwise add them to one branch only.
+    """
+    rows = df.select(*keys, _bin(F.col(value)).alias("_bin"), F.col(value).alias("_v"))
+    for name in rows.columns:
+        rows = rows.where(F.col(name).isNotNull())
     counts = (
-        df.where(F.col(value).isNotNull())
-        .groupBy(*keys, _bin(F.col(value)).alias("_bin"), F.col(value).alias("_v"))
+        rows.groupBy(*rows.columns)
         .agg(F.count(F.lit(1)).alias("_n"))
+        .repartition(*(F.col(name) for name in (*keys, "_bin")))
     )
     group = Window.partitionBy(*keys)
     so_far = (Window.unboundedPreceding, Window.currentRow)
     bins = (
         counts.groupBy(*keys, "_bin")
-        .agg(F.sum("_n").alias("_bin_n"))
+        .agg(F.sum("_n").alias("_bin_n"), F.max("_v").alias("_top"))
         .withColumn("_upto", F.sum("_bin_n").over(group.orderBy("_bin").rowsBetween(*so_far)))
         .withColumn("_total", F.sum("_bin_n").over(group))
         .withColumn("_before", F.col("_upto") - F.col("_bin_n"))
@@ -52,6 +65,8 @@ def exact_quantiles(
             (F.col("_before") <= F.ceil(spot(fraction)))
             & (F.col("_upto") > F.floor(spot(fraction)))
         )
+    # Reading _v here too keeps both branches on the same columns, hence one shuffle.
+    wanted = wanted & F.col("_top").isNotNull()
     targets = bins.where(wanted).select(*keys, "_bin", "_before", "_total")
     in_bin = Window.partitionBy(*keys, "_bin").orderBy("_v").rowsBetween(*so_far)
     ranked = counts.join(targets, [*keys, "_bin"]).withColumn(

@@ -43,13 +43,19 @@ def ticks(
     values: dict[str, Column | str],
     slice_ms: int | None = None,
 ) -> DataFrame:
-    """Keys ``exchange, symbol, bar, slice, ts, id`` plus the named value columns."""
+    """Keys ``exchange, symbol, bar, slice, ts, id`` plus the named value columns.
+
+    A tick without exchange, symbol or clock belongs to no series and is left out.
+    """
     ts = F.col(ts_column(ts_kind))
     picked = [
         (F.col(value) if isinstance(value, str) else value).alias(name)
         for name, value in values.items()
     ]
-    return df.where(ts.isNotNull()).select(
+    known = ts.isNotNull()
+    for name in SERIES:
+        known = known & F.col(name).isNotNull()
+    return df.where(known).select(
         *SERIES,
         time_bucket(ts, interval_ms(interval)).alias("bar"),
         time_bucket(ts, slice_width(interval, slice_ms)).alias("slice"),

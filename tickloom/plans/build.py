@@ -8,10 +8,10 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.catalogue import BAR, INTERVAL_MS, SERIES, check_dataset
+from tickloom.catalogue import INTERVAL_MS, SERIES, check_dataset
 from tickloom.functions.clock import interval_ms, time_bucket, ts_column
 from tickloom.operators import book_bars, deriv_bars, trade_bars
-from tickloom.operators.slices import DEFAULT_SLICE_MS, finish, slice_width
+from tickloom.operators.slices import finish
 from tickloom.session import shared_folder
 from tickloom.sources.lake import write_lake
 
@@ -20,6 +20,8 @@ MAX_CELL_ROWS = 2_000_000
 _SLICED = {"vtwap", "impact", "updownticks", "run_structure", "returns", "slippage", "l1_price"}
 _QUANTILED = {"trade_size", "range"}
 _SIZED = {"flow", "trade_size"}
+_ORDERED = {"ohlcv", "range", "basis", "funding", "open_interest", "derivative_price"}
+_WIDTHS = ("1m", "15m", "1h")
 
 _BUILDERS = {
     "ohlcv": ("trades", trade_bars.ohlcv),
@@ -46,52 +48,53 @@ _BUILDERS = {
 
 @dataclass(frozen=True)
 class Sizing:
-    """How wide to cut bars, and which quantile method holds, for one input."""
+    """How to cut bars and which methods hold, for one input."""
 
     largest_bar: int
-    largest_cell: int
     slice_ms: int
     quantiles: str
+    id_bits: int | None = None
 
 
 def measure(
-    df: DataFrame, interval: str, ts_kind: str = "exchange", max_rows: int = MAX_CELL_ROWS
+    df: DataFrame,
+    id_column: str,
+    interval: str,
+    ts_kind: str = "exchange",
+    max_rows: int = MAX_CELL_ROWS,
 ) -> Sizing:
-    """Count rows per bar and per slice and pick the widest slice that fits ``max_rows``.
-
-    One pass over the key columns with map-side sums; a single row comes back. Without
-    it the builders use 15-minute slices and the distributed quantiles.
+    """Count rows per bar and per slice, and pick the cheapest plan that is safe.
+
+    One pass over key columns with map-side sums; a single row comes back. Slices get
+    the widest width whose largest slice has at most ``max_rows`` rows (one second if
+    even a minute has more), quantiles stay in memory if every bar is that small, and
+    ids that fit next to the time in one long allow a hash aggregate for first and
+    last. Without a measurement the builders use 15-minute slices, distributed quantiles
+    and struct order keys, which hold for any input.
     """
-    ts = F.col(ts_column(ts_kind))
-    widths = [ms for ms in INTERVAL_MS.values() if ms <= interval_ms(interval)]
-    counts = (
-        df.where(ts.isNotNull())
-        .groupBy(*SERIES, time_bucket(ts, widths[0]).alias("slice"))
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    # Counts per width come from the next finer ones, so the large input is read once.
-    levels = [F.max("n").alias(f"w{widths[0]}")]
-    for width in widths[1:]:
-        counts = counts.groupBy(
-            *SERIES,
-            time_bucket(F.col("slice"), width).alias("slice"),
-        ).agg(
-            F.sum("n").alias("n"),
-            *(F.max(c).alias(c) for c in counts.columns if c.startswith("w")),
-            F.max("n").alias(f"w{widths[widths.index(width) - 1]}"),
+    ts, whole = F.col(ts_column(ts_kind)), interval_ms(interval)
+    widths = [INTERVAL_MS[name] for name in _WIDTHS if INTERVAL_MS[name] < whole] + [whole]
+    counts = df.where(ts.isNotNull()).select(*SERIES, ts.alias("at"), F.col(id_column).alias("id"))
+    rows, peaks = F.count(F.lit(1)), [F.max("id").alias("max_id"), F.min("id").alias("min_id")]
+    for width in widths:
+        # Each level sums the one before, so the input is read and combined once.
+        counts = counts.groupBy(*SERIES, time_bucket(F.col("at"), width).alias("at")).agg(
+            rows.alias("n"), *peaks
         )
-        levels = [F.max(c).alias(c) for c in counts.columns if c.startswith("w")]
-        levels.append(F.max("n").alias(f"w{width}"))
-    row = counts.agg(*levels).first()
-    rows = {width: row[f"w{width}"] or 0 for width in widths}
-    fitting = [width for width in widths if rows[width] <= max_rows]
-    width = max(fitting) if fitting else widths[0]
-    largest = rows[widths[-1]]
+        counts = counts.withColumn(f"peak_{width}", F.col("n"))
+        rows = F.sum("n")
+        names = [name for name in counts.columns if name.startswith(("peak_", "max_id"))]
+        peaks = [F.max(name).alias(name) for name in names] + [F.min("min_id").alias("min_id")]
+    found = counts.agg(*peaks).first()
+    sizes = {width: found[f"peak_{width}"] or 0 for width in widths}
+    fitting = [width for width in widths if sizes[width] <= max_rows]
+    bits, room = (found.max_id or 0).bit_length(), 63 - (whole - 1).bit_length()
+    packable = (found.min_id or 0) >= 0 and bits <= room
     return Sizing(
-        largest_bar=largest,
-        largest_cell=rows[width],
-        slice_ms=width,
-        quantiles="in_memory" if largest <= max_rows else "exact",
+        largest_bar=sizes[whole],
+        slice_ms=max(fitting) if fitting else min(INTERVAL_MS["1s"], whole),
+        quantiles="in_memory" if sizes[whole] <= max_rows else "exact",
+        id_bits=bits if packable else None,
     )
 
 
@@ -113,6 +116,8 @@ def build(
         options["slice_ms"] = sizing.slice_ms
     if sizing is not None and dataset in _QUANTILED:
         options["quantiles"] = sizing.quantiles
+    if sizing is not None and dataset in _ORDERED:
+        options["id_bits"] = sizing.id_bits
     tables = [inputs[source]]
     if dataset == "slippage":
         tables.append(inputs["quotes"])
@@ -171,14 +176,3 @@ def write_price_path(
         paths.append(write_lake(bars, root, dataset, interval, ts_kind))
     return paths
 
-
-__all__ = [
-    "BAR",
-    "DEFAULT_SLICE_MS",
-    "Sizing",
-    "build",
-    "measure",
-    "slice_width",
-    "write_dataset",
-    "write_price_path",
-]
