@@ -15,7 +15,10 @@ SMALL = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     session = local_session(os.environ.get("TEST_CPUS", "8"), "tests")
-    session.conf.set("spark.sql.shuffle.partitions", "4")
+    session.conf.set("spark.sql.shuffle.partitions", "2")
+    # Compiling whole stages takes longer than running them on so few rows; the
+    # registered queries run with it.
+    session.conf.set("spark.sql.codegen.wholeStage", "false")
     yield session
     session.stop()
 
@@ -44,7 +47,10 @@ def quotes(spark):
     """Quotes from (ts, bid, ask, bid_size, ask_size) rows."""
 
     def make(rows, symbol="perpetual-A-USDT:USDT", exchange="binance-futures"):
-        data = [(i, exchange, symbol, row[0], row[0], *row[1:]) for i, row in enumerate(rows)]
+        data = [
+            (i, exchange, symbol, ts, ts, *(None if x is None else float(x) for x in values))
+            for i, (ts, *values) in enumerate(rows)
+        ]
         return spark.createDataFrame(data, catalogue.QUOTES)
 
     return make
