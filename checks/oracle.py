@@ -7,7 +7,7 @@ higher moments from their sums.
 
 from __future__ import annotations
 
-from checks.settings import LIMITS, SLICE_FROM, SLICE_SYMBOL, SLICE_TO, nudge
+from checks.settings import GROUPS, LIMITS, SLICE_FROM, SLICE_SYMBOL, SLICE_TO, nudge
 from tickloom.catalogue import (
     BOOK_DEPTHS,
     DATASETS,
@@ -420,14 +420,16 @@ def _closed(dataset: str, clock: str) -> str:
     return _bar_sql(dataset, "4h", clock, where=f"WHERE timestamp + {end} <= ({late})")
 
 
-def _price_path() -> str:
-    names = ("vtwap", "impact", "updownticks", "returns")
-    joins = " JOIN ".join(
-        f"({_bar_sql(name)}) AS {name}"
-        + ("" if name == "vtwap" else " USING (exchange, symbol, timestamp)")
-        for name in names
-    )
-    return f"SELECT * FROM {joins}"
+def _side_by_side(datasets: tuple[str, ...]) -> str:
+    parts = []
+    for dataset in datasets:
+        names = ", ".join(f"{name} AS {dataset}_{name}" for name in metric_columns(dataset))
+        parts.append(
+            f"(SELECT exchange, symbol, timestamp, {names} FROM ({_bar_sql(dataset)}))"
+        )
+    keys = " USING (exchange, symbol, timestamp)"
+    joined = parts[0] + "".join(f" JOIN {part}{keys}" for part in parts[1:])
+    return f"SELECT * FROM {joined}"
 
 
 def _stamped() -> str:
@@ -456,7 +458,7 @@ def _requests(member: str) -> str:
     strftime(date_trunc('week', ts) + INTERVAL 7 DAY, '%Y-%m-%d') AS end_date
   FROM events)
 SELECT request_id, {keys} FROM requests
-WHERE ({keys}) {member} (SELECT {keys} FROM requests WHERE value >= 400)"""
+WHERE ({keys}) {member} (SELECT {keys} FROM requests WHERE value >= 60)"""
 
 
 def _range(first, last, column: str = "timestamp") -> str:
@@ -544,7 +546,10 @@ FROM (SELECT exchange, symbol, m FROM (SELECT DISTINCT exchange, symbol FROM see
         "X4_stream_ohlcv": _closed("ohlcv", "exchange"),
         "X4_stream_ohlcv_true": _closed("ohlcv", "true"),
         "X4_stream_flow": _closed("flow", "exchange"),
-        "price_path_lake": _price_path(),
+        **{
+            f"L14_write_datasets_{name}": _side_by_side(datasets)
+            for name, datasets in GROUPS.items()
+        },
     }
     for number, dataset in enumerate(DATASETS, start=1):
         out[f"B{number}_{dataset}"] = _bar_sql(dataset)

@@ -8,7 +8,7 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.settings import FIRST_DAY, LAST_DAY, LIMITS, SLICE_FROM, SLICE_SYMBOL, SLICE_TO, nudge
+from checks.settings import FIRST_DAY, GROUPS, LAST_DAY, LIMITS, SLICE_FROM, SLICE_SYMBOL, SLICE_TO, nudge
 from tickloom import get_derivative_metrics, get_metrics, get_ohlcv, get_symbols, get_twap, get_vwap
 from tickloom.catalogue import (
     DATASETS,
@@ -22,7 +22,7 @@ from tickloom.catalogue import (
 from tickloom.functions.clock import DAY_MS, from_epoch_ms, time_bucket
 from tickloom.operators.asof import asof_mid
 from tickloom.operators.resample import resample, vwap_with_volume
-from tickloom.plans.build import build, write_dataset, write_price_path
+from tickloom.plans.build import build, write_dataset, write_datasets
 from tickloom.session import shared_folder
 from tickloom.sources import frames, lake, market, reports
 from tickloom.streaming.bars import stream_flow, stream_ohlcv, write_stream
@@ -100,19 +100,21 @@ def symbols_of(spark, folder):
     return reports.list_symbols(spark, root, EXCHANGE).where(F.col("symbol").isin(names))
 
 
-def price_path_lake(spark, folder):
-    """Four datasets from one pass, read back side by side."""
+def shared_pass(spark, folder, *, datasets):
+    """Datasets of one group, written with one pass and read back side by side."""
     root = shared_folder(spark, "lake")
-    write_price_path(tick_tables(spark, folder)["trades"], root, "4h", "exchange")
-    parts = None
-    names = []
-    for dataset in ("vtwap", "impact", "updownticks", "returns"):
+    tables = tick_tables(spark, folder)
+    write_datasets(datasets, tables, root, "4h", "exchange", limits=LIMITS)
+    parts, names = None, []
+    for dataset in datasets:
+        columns = {name: f"{dataset}_{name}" for name in metric_columns(dataset)}
         part = lake.load(
             spark, root, dataset, "exchange", "4h", EXCHANGE, None, FIRST_DAY, LAST_DAY, sort=False
-        ).select(*KEYS, *metric_columns(dataset))
-        names += metric_columns(dataset)
+        )
+        part = rounded(part, KEYS, list(columns)).withColumnsRenamed(columns)
+        names += columns.values()
         parts = part if parts is None else parts.join(part, KEYS)
-    return rounded(parts, KEYS, names)
+    return parts.select(*KEYS, *names)
 
 
 # Lake ------------------------------------------------------------------------------
@@ -225,7 +227,7 @@ def symbol_prefix(spark, folder):
 
 
 def preview_requests(spark, folder):
-    """One request per event, and the distinct combinations of those of value 400 up."""
+    """One request per event, and the distinct combinations of those of value 60 up."""
     events = market.read_events(spark, folder)
     k = F.get_json_object("props", "$.k").cast("int")
     names = F.array(*map(F.lit, DATASETS))
@@ -241,7 +243,7 @@ def preview_requests(spark, folder):
         F.date_add(F.trunc(F.col("ts").cast("date"), "week"), 7).alias("end_date"),
         "value",
     )
-    whitelist = requests.where(F.col("value") >= 400).select(*reports.PREVIEW_KEYS).distinct()
+    whitelist = requests.where(F.col("value") >= 60).select(*reports.PREVIEW_KEYS).distinct()
     return requests.drop("value"), whitelist
 
 
@@ -376,7 +378,10 @@ def registry():
         "X4_stream_ohlcv": partial(streamed, dataset="ohlcv"),
         "X4_stream_ohlcv_true": partial(streamed, dataset="ohlcv", ts_kind="true"),
         "X4_stream_flow": partial(streamed, dataset="flow"),
-        "price_path_lake": price_path_lake,
+        **{
+            f"L14_write_datasets_{name}": partial(shared_pass, datasets=datasets)
+            for name, datasets in GROUPS.items()
+        },
     }
     for number, dataset in enumerate(DATASETS, start=1):
         found[f"B{number}_{dataset}"] = partial(dataset_bars, dataset=dataset)

@@ -7,6 +7,14 @@ FIRST_DAY, LAST_DAY = date(2020, 1, 1), date(2030, 12, 31)
 SLICE_SYMBOL = "perpetual-S1-USDT:USDT"
 SLICE_FROM, SLICE_TO = date(2024, 1, 5), date(2024, 1, 10)
 
+GROUPS = {
+    "tally": ("ohlcv", "flow", "trade_size", "range"),
+    "path": ("vtwap", "impact", "updownticks", "returns"),
+    "quotes": ("l1_imbalance", "l1_liquidity"),
+    "book": ("l2_imbalance", "l2_liquidity"),
+    "deriv": ("basis", "funding", "open_interest", "derivative_price"),
+}
+
 # Digits to compare; 6 unless named, more for small values.
 DIGITS = {
     "basis_mean": 10,

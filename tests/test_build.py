@@ -3,7 +3,7 @@ from datetime import date
 import pytest
 
 from tests.helpers import same
-from tickloom.plans.build import _BUILDERS, Sizing, build, measure, write_dataset, write_price_path
+from tickloom.plans.build import _BUILDERS, Sizing, build, measure, write_datasets
 from tickloom.sources import lake
 
 FIRST, LAST = date(2024, 1, 1), date(2024, 12, 31)
@@ -37,15 +37,13 @@ def test_sizing_does_not_change_the_result(small, dataset):
 
 
 def test_shared_pass_equals_single_datasets(spark, small, root):
-    names = ("vtwap", "impact", "updownticks", "returns")
-    write_price_path(small["trades"], root, "4h")
+    limits = (700.0, 2400.0)
+    sizing = {"trades": Sizing(9, 3_600_000, "in_memory", 20), "deriv": Sizing(9, 1000, "exact", 20)}
+    names = list(_BUILDERS)
+    paths = write_datasets(names, small, root, "4h", limits=limits, sizing=sizing)
+    assert len(paths) == len(names)
     for name in names:
-        write_dataset(name, small, f"{root}-single", "4h")
-        both = [
-            lake.load(spark, where, name, "exchange", "4h", None, None, FIRST, LAST)
-            for where in (root, f"{root}-single")
-        ]
-        assert both[0].count() > 0
-        same(*both)
-    with pytest.raises(ValueError, match="shared pass"):
-        write_price_path(small["trades"], root, "4h", datasets=["flow"])
+        got = lake.load(spark, root, name, "exchange", "4h", None, None, FIRST, LAST)
+        want = build(name, small, "4h", limits=limits)
+        assert got.count() > 0
+        same(got.select(want.columns), want)

@@ -24,9 +24,12 @@ def test_entry_point_runs(spark):
 
 @pytest.fixture(scope="module", autouse=True)
 def whole_stage(spark):
-    spark.conf.set("spark.sql.codegen.wholeStage", "true")
+    names = ("spark.sql.codegen.wholeStage", "spark.sql.adaptive.enabled")
+    for name in names:
+        spark.conf.set(name, "true")
     yield
-    spark.conf.set("spark.sql.codegen.wholeStage", "false")
+    for name in names:
+        spark.conf.set(name, "false")
 
 
 @pytest.fixture(scope="module")

@@ -88,37 +88,42 @@ def l1_price(
     )
 
 
-def l1_imbalance(quotes: DataFrame, interval: str, ts_kind: str = "exchange") -> DataFrame:
-    """Mean bid/ask size imbalance, ratio and shares at the top of the book."""
-    bid, ask = F.col("bid_size"), F.col("ask_size")
-    bars = (
-        _quote_ticks(quotes, interval, ts_kind)
-        .groupBy(*BAR)
-        .agg(
-            F.avg(ratio(bid - ask, bid + ask)).alias("imbalance"),
-            F.avg(ratio(bid, ask)).alias("ratio"),
-            F.avg(ratio(bid, bid + ask)).alias("bid_pct"),
-            F.avg(ratio(ask, bid + ask)).alias("ask_pct"),
-        )
-    )
-    return finish(bars, "imbalance", "ratio", "bid_pct", "ask_pct")
-
-
-def l1_liquidity(quotes: DataFrame, interval: str, ts_kind: str = "exchange") -> DataFrame:
-    """Mean spread (absolute and in bps of mid), depth and dollar depth."""
+def quote_tally(quotes: DataFrame, interval: str, ts_kind: str = "exchange") -> DataFrame:
+    """Wide bar table behind l1_imbalance and l1_liquidity."""
     bid, ask, bid_size, ask_size = map(F.col, _TOP)
-    mid = (bid + ask) / F.lit(2.0)
-    bars = (
+    size, mid = bid_size + ask_size, (bid + ask) / F.lit(2.0)
+    return (
         _quote_ticks(quotes, interval, ts_kind)
         .groupBy(*BAR)
         .agg(
+            F.avg(ratio(bid_size - ask_size, size)).alias("imbalance"),
+            F.avg(ratio(bid_size, ask_size)).alias("ratio"),
+            F.avg(ratio(bid_size, size)).alias("bid_pct"),
+            F.avg(ratio(ask_size, size)).alias("ask_pct"),
             F.avg(ask - bid).alias("spread"),
             F.avg(ratio((ask - bid) * F.lit(1e4), mid)).alias("spread_bps"),
-            F.avg(bid_size + ask_size).alias("depth"),
+            F.avg(size).alias("depth"),
             F.avg(bid * bid_size + ask * ask_size).alias("dollar_depth"),
         )
     )
-    return finish(bars, "spread", "spread_bps", "depth", "dollar_depth")
+
+
+def l1_imbalance(quotes: DataFrame, interval: str, ts_kind: str = "exchange") -> DataFrame:
+    """Mean bid/ask size imbalance, ratio and shares at the top of the book."""
+    return finish(quote_tally(quotes, interval, ts_kind), *l1_imbalance_columns())
+
+
+def l1_imbalance_columns() -> list[Column]:
+    return [F.col(name) for name in ("imbalance", "ratio", "bid_pct", "ask_pct")]
+
+
+def l1_liquidity(quotes: DataFrame, interval: str, ts_kind: str = "exchange") -> DataFrame:
+    """Mean spread (absolute and in bps of mid), depth and dollar depth."""
+    return finish(quote_tally(quotes, interval, ts_kind), *l1_liquidity_columns())
+
+
+def l1_liquidity_columns() -> list[Column]:
+    return [F.col(name) for name in ("spread", "spread_bps", "depth", "dollar_depth")]
 
 
 def _top_sizes(side: str, depth: int) -> Column:
@@ -136,14 +141,30 @@ def _top_dollars(side: str, depth: int) -> Column:
     return F.aggregate(value, F.lit(0.0), lambda total, x: total + x)
 
 
-def _depth_rows(book, interval, ts_kind, depths):
-    """One row per snapshot with sums over the top levels; arrays end here."""
-    values = {}
+def book_tally(
+    book: DataFrame,
+    interval: str,
+    ts_kind: str = "exchange",
+    *,
+    depths: tuple[int, ...] = BOOK_DEPTHS,
+) -> DataFrame:
+    """Wide bar table behind l2_imbalance and l2_liquidity.
+
+    Each snapshot becomes one row of sums over its top levels before the shuffle; the
+    level arrays go no further.
+    """
+    values, sums = {}, []
     for k in depths:
         for side in ("bid", "ask"):
             values[f"{side}_size_{k}"] = _top_sizes(side, k)
             values[f"{side}_cash_{k}"] = _top_dollars(side, k)
-    return ticks(book, "quote_id", interval, ts_kind, values)
+        for kind, name in (("size", "imbalance"), ("cash", "dollar_imbalance")):
+            bid, ask = F.col(f"bid_{kind}_{k}"), F.col(f"ask_{kind}_{k}")
+            sums.append(F.avg(ratio(bid - ask, bid + ask)).alias(f"{name}_{k}"))
+        for side in ("bid", "ask"):
+            sums.append(F.avg(f"{side}_size_{k}").alias(f"{side}_depth_{k}"))
+            sums.append(F.avg(f"{side}_cash_{k}").alias(f"{side}_dollar_{k}"))
+    return ticks(book, "quote_id", interval, ts_kind, values).groupBy(*BAR).agg(*sums)
 
 
 def l2_imbalance(
@@ -154,18 +175,13 @@ def l2_imbalance(
     depths: tuple[int, ...] = BOOK_DEPTHS,
 ) -> DataFrame:
     """Mean size and dollar imbalance over the top levels."""
+    bars = book_tally(book, interval, ts_kind, depths=depths)
+    return finish(bars, *l2_imbalance_columns(depths))
 
-    def mean_gap(kind: str, k: int) -> Column:
-        bid, ask = F.col(f"bid_{kind}_{k}"), F.col(f"ask_{kind}_{k}")
-        return F.avg(ratio(bid - ask, bid + ask))
 
-    sums = []
-    for k in depths:
-        sums.append(mean_gap("size", k).alias(f"imbalance_{k}"))
-        sums.append(mean_gap("cash", k).alias(f"dollar_imbalance_{k}"))
-    bars = _depth_rows(book, interval, ts_kind, depths).groupBy(*BAR).agg(*sums)
-    names = [f"{name}_{k}" for k in depths for name in ("imbalance", "dollar_imbalance")]
-    return finish(bars, *map(F.col, names))
+def l2_imbalance_columns(depths: tuple[int, ...] = BOOK_DEPTHS) -> list[Column]:
+    names = ("imbalance", "dollar_imbalance")
+    return [F.col(f"{name}_{k}") for k in depths for name in names]
 
 
 def l2_liquidity(
@@ -176,14 +192,10 @@ def l2_liquidity(
     depths: tuple[int, ...] = BOOK_DEPTHS,
 ) -> DataFrame:
     """Mean size and dollar depth over the top levels, per side."""
-    sums = []
-    for k in depths:
-        sums += [
-            F.avg(f"bid_size_{k}").alias(f"bid_depth_{k}"),
-            F.avg(f"ask_size_{k}").alias(f"ask_depth_{k}"),
-            F.avg(f"bid_cash_{k}").alias(f"bid_dollar_{k}"),
-            F.avg(f"ask_cash_{k}").alias(f"ask_dollar_{k}"),
-        ]
-    bars = _depth_rows(book, interval, ts_kind, depths).groupBy(*BAR).agg(*sums)
+    bars = book_tally(book, interval, ts_kind, depths=depths)
+    return finish(bars, *l2_liquidity_columns(depths))
+
+
+def l2_liquidity_columns(depths: tuple[int, ...] = BOOK_DEPTHS) -> list[Column]:
     kinds = ("bid_depth", "ask_depth", "bid_dollar", "ask_dollar")
-    return finish(bars, *(F.col(f"{kind}_{k}") for k in depths for kind in kinds))
+    return [F.col(f"{kind}_{k}") for k in depths for kind in kinds]

@@ -14,103 +14,78 @@ from tickloom.functions.clock import interval_ms
 from tickloom.functions.expr import first_by, last_by, order_key, ratio
 from tickloom.operators.slices import finish, ticks
 
+_OHLC = ("open", "high", "low", "close")
 
-def _bars(deriv: DataFrame, interval: str, ts_kind: str, values: list[str], sums) -> DataFrame:
-    rows = ticks(deriv, "tick_id", interval, ts_kind, {name: name for name in values})
+
+def deriv_tally(
+    deriv: DataFrame, interval: str, ts_kind: str = "exchange", *, id_bits: int | None = None
+) -> DataFrame:
+    """Wide bar table behind all four datasets; unused sums are dropped by Catalyst."""
+    mark, index = F.col("mark_price"), F.col("index_price")
+    rate, held = F.col("funding_rate"), F.col("open_interest")
+    names = ("mark_price", "index_price", "funding_rate", "open_interest")
+    rows = ticks(deriv, "tick_id", interval, ts_kind, {name: name for name in names})
+    order = order_key(F.col("ts"), F.col("id"), interval_ms(interval), id_bits)
+    gap = mark - index
+    sums = [
+        F.avg(gap).alias("basis_mean"),
+        last_by(gap, order).alias("basis_close"),
+        last_by(ratio(gap, index) * F.lit(1e4), order).alias("basis_bps_close"),
+        last_by(rate, order).alias("funding_close"),
+        F.avg(rate).alias("funding_mean"),
+        F.min(rate).alias("funding_min"),
+        F.max(rate).alias("funding_max"),
+        last_by(held * mark, order).alias("oi_notional"),
+    ]
+    for name, value in (("mark", mark), ("index", index), ("oi", held)):
+        sums += [
+            first_by(value, order).alias(f"{name}_open"),
+            F.max(value).alias(f"{name}_high"),
+            F.min(value).alias(f"{name}_low"),
+            last_by(value, order).alias(f"{name}_close"),
+        ]
     return rows.groupBy(*BAR).agg(*sums)
 
 
-def _order(interval: str, id_bits: int | None) -> Column:
-    return order_key(F.col("ts"), F.col("id"), interval_ms(interval), id_bits)
+def basis_columns() -> list[Column]:
+    return [F.col(name) for name in ("basis_mean", "basis_close", "basis_bps_close")]
 
 
-def basis(
-    deriv: DataFrame, interval: str, ts_kind: str = "exchange", *, id_bits: int | None = None
-) -> DataFrame:
+def funding_columns() -> list[Column]:
+    rest = [F.col(f"funding_{name}") for name in ("mean", "min", "max")]
+    return [F.col("funding_close").alias("funding_rate"), *rest]
+
+
+def open_interest_columns() -> list[Column]:
+    """Also used when resampling."""
+    change = (F.col("oi_close") - F.col("oi_open")).alias("oi_change")
+    head = [F.col(f"oi_{name}") for name in _OHLC]
+    return [*head, change, F.col("oi_notional")]
+
+
+def derivative_price_columns() -> list[Column]:
+    return [F.col(f"{kind}_{name}") for kind in ("mark", "index") for name in _OHLC]
+
+
+def basis(deriv: DataFrame, interval: str, ts_kind: str = "exchange", **options) -> DataFrame:
     """Mark minus index: mean, last, and last in bps of index."""
-    gap, order = F.col("mark_price") - F.col("index_price"), _order(interval, id_bits)
-    bars = _bars(
-        deriv,
-        interval,
-        ts_kind,
-        ["mark_price", "index_price"],
-        [
-            F.avg(gap).alias("basis_mean"),
-            last_by(gap, order).alias("basis_close"),
-            last_by(ratio(gap, F.col("index_price")) * F.lit(1e4), order).alias(
-                "basis_bps_close"
-            ),
-        ],
-    )
-    return finish(bars, "basis_mean", "basis_close", "basis_bps_close")
-
-
-def funding(
-    deriv: DataFrame, interval: str, ts_kind: str = "exchange", *, id_bits: int | None = None
-) -> DataFrame:
+    return finish(deriv_tally(deriv, interval, ts_kind, **options), *basis_columns())
+
+
+def funding(deriv: DataFrame, interval: str, ts_kind: str = "exchange", **options) -> DataFrame:
     """Funding rate: last, mean, lowest and highest."""
-    bars = _bars(
-        deriv,
-        interval,
-        ts_kind,
-        ["funding_rate"],
-        [
-            last_by("funding_rate", _order(interval, id_bits)).alias("funding_last"),
-            F.avg("funding_rate").alias("funding_mean"),
-            F.min("funding_rate").alias("funding_min"),
-            F.max("funding_rate").alias("funding_max"),
-        ],
-    )
-    return finish(
-        bars,
-        F.col("funding_last").alias("funding_rate"),
-        "funding_mean",
-        "funding_min",
-        "funding_max",
-    )
+    return finish(deriv_tally(deriv, interval, ts_kind, **options), *funding_columns())
 
 
 def open_interest(
-    deriv: DataFrame, interval: str, ts_kind: str = "exchange", *, id_bits: int | None = None
+    deriv: DataFrame, interval: str, ts_kind: str = "exchange", **options
 ) -> DataFrame:
     """Open interest: first, highest, lowest, last, change, and last notional at mark."""
-    held, order = F.col("open_interest"), _order(interval, id_bits)
-    bars = _bars(
-        deriv,
-        interval,
-        ts_kind,
-        ["open_interest", "mark_price"],
-        [
-            first_by(held, order).alias("oi_open"),
-            F.max(held).alias("oi_high"),
-            F.min(held).alias("oi_low"),
-            last_by(held, order).alias("oi_close"),
-            last_by(held * F.col("mark_price"), order).alias("oi_notional"),
-        ],
-    )
-    return finish(bars, *open_interest_columns())
-
-
-def open_interest_columns() -> list[Column]:
-    """Also used when resampling."""
-    change = (F.col("oi_close") - F.col("oi_open")).alias("oi_change")
-    head = [F.col(f"oi_{name}") for name in ("open", "high", "low", "close")]
-    return [*head, change, F.col("oi_notional")]
+    return finish(deriv_tally(deriv, interval, ts_kind, **options), *open_interest_columns())
 
 
 def derivative_price(
-    deriv: DataFrame, interval: str, ts_kind: str = "exchange", *, id_bits: int | None = None
+    deriv: DataFrame, interval: str, ts_kind: str = "exchange", **options
 ) -> DataFrame:
     """Open, high, low and close of mark and of index price."""
-    order, sums, names = _order(interval, id_bits), [], []
-    for kind in ("mark", "index"):
-        price = F.col(f"{kind}_price")
-        sums += [
-            first_by(price, order).alias(f"{kind}_open"),
-            F.max(price).alias(f"{kind}_high"),
-            F.min(price).alias(f"{kind}_low"),
-            last_by(price, order).alias(f"{kind}_close"),
-        ]
-        names += [f"{kind}_{name}" for name in ("open", "high", "low", "close")]
-    bars = _bars(deriv, interval, ts_kind, ["mark_price", "index_price"], sums)
-    return finish(bars, *map(F.col, names))
+    return finish(deriv_tally(deriv, interval, ts_kind, **options), *derivative_price_columns())

@@ -32,8 +32,10 @@ from tickloom.operators.slices import (
 )
 
 SIZE_LIMITS = (1e3, 1e4)
-TRADE_SIZE_QUANTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75, "p95": 0.95}
-RANGE_QUANTILES = {"p05": 0.05, "p25": 0.25, "p50": 0.5, "p75": 0.75, "p95": 0.95}
+QUANTILES = {
+    "qty": {"p25": 0.25, "p50": 0.5, "p75": 0.75, "p95": 0.95},
+    "price": {"p05": 0.05, "p25": 0.25, "p50": 0.5, "p75": 0.75, "p95": 0.95},
+}
 
 
 def _trade_ticks(trades, interval, ts_kind, slice_ms=None):
@@ -67,23 +69,69 @@ def _size_class(limits: tuple[float, float]) -> dict[str, Column]:
 # Plain aggregates: one shuffle of map-side partial sums ---------------------------
 
 
+def trade_tally(
+    trades: DataFrame,
+    interval: str,
+    ts_kind: str = "exchange",
+    *,
+    limits: tuple[float, float] = SIZE_LIMITS,
+    quantiles: str = "exact",
+    id_bits: int | None = None,
+    spread: tuple[str, ...] = ("qty", "price"),
+) -> DataFrame:
+    """Wide bar table behind ohlcv, flow, trade_size and range.
+
+    A builder selects its columns and Catalyst drops the other sums. ``spread`` names
+    the values whose quantiles are wanted. ``quantiles``: ``exact`` (any bar size),
+    ``in_memory`` (exact, bars known to be small) or ``approx``.
+    """
+    rows = _trade_ticks(trades, interval, ts_kind)
+    order = order_key(F.col("ts"), F.col("id"), interval_ms(interval), id_bits)
+    price, qty, buy = F.col("price"), F.col("qty"), F.col("buy")
+    sums = [
+        first_by("price", order).alias("open"),
+        F.max("price").alias("high"),
+        F.min("price").alias("low"),
+        last_by("price", order).alias("close"),
+        F.sum("qty").alias("volume"),
+        F.min("qty").alias("qty_min"),
+        F.max("qty").alias("qty_max"),
+        F.when(F.count(qty) >= 3, F.skewness(qty)).alias("qty_skew"),
+        F.when(F.count(qty) >= 4, F.kurtosis(qty)).alias("qty_kurt"),
+    ]
+    for name, value in (("qty", qty), ("price", price)):
+        sums.append(F.avg(value).alias(f"{name}_mean"))
+        sums.append(F.stddev_samp(value).alias(f"{name}_std"))
+    for name, inside in {"": F.lit(True), **_size_class(limits)}.items():
+        suffix = f"_{name}" if name else ""
+        for side, on in (("buy", buy & inside), ("sell", ~buy & inside)):
+            sums.append(sum_if(on, qty).alias(f"{side}_volume{suffix}"))
+            sums.append(F.count_if(on).alias(f"{side}_count{suffix}"))
+    wanted = {
+        value: {f"{value}_{name}": point for name, point in QUANTILES[value].items()}
+        for value in spread
+    }
+    if quantiles != "exact":
+        for value, points in wanted.items():
+            sums += quantile_aggregates(value, points, quantiles)
+    bars = rows.groupBy(*BAR).agg(*sums)
+    if quantiles == "exact":
+        for value, points in wanted.items():
+            found = exact_quantiles(rows, list(BAR), value, points)
+            bars = bars.join(found, list(BAR), "left")
+    return bars
+
+
 def ohlcv(
     trades: DataFrame, interval: str, ts_kind: str = "exchange", *, id_bits: int | None = None
 ) -> DataFrame:
     """First, highest, lowest and last price, and traded quantity."""
-    order = order_key(F.col("ts"), F.col("id"), interval_ms(interval), id_bits)
-    bars = (
-        _trade_ticks(trades, interval, ts_kind)
-        .groupBy(*BAR)
-        .agg(
-            first_by("price", order).alias("open"),
-            F.max("price").alias("high"),
-            F.min("price").alias("low"),
-            last_by("price", order).alias("close"),
-            F.sum("qty").alias("volume"),
-        )
-    )
-    return finish(bars, *map(F.col, ("open", "high", "low", "close", "volume")))
+    bars = trade_tally(trades, interval, ts_kind, id_bits=id_bits, spread=())
+    return finish(bars, *ohlcv_columns())
+
+
+def ohlcv_columns() -> list[Column]:
+    return [F.col(name) for name in ("open", "high", "low", "close", "volume")]
 
 
 def flow(
@@ -94,21 +142,7 @@ def flow(
     limits: tuple[float, float] = SIZE_LIMITS,
 ) -> DataFrame:
     """Taker buy and sell volume and count, in total and per size class."""
-    buy, sell, qty = F.col("buy"), ~F.col("buy"), F.col("qty")
-    sums = [
-        sum_if(buy, qty).alias("buy_volume"),
-        sum_if(sell, qty).alias("sell_volume"),
-        F.count_if(buy).alias("buy_count"),
-        F.count_if(sell).alias("sell_count"),
-    ]
-    for name, inside in _size_class(limits).items():
-        sums += [
-            sum_if(buy & inside, qty).alias(f"buy_volume_{name}"),
-            sum_if(sell & inside, qty).alias(f"sell_volume_{name}"),
-            F.count_if(buy & inside).alias(f"buy_count_{name}"),
-            F.count_if(sell & inside).alias(f"sell_count_{name}"),
-        ]
-    bars = _trade_ticks(trades, interval, ts_kind).groupBy(*BAR).agg(*sums)
+    bars = trade_tally(trades, interval, ts_kind, limits=limits, spread=())
     return finish(bars, *flow_columns())
 
 
@@ -131,14 +165,6 @@ def flow_columns() -> list[Column]:
     return out
 
 
-def _with_quantiles(ticks_: DataFrame, sums, value, fractions, method) -> DataFrame:
-    if method == "exact":
-        spread = exact_quantiles(ticks_, list(BAR), value, fractions)
-        return ticks_.groupBy(*BAR).agg(*sums).join(spread, list(BAR), "left")
-    picks = quantile_aggregates(value, fractions, method)
-    return ticks_.groupBy(*BAR).agg(*sums, *picks)
-
-
 def trade_size(
     trades: DataFrame,
     interval: str,
@@ -150,31 +176,22 @@ def trade_size(
     """Volume and count per size class, and the distribution of trade quantity.
 
     ``std`` is the sample value; ``skew`` and ``kurt`` (excess) are population values,
-    null below 3 and 4 trades. ``quantiles``: ``exact`` (any bar size), ``in_memory``
-    (exact, bars known to be small) or ``approx``.
+    null below 3 and 4 trades.
     """
-    qty = F.col("qty")
-    sums = []
-    for name, inside in _size_class(limits).items():
-        sums += [
-            sum_if(inside, qty).alias(f"volume_{name}"),
-            F.count_if(inside).alias(f"count_{name}"),
-        ]
-    count = F.count(qty)
-    sums += [
-        F.avg(qty).alias("mean"),
-        F.stddev_samp(qty).alias("std"),
-        F.min(qty).alias("min"),
-        F.max(qty).alias("max"),
-        F.when(count >= 3, F.skewness(qty)).alias("skew"),
-        F.when(count >= 4, F.kurtosis(qty)).alias("kurt"),
-    ]
-    bars = _with_quantiles(
-        _trade_ticks(trades, interval, ts_kind), sums, "qty", TRADE_SIZE_QUANTILES, quantiles
+    bars = trade_tally(
+        trades, interval, ts_kind, limits=limits, quantiles=quantiles, spread=("qty",)
     )
-    names = [f"{kind}_{name}" for name in SIZE_CLASSES for kind in ("volume", "count")]
-    names += ["mean", "std", "min", "max", *TRADE_SIZE_QUANTILES, "skew", "kurt"]
-    return finish(bars, *map(F.col, names))
+    return finish(bars, *trade_size_columns())
+
+
+def trade_size_columns() -> list[Column]:
+    out = []
+    for kind in ("volume", "count"):
+        for name in SIZE_CLASSES:
+            both = F.col(f"buy_{kind}_{name}") + F.col(f"sell_{kind}_{name}")
+            out.append(both.alias(f"{kind}_{name}"))
+    names = ("mean", "std", "min", "max", *QUANTILES["qty"], "skew", "kurt")
+    return out + [F.col(f"qty_{name}").alias(name) for name in names]
 
 
 def price_range(
@@ -186,28 +203,22 @@ def price_range(
     id_bits: int | None = None,
 ) -> DataFrame:
     """High-low range, Parkinson (1980) variance and the distribution of price."""
-    price = F.col("price")
-    order = order_key(F.col("ts"), F.col("id"), interval_ms(interval), id_bits)
-    sums = [
-        first_by(price, order).alias("open"),
-        F.max(price).alias("high"),
-        F.min(price).alias("low"),
-        F.avg(price).alias("mean"),
-        F.stddev_samp(price).alias("std"),
-    ]
-    bars = _with_quantiles(
-        _trade_ticks(trades, interval, ts_kind), sums, "price", RANGE_QUANTILES, quantiles
+    bars = trade_tally(
+        trades, interval, ts_kind, quantiles=quantiles, id_bits=id_bits, spread=("price",)
     )
+    return finish(bars, *range_columns())
+
+
+def range_columns() -> list[Column]:
     spread = F.col("high") - F.col("low")
     log_range = F.ln(ratio(F.col("high"), F.col("low")))
-    return finish(
-        bars,
+    return [
         spread.alias("range"),
         ratio(spread, F.col("open")).alias("range_pct"),
         log_range.alias("log_range"),
         (log_range * log_range / F.lit(4 * math.log(2))).alias("parkinson_var"),
-        *map(F.col, ("mean", "std", *RANGE_QUANTILES)),
-    )
+        *(F.col(f"price_{n}").alias(n) for n in ("mean", "std", *QUANTILES["price"])),
+    ]
 
 
 # Order-dependent measures: cells in time order, stitched per bar -------------------

@@ -136,43 +136,111 @@ def write_dataset(
     return write_lake(bars, root, dataset, interval, ts_kind)
 
 
-_PATH_COLUMNS = {
-    "vtwap": trade_bars.vtwap_columns,
-    "impact": trade_bars.impact_columns,
-    "updownticks": trade_bars.updowntick_columns,
-    "returns": trade_bars.return_columns,
-}
+# Datasets cut from one wide bar table: input, its builder, and columns per dataset.
+_FAMILIES = (
+    (
+        "trades",
+        trade_bars.trade_tally,
+        {
+            "ohlcv": trade_bars.ohlcv_columns,
+            "flow": trade_bars.flow_columns,
+            "trade_size": trade_bars.trade_size_columns,
+            "range": trade_bars.range_columns,
+        },
+    ),
+    (
+        "trades",
+        trade_bars.price_path,
+        {
+            "vtwap": trade_bars.vtwap_columns,
+            "impact": trade_bars.impact_columns,
+            "updownticks": trade_bars.updowntick_columns,
+            "returns": trade_bars.return_columns,
+        },
+    ),
+    (
+        "quotes",
+        book_bars.quote_tally,
+        {
+            "l1_imbalance": book_bars.l1_imbalance_columns,
+            "l1_liquidity": book_bars.l1_liquidity_columns,
+        },
+    ),
+    (
+        "book",
+        book_bars.book_tally,
+        {
+            "l2_imbalance": book_bars.l2_imbalance_columns,
+            "l2_liquidity": book_bars.l2_liquidity_columns,
+        },
+    ),
+    (
+        "deriv",
+        deriv_bars.deriv_tally,
+        {
+            "basis": deriv_bars.basis_columns,
+            "funding": deriv_bars.funding_columns,
+            "open_interest": deriv_bars.open_interest_columns,
+            "derivative_price": deriv_bars.derivative_price_columns,
+        },
+    ),
+)
+
+
+def _wide_options(builder, wanted, limits, sizing: Sizing | None) -> dict:
+    options = {}
+    if builder is trade_bars.trade_tally:
+        values = {"trade_size": "qty", "range": "price"}
+        options["spread"] = tuple(values[name] for name in wanted if name in values)
+        if limits is not None:
+            options["limits"] = limits
+        if sizing is not None:
+            options |= {"quantiles": sizing.quantiles, "id_bits": sizing.id_bits}
+    elif sizing is not None and builder is trade_bars.price_path:
+        options["slice_ms"] = sizing.slice_ms
+    elif sizing is not None and builder is deriv_bars.deriv_tally:
+        options["id_bits"] = sizing.id_bits
+    return options
 
 
-def write_price_path(
-    trades: DataFrame,
+def write_datasets(
+    datasets: Sequence[str],
+    inputs: dict[str, DataFrame],
     root: str,
     interval: str,
     ts_kind: str = "exchange",
-    datasets: Sequence[str] = tuple(_PATH_COLUMNS),
     *,
-    sizing: Sizing | None = None,
+    limits: tuple[float, float] | None = None,
+    sizing: dict[str, Sizing] | None = None,
 ) -> list[str]:
-    """Write vtwap, impact, updownticks and returns from one pass over the trades.
+    """Write several datasets with one pass per group that shares its work.
 
-    Their common wide bar table is written once to the shared folder (not cached: it
-    survives lost executors) and each dataset is cut from it.
+    Ten trade datasets need four passes over the trades, four derivative datasets one.
+    A group's wide bar table is written once to the shared folder (not cached, so it
+    survives lost executors) and the datasets are cut from it. ``sizing`` holds the
+    measurement of each input by name.
     """
-    unknown = set(datasets) - set(_PATH_COLUMNS)
-    if unknown:
-        raise ValueError(f"not part of the shared pass: {', '.join(sorted(unknown))}")
-    spark = trades.sparkSession
-    width = sizing.slice_ms if sizing else None
-    wide = trade_bars.price_path(trades, interval, ts_kind, slice_ms=width)
-    staged = shared_folder(spark, "price-path")
-    wide.write.parquet(staged)
-    wide = spark.read.schema(wide.schema).parquet(staged)
+    sizing = sizing or {}
+    left = [check_dataset(name) for name in dict.fromkeys(datasets)]
     paths = []
-    for dataset in datasets:
-        bars = wide
-        if dataset == "returns":
-            bars = trade_bars.with_previous_close(wide, interval)
-        bars = finish(bars, *_PATH_COLUMNS[dataset]())
-        paths.append(write_lake(bars, root, dataset, interval, ts_kind))
+    for source, builder, members in _FAMILIES:
+        wanted = [name for name in left if name in members]
+        if len(wanted) < 2:
+            continue
+        options = _wide_options(builder, wanted, limits, sizing.get(source))
+        wide = builder(inputs[source], interval, ts_kind, **options)
+        spark, staged = wide.sparkSession, shared_folder(wide.sparkSession, "bars")
+        wide.write.parquet(staged)
+        wide = spark.read.schema(wide.schema).parquet(staged)
+        for name in wanted:
+            bars = wide
+            if name == "returns":
+                bars = trade_bars.with_previous_close(wide, interval)
+            bars = finish(bars, *members[name]())
+            paths.append(write_lake(bars, root, name, interval, ts_kind))
+            left.remove(name)
+    for name in left:
+        size = sizing.get(_BUILDERS[name][0])
+        options = {"limits": limits, "sizing": size}
+        paths.append(write_dataset(name, inputs, root, interval, ts_kind, **options))
     return paths
-
