@@ -19,7 +19,6 @@ def spark(tmp_path_factory):
     # Compiling whole stages takes longer than running them on so few rows; the
     # registered queries run with it.
     session.conf.set("spark.sql.codegen.wholeStage", "false")
-    session.conf.set("spark.sql.adaptive.enabled", "false")
     yield session
     session.stop()
 

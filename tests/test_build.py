@@ -3,7 +3,7 @@ from datetime import date
 import pytest
 
 from tests.helpers import same
-from tickloom.plans.build import _BUILDERS, Sizing, build, measure, write_datasets
+from tickloom.plans.build import Sizing, build, measure, write_datasets
 from tickloom.sources import lake
 
 FIRST, LAST = date(2024, 1, 1), date(2024, 12, 31)
@@ -29,21 +29,31 @@ def test_measure_sees_ids_that_cannot_be_packed(trades):
         assert measure(df, "trade_id", "1d").id_bits is None
 
 
-@pytest.mark.parametrize("dataset", sorted(_BUILDERS))
+SIZED = ("ohlcv", "trade_size", "range", "impact", "slippage", "l1_price", "basis", "flow")
+
+
+@pytest.mark.parametrize("dataset", SIZED)
 def test_sizing_does_not_change_the_result(small, dataset):
     plain = build(dataset, small, "1d", "true")
     for sizing in (Sizing(9, 86_400_000, "in_memory", 20), Sizing(9, 60_000, "exact")):
         same(build(dataset, small, "1d", "true", sizing=sizing), plain)
 
 
-def test_shared_pass_equals_single_datasets(spark, small, root):
-    limits = (700.0, 2400.0)
-    sizing = {"trades": Sizing(9, 3_600_000, "in_memory", 20), "deriv": Sizing(9, 1000, "exact", 20)}
-    names = list(_BUILDERS)
-    paths = write_datasets(names, small, root, "4h", limits=limits, sizing=sizing)
+GROUPS = {
+    "tally": ("ohlcv", "trade_size"),
+    "path": ("vtwap", "returns"),
+    "single": ("run_structure", "l2_liquidity", "funding"),
+}
+
+
+@pytest.mark.parametrize("group", sorted(GROUPS))
+def test_shared_pass_equals_single_datasets(spark, small, root, group):
+    names = GROUPS[group]
+    sizing = {"trades": Sizing(9, 3_600_000, "in_memory", 20)}
+    options = {"limits": (700.0, 2400.0)}
+    paths = write_datasets(names, small, root, "1d", sizing=sizing, **options)
     assert len(paths) == len(names)
     for name in names:
-        got = lake.load(spark, root, name, "exchange", "4h", None, None, FIRST, LAST)
-        want = build(name, small, "4h", limits=limits)
-        assert got.count() > 0
+        got = lake.load(spark, root, name, "exchange", "1d", None, None, FIRST, LAST, sort=False)
+        want = build(name, small, "1d", **options)
         same(got.select(want.columns), want)

@@ -37,7 +37,7 @@ def test_against_numpy(spark):
 
 
 @settings(
-    max_examples=8,
+    max_examples=4,
     deadline=None,
     suppress_health_check=[HealthCheck.function_scoped_fixture, HealthCheck.too_slow],
 )

@@ -71,9 +71,13 @@ def write_lake(
     )
     folders = [name for name in PARTITIONS if name not in ("interval", "ts_kind")]
     path = f"{root}/{dataset}/interval={interval}/ts_kind={ts_kind}"
+    by_folder = [F.col(name) for name in folders]
+    if rows.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
+        rows = rows.hint("rebalance", *by_folder)
+    else:  # the hint would be ignored
+        rows = rows.repartition(*by_folder)
     (
-        rows.hint("rebalance", *(F.col(name) for name in folders))
-        .sortWithinPartitions(*folders, "timestamp")
+        rows.sortWithinPartitions(*folders, "timestamp")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*folders)
