@@ -16,9 +16,6 @@ SMALL = "/root/testdata/sf0.001"
 def spark(tmp_path_factory):
     session = local_session(os.environ.get("TEST_CPUS", "8"), "tests")
     session.conf.set("spark.sql.shuffle.partitions", "2")
-    # Compiling whole stages takes longer than running them on so few rows; the
-    # registered queries run with it.
-    session.conf.set("spark.sql.codegen.wholeStage", "false")
     yield session
     session.stop()
 

@@ -26,13 +26,6 @@ def test_entry_point_runs(spark):
     assert df.count() > 0 and "close" in df.columns
 
 
-@pytest.fixture(scope="module", autouse=True)
-def whole_stage(spark):
-    spark.conf.set("spark.sql.codegen.wholeStage", "true")
-    yield
-    spark.conf.set("spark.sql.codegen.wholeStage", "false")
-
-
 @pytest.fixture(scope="module")
 def duck():
     return connect(SMALL)
