@@ -1,7 +1,7 @@
 """Time the headline queries; prints one JSON line.
 
 ``BENCH_SF_DIR`` (default /root/testdata/sf0.1) and ``BENCH_CPUS`` (default 8) choose
-input and cores. A query is run three times over the whole table, the fastest run counts.
+input and cores. A query is run twice over the whole table, the faster run counts.
 """
 
 from __future__ import annotations
@@ -22,8 +22,6 @@ ALSO = (
     "X2_asof_join",
     "X3_resample_ohlcv",
     "X4_stream_ohlcv",
-    "L14_write_datasets_tally",
-    "L14_write_datasets_path",
 )
 
 
@@ -35,7 +33,7 @@ def main() -> None:
     seconds = {}
     for name in names:
         runs = []
-        for _ in range(3):
+        for _ in range(2):
             start = time.perf_counter()
             queries[name](spark, FOLDER).write.format("noop").mode("overwrite").save()
             runs.append(time.perf_counter() - start)
