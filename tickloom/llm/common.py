@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import functools
+import tempfile
+import zipfile
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,6 +33,27 @@ def stage(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@functools.cache
+def _shipped(application: str, package: Path) -> str:
+    path = Path(tempfile.mkdtemp(prefix="ship-"), f"{package.name}_code.zip")
+    with zipfile.ZipFile(path, "w") as archive:
+        for file in sorted(package.rglob("*.py")):
+            archive.write(file, str(file.relative_to(package.parent)))
+    return str(path)
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package's code (a few KB) to the executors, once per application.
+
+    Python functions in a plan are found there by name, wherever the driver was started.
+    """
+    context = spark.sparkContext
+    before = _shipped.cache_info().misses
+    path = _shipped(context.applicationId, Path(__file__).resolve().parents[1])
+    if _shipped.cache_info().misses > before:
+        context.addPyFile(path)
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body(value)`` with ``value`` computed once, however often the body names it."""
     return F.transform(F.array(value), body)[0]

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, quality
+from . import licenses, mixing, packing, quality
 from .common import table
 
 
@@ -28,8 +28,16 @@ def op2_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op3_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack_documents(table(spark, folder, "documents"))
+
+
+def op5_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.digest(licenses.scan(table(spark, folder, "documents")))
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_mixing, op2_quality_rules]
+    found = [op1_mixing, op2_quality_rules, op3_best_fit_packing, op5_license_scan]
     return {query.__name__: query for query in found}
 
 
