@@ -16,8 +16,10 @@ from __future__ import annotations
 
 import functools
 import zlib
+from array import array
 from collections import defaultdict
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -30,11 +32,13 @@ from .common import ship, stage
 
 CAPACITY = 2048
 GROUP = 8192
-EFFORT = 200
-#: Words of which a worker keeps the ids.
-CACHED_WORDS = 400_000
+EFFORT = 100
+#: Bins with the most room that a one-for-two exchange is tried with.
+ROOMY = 64
+#: Words of which a worker keeps the ids; the first ones it meets hold the frequent ones.
+CACHED_WORDS = 1_200_000
 #: Texts tokenised together.
-AT_ONCE = 256
+AT_ONCE = 1024
 
 
 def vocabulary_path() -> str:
@@ -64,15 +68,15 @@ def encode(texts: list[str | None], path: str) -> list[bytes]:
     out = []
     for k in range(0, len(texts), AT_ONCE):
         split = [t.encode().split() if t else [] for t in texts[k : k + AT_ONCE]]
-        new = list({w for words in split for w in words if w not in known})
-        if len(known) + len(new) > CACHED_WORDS:
-            known.clear()
-            new = list({w for words in split for w in words})
+        here: dict[bytes, bytes | None] = dict.fromkeys(chain.from_iterable(split))
+        here = {w: known.get(w) for w in here}
+        new = [w for w, ids in here.items() if ids is None]
         encoded = tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
-        known.update(
-            (w, np.array(e.ids, dtype="<u4").tobytes()) for w, e in zip(new, encoded, strict=True)
-        )
-        out += [b"".join(map(known.__getitem__, words)) for words in split]
+        fresh = {w: array("I", e.ids).tobytes() for w, e in zip(new, encoded, strict=True)}
+        here |= fresh
+        if len(known) < CACHED_WORDS:
+            known.update(fresh)
+        out += [b"".join(map(here.__getitem__, words)) for words in split]
     return out
 
 
@@ -170,7 +174,7 @@ def _exchange(bins: list[list[int]], fill: np.ndarray, low: int, lengths, capaci
             if gain[k] > best[0]:
                 best = (int(gain[k]), ([mine[a], mine[b]], [int(item_of[k])], int(owner[k])))
     if best[1] is None:
-        for to in others.tolist():  # one of this bin for two of another
+        for to in others[np.argsort(-room, kind="stable")[:ROOMY]].tolist():  # one for two
             theirs, gap = bins[to], capacity - fill[to]
             pairs = lengths[theirs][:, None] + lengths[theirs][None, :]
             pairs[np.tril_indices(len(theirs))] = capacity + 1

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import licenses, mixing, packing, quality
+from . import embeddings, licenses, lines, mixing, packing, quality, quality_model, toxicity
 from .common import table
 
 
@@ -32,12 +33,40 @@ def op3_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(table(spark, folder, "documents"))
 
 
+def op4_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    cut = lines.dedup_lines(table(spark, folder, "documents"))
+    return cut.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op5_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.digest(licenses.scan(table(spark, folder, "documents")))
 
 
+def op6_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, folder, "embeddings"))
+
+
+def op7_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_model.classify(
+        table(spark, folder, "documents"), table(spark, folder, "labels")
+    )
+
+
+def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_mixing, op2_quality_rules, op3_best_fit_packing, op5_license_scan]
+    found = [
+        op1_mixing,
+        op2_quality_rules,
+        op3_best_fit_packing,
+        op4_line_dedup,
+        op5_license_scan,
+        op6_embedding_dedup,
+        op7_quality_classifier,
+        op8_toxicity,
+    ]
     return {query.__name__: query for query in found}
 
 
