@@ -6,6 +6,7 @@ round is written to the shared folder; only a count and a checksum reach the dri
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -48,3 +49,23 @@ def components(edges: DataFrame) -> DataFrame:
             )
         before = now
         edges = stage(_star(_star(edges, large=True), large=False), "edges")
+
+
+def local_roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Least of n rows reachable from each over links (a, b), inside one task."""
+    root = np.arange(n)
+    while True:
+        low, before = np.minimum(root[a], root[b]), root.copy()
+        np.minimum.at(root, a, low)
+        np.minimum.at(root, b, low)
+        root = root[root]
+        if (root == before).all():
+            return root
+
+
+def least_ids(ids: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Smallest id reachable from each row over links (a, b) between rows."""
+    order = np.argsort(ids, kind="stable")
+    rank = np.empty_like(order)
+    rank[order] = np.arange(len(ids))
+    return ids[order][local_roots(len(ids), rank[a], rank[b])[rank]]

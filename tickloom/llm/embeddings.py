@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from .common import ship, stage
-from .components import components
+from .components import components, least_ids
 
 THRESHOLD = 0.9
 RECALL = 0.97
@@ -99,18 +99,6 @@ def _signatures(bits: int, tables: int, kind: str, schema: pa.Schema):
     return apply
 
 
-def _roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Least row reachable from each of n rows over links (a, b)."""
-    root = np.arange(n)
-    while True:
-        low, before = np.minimum(root[a], root[b]), root.copy()
-        np.minimum.at(root, a, low)
-        np.minimum.at(root, b, low)
-        root = root[root]
-        if (root == before).all():
-            return root
-
-
 def _compare(threshold: float, kind: str):
     def links(group: pd.DataFrame, table: int) -> pd.DataFrame | None:
         """Links inside the buckets (or pairs of blocks) of vectors of one dimension."""
@@ -144,10 +132,7 @@ def _compare(threshold: float, kind: str):
             return None
         copies, ids = group["copies"].to_numpy(), group["vec_id"].to_numpy()
         n = np.bincount(a, copies[b], len(x)) + np.bincount(b, copies[a], len(x))
-        order = np.argsort(ids, kind="stable")
-        rank = np.empty_like(order)
-        rank[order] = np.arange(len(x))
-        least = ids[order][_roots(len(x), rank[a], rank[b])[rank]]
+        least = least_ids(ids, a, b)
         hit = np.flatnonzero(n)
         return pd.DataFrame(
             {"vec_id": ids[hit], "links": n[hit].astype(np.int64), "least": least[hit]}

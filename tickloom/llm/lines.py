@@ -24,12 +24,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from .common import ship, stage
+from .common import MAP_BITS, bit_map, ship, stage
 
 SPAN = 2
 DIVISOR = 3
-#: Bits of the map of repeated hashes; more set bits only mean more chunks to compare.
-MAP_BITS = 1 << 23
 _MIX = 0x9E3779B97F4A7C15
 
 
@@ -109,15 +107,7 @@ def repeated_chunks(docs: DataFrame) -> DataFrame:
         .count()
         .where("count > 1")
     )
-    bits = np.zeros(MAP_BITS // 8, dtype=np.uint8)
-    place = F.pmod("key", F.lit(MAP_BITS))
-    words = (
-        counted.select((place / 32).cast("int").alias("word"), (place % 32).alias("bit"))
-        .groupBy("word")
-        .agg(F.bit_or(F.expr("shiftleft(1L, cast(bit as int))")).alias("mask"))
-        .toPandas()
-    )  # MAP_BITS / 32 rows at most
-    bits.view("<u4")[words["word"].to_numpy()] = words["mask"].to_numpy().astype("<u4")
+    bits = bit_map(counted, "key")
     schema = T.StructType(
         [
             docs.schema["doc_id"],

@@ -7,7 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import embeddings, licenses, lines, mixing, packing, quality, quality_model, toxicity
+from . import (
+    embeddings,
+    licenses,
+    lines,
+    mixing,
+    ngram_join,
+    packing,
+    quality,
+    quality_model,
+    toxicity,
+)
 from .common import table
 
 
@@ -56,6 +66,10 @@ def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op10_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.join(table(spark, folder, "documents"))
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [
         op1_mixing,
@@ -66,6 +80,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op6_embedding_dedup,
         op7_quality_classifier,
         op8_toxicity,
+        op10_ngram_jaccard,
     ]
     return {query.__name__: query for query in found}
 
