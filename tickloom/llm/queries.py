@@ -16,6 +16,7 @@ from . import (
     packing,
     quality,
     quality_model,
+    repeats,
     toxicity,
 )
 from .common import table
@@ -66,6 +67,11 @@ def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op9_repeated_strings(spark: SparkSession, folder: str) -> DataFrame:
+    cut = repeats.remove_repeats(table(spark, folder, "documents"))
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op10_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.join(table(spark, folder, "documents"))
 
@@ -80,6 +86,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op6_embedding_dedup,
         op7_quality_classifier,
         op8_toxicity,
+        op9_repeated_strings,
         op10_ngram_jaccard,
     ]
     return {query.__name__: query for query in found}
