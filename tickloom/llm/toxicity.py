@@ -9,6 +9,8 @@ sentences that explain the label, which are then located. Fitted on the driver o
 
 from __future__ import annotations
 
+from itertools import chain
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -85,17 +87,18 @@ def fit(texts: list[str | None], y: np.ndarray) -> Model:
     """
     if not len(texts) or y.min() == y.max():
         return Model({}, START)
-    split = [[set(s.split()) for s in sentences(t)] for t in texts]
     in_docs: dict[bytes, int] = {}
-    for doc in split:
-        for word in set().union(*doc):
+    for text in texts:
+        for word in {w for s in sentences(text) for w in s.split()}:
             in_docs[word] = in_docs.get(word, 0) + 1
     least = max(3, len(texts) // 1000)
     number = {w: k for k, w in enumerate(sorted(w for w, n in in_docs.items() if n >= least))}
-    docs = []
-    for doc in split:
-        index = [[number[w] for w in sorted(s) if w in number] for s in doc]
-        docs.append((np.array([len(i) for i in index]), np.array(sum(index, []), dtype=np.int64)))
+    del in_docs
+    docs = []  # word numbers of all sentences, and how many each sentence has
+    for text in texts:
+        index = [sorted({number[w] for w in s.split() if w in number}) for s in sentences(text)]
+        lengths = np.array([len(i) for i in index], dtype=np.int32)
+        docs.append((lengths, np.fromiter(chain.from_iterable(index), np.int32, lengths.sum())))
     weights, bias = np.zeros(len(number)), START
     seen, seen_bias = np.full(len(number), 1e-8), 1e-8
     random = np.random.default_rng(5)
