@@ -26,19 +26,21 @@ WINDOW = 5
 
 
 class Rule(NamedTuple):
-    """``metric`` must lie within ``low`` and ``high``; None leaves a side open."""
+    """``metric`` must lie within ``low`` and ``high`` (None leaves a side open) in texts of
+    ``words`` words or more."""
 
     metric: str
     low: float | None
     high: float | None
+    words: int = 0
 
 
 RULES = (
     Rule("n_words", 10, None),
     Rule("mean_word_chars", 2.0, 15.0),
     Rule("symbol_ratio", None, 0.3),
-    Rule("stop_word_ratio", 0.05, None),
-    Rule("dup_line_ratio", None, 0.3),
+    Rule("stop_word_ratio", 0.05, None, words=30),
+    Rule("dup_line_ratio", None, 0.4),
     Rule("repeat_word_ratio", None, 0.2),
 )
 COUNTS = (
@@ -159,10 +161,11 @@ def verdict(m: Column, rules: Sequence[Rule] = RULES) -> Column:
     known = ratios(m)
     holds = F.lit(True)
     for rule in rules:
+        short = m["n_words"] < rule.words
         if rule.low is not None:
-            holds = holds & F.coalesce(known[rule.metric] >= rule.low, F.lit(False))
+            holds = holds & (short | F.coalesce(known[rule.metric] >= rule.low, F.lit(False)))
         if rule.high is not None:
-            holds = holds & F.coalesce(known[rule.metric] <= rule.high, F.lit(False))
+            holds = holds & (short | F.coalesce(known[rule.metric] <= rule.high, F.lit(False)))
     return holds
 
 
@@ -207,7 +210,7 @@ def _sql() -> str:
         "dup_line_ratio": "n_dup_lines::DOUBLE / nullif(n_lines, 0)",
     }
     holds = " AND ".join(
-        f"coalesce({known[r.metric]} {op} {limit}, false)"
+        f"(n_words < {r.words} OR coalesce({known[r.metric]} {op} {limit}, false))"
         for r in RULES
         for op, limit in ((">=", r.low), ("<=", r.high))
         if limit is not None
