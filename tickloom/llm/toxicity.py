@@ -71,7 +71,7 @@ class Model:
             raw = (text or "").encode()
             first = len(raw[:start].decode(errors="ignore"))
             length = len(raw[start : start + len(found[worst])].decode(errors="ignore"))
-            score = float(-np.expm1(np.log1p(-p).sum()))
+            score = float(-np.expm1(np.log1p(-np.minimum(p, 1 - 1e-12)).sum()))
             for name, x in zip(
                 names, (score, worst, first, first + length, float(p[worst])), strict=True
             ):
@@ -109,7 +109,7 @@ def fit(texts: list[str | None], y: np.ndarray) -> Model:
             doc = np.repeat(np.arange(len(rows)), [len(docs[k][0]) for k in rows])
             sentence = np.repeat(np.arange(len(counts)), counts)
             z = bias + np.bincount(sentence, weights[index], len(counts))
-            p = learn.sigmoid(z)
+            p = np.minimum(learn.sigmoid(z), 1 - 1e-12)
             clean = np.bincount(doc, np.log1p(-p), len(rows))
             toxic = -np.expm1(clean)
             odds = np.exp(clean) / np.maximum(toxic, 1e-12)
