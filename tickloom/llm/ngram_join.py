@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from .common import bit_map, map_place, ship, stage
+from .common import bit_map, map_place, parts, ship, stage
 from .components import components, least_ids
 
 #: Words of a shingle.
@@ -230,7 +230,7 @@ def _verify(group: pd.DataFrame) -> pd.DataFrame:
 def _count(schema: pa.Schema):
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(COUNTERS, dtype=np.int64)
-        for batch in batches:
+        for batch in parts(batches):
             for text in batch.column(0).to_pylist():
                 places = (shingles(text) & np.uint64(COUNTERS - 1)).astype(np.int64)
                 np.add.at(counts, places, 1)
@@ -242,7 +242,7 @@ def _count(schema: pa.Schema):
 
 def _describe(frequent: np.ndarray, schema: pa.Schema):
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts(batches):
             n, key, where, prefix = [], [], [], []
             for text in batch.column(1).to_pylist():
                 s = shingles(text)
@@ -271,7 +271,7 @@ def _sets(bits: np.ndarray, schema: pa.Schema):
     """Sets of the documents whose bit is set."""
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts(batches):
             place = batch.column(2).to_numpy()
             rows = pa.array(np.flatnonzero(bits[place >> 3] >> (place & 7) & 1))
             texts = batch.column(1).take(rows).to_pylist()
@@ -335,17 +335,15 @@ def join(docs: DataFrame) -> DataFrame:
     described = stage(mapped(docs, _describe, described, frequent), "shingles")
     sets = described.where("key is not null").groupBy("key").agg(F.min("doc_id").alias("rep"))
     sets = stage(sets.where("rep is not null"), "sets")
-    reps = (
-        described.join(sets, "key")
-        .where("doc_id = rep")
-        .select("rep", "key", "n", "point", "prefix")
-    )
-    tokens = reps.select("rep", "n", "point", F.explode("prefix").alias("token"))
-    shared = tokens.groupBy("token").count().where("count > 1").select("token")
+    reps = described.join(sets, "key").where("doc_id = rep")
+    # Shingles travel alone until it is known which of them several documents share.
+    tokens = reps.select("rep", F.explode("prefix").alias("token"))
+    shared = stage(tokens.groupBy("token").count().where("count > 1").select("token"), "shared")
     meeting = stage(tokens.join(shared, "token"), "meeting")
     edge = schema(a=long, b=long)
     near = (
         _spread(meeting, "token", BLOCK, UNIT, meeting.count())
+        .join(reps.select("rep", "n", "point"), "rep")
         .groupBy("unit")
         .applyInPandas(_meet, edge)
     )
