@@ -19,7 +19,8 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     around = both if large else edges
     least = around.groupBy("a").agg(F.min("b").alias("m"))
-    least = least.select("a", F.least("a", "m").alias("m"))
+    # Written, so that both sides of the join are plain shuffles and a hub can be split.
+    least = stage(least.select("a", F.least("a", "m").alias("m")), "least")
     moved = around.join(least, "a")
     if large:
         moved = moved.where(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("m").alias("b"))

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from .common import bit_map, ship, stage
+from .common import bit_map, parts, ship, stage
 
 LENGTH = 400
 GRAM = 32
@@ -128,7 +128,7 @@ def _find(schema: pa.Schema):
     """doc_id, mark, first, last, gram, h1, h2 of every segment."""
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts(batches):
             texts = _texts(batch)
             rows: list[list] = [[] for _ in range(6)]
             for k, first, last, _, gram in segments(texts):
@@ -152,7 +152,7 @@ def _fetch(bits: np.ndarray, schema: pa.Schema):
     """key (the anchor's hash), h1, h2, off and raw of segments whose bit is set."""
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts(batches):
             texts, marks = _texts(batch), batch.column(2).to_pylist()
             rows: list[list] = [[] for _ in range(5)]
             for k, first, last, anchor, gram in segments(texts):
@@ -232,7 +232,7 @@ def _split(step: int, schema: pa.Schema):
     and the segment (p1, p2) they come from."""
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts(batches):
             rows: list[list] = [[] for _ in range(9)]
             for p1, p2, off, raw in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 least = off - (len(raw) - LENGTH)  # offsets run from the last window's
@@ -305,7 +305,7 @@ def _resolve(distinct: DataFrame, level: int = 0) -> DataFrame:
 
 def _remove(schema: pa.Schema):
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts(batches):
             texts, gone = _texts(batch), batch.column(2).to_pylist()
             rows: list[list] = [[] for _ in range(5)]
             for text, spans in zip(texts, gone, strict=True):
@@ -358,7 +358,8 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
         .where("n > 1")
         .select("gram", F.expr("lo_h1 = hi_h1 AND lo_h2 = hi_h2").alias("copies"))
     )
-    met = stage(found.join(by_anchor, "gram"), "met")
+    # Written first: both sides of the join are plain shuffles, and a hot anchor can be split.
+    met = stage(found.join(stage(by_anchor, "anchors"), "gram"), "met")
     copies = met.where("copies").select("doc_id", "mark", "first", "last")
     kinds = (
         met.where("NOT copies")
