@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from .common import MAP_BITS, bit_map, ship, stage
+from .common import MAP_BITS, bit_map, parts, ship, stage
 
 SPAN = 2
 DIVISOR = 3
@@ -59,7 +59,7 @@ def _multi_line(text: str | None) -> Iterator[tuple[int, int, bytes]]:
 
 def _hashes(schema: pa.Schema):
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts(batches):
             found = [_hash(c) for t in batch.column(0).to_pylist() for _, _, c in _multi_line(t)]
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64())], schema=schema)
 
@@ -68,7 +68,7 @@ def _hashes(schema: pa.Schema):
 
 def _candidates(bits: np.ndarray, schema: pa.Schema):
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts(batches):
             rows, first, lines, key, text = [], [], [], [], []
             for i, whole in enumerate(batch.column(1).to_pylist()):
                 for at, n, chunk in _multi_line(whole):
@@ -144,7 +144,7 @@ def repeated_chunks(docs: DataFrame) -> DataFrame:
 
 def _cut(schema: pa.Schema, at: int):
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts(batches):
             texts, n_lines, n_removed = [], [], []
             gone_of = batch.column(batch.num_columns - 1).to_pylist()
             for text, gone in zip(batch.column(at).to_pylist(), gone_of, strict=True):

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import ship, stage
+from .common import parts, ship, stage
 
 CAPACITY = 2048
 GROUP = 8192
@@ -38,7 +38,7 @@ ROOMY = 64
 #: Words of which a worker keeps the ids; the first ones it meets hold the frequent ones.
 CACHED_WORDS = 1_200_000
 #: Texts tokenised together.
-AT_ONCE = 1024
+AT_ONCE = 1000
 
 
 def vocabulary_path() -> str:
@@ -82,7 +82,7 @@ def encode(texts: list[str | None], path: str) -> list[bytes]:
 
 def _pieces(path: str, capacity: int, schema: pa.Schema):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts(batches, AT_ONCE):
             row, piece, start, length, crc = [], [], [], [], []
             for i, ids in enumerate(encode(batch.column(1).to_pylist(), path)):
                 ids += b"\0\0\0\0"
