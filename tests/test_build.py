@@ -3,42 +3,39 @@ from datetime import date
 import pytest
 
 from tests.helpers import same
-from tickloom.plans.build import Sizing, build, measure, write_datasets
+from tickloom.catalogue import DATASETS
+from tickloom.plans.build import Sizing, _width, build, measure, write_datasets
 from tickloom.sources import lake
 
 FIRST, LAST = date(2024, 1, 1), date(2024, 12, 31)
 
 
-def test_measure_counts_bars_and_slices(small):
+def test_measure_counts_slices(small):
     trades = small["trades"]
-    whole = measure(trades, "trade_id", "1d")
     most = trades.selectExpr("symbol", "exchange_ts div 86400000 d").groupBy("symbol", "d").count()
-    assert whole.largest_bar == most.agg({"count": "max"}).first()[0]
-    assert whole.slice_ms == 86_400_000 and whole.quantiles == "in_memory"
-    assert whole.id_bits == trades.agg({"trade_id": "max"}).first()[0].bit_length()
-    cut = measure(trades, "trade_id", "1d", max_rows=whole.largest_bar - 1)
-    assert cut.slice_ms < 86_400_000 and cut.quantiles == "exact"
-    assert measure(trades, "trade_id", "1d", max_rows=0).slice_ms == 1000
-    assert measure(trades, "trade_id", "1s").slice_ms == 1000
+    largest = most.agg({"count": "max"}).first()[0]
+    assert measure(trades, "1d").slice_ms == 86_400_000
+    assert measure(trades, "1d", max_rows=largest).slice_ms == 86_400_000
+    assert measure(trades, "1d", max_rows=largest - 1).slice_ms < 86_400_000
+    assert measure(trades, "1d", max_rows=0).slice_ms == 1000
+    assert measure(trades, "1s").slice_ms == 1000
 
 
-def test_measure_sees_ids_that_cannot_be_packed(trades):
-    rows = [(1704067200000, 1, 1, "buy")]
-    for bad in (-5, 1 << 60):
-        df = trades(rows).selectExpr("* except (trade_id)", f"{bad}L as trade_id")
-        assert measure(df, "trade_id", "1d").id_bits is None
-
-
-SIZED = ("ohlcv", "trade_size", "range", "impact", "slippage", "l1_price", "basis", "flow")
-
-
-@pytest.mark.parametrize("dataset", SIZED)
+@pytest.mark.parametrize("dataset", DATASETS)
 def test_sizing_does_not_change_the_result(small, dataset):
     plain = build(dataset, small, "1d", "true")
-    for sizing in (Sizing(9, 86_400_000, "in_memory", 20), Sizing(9, 60_000, "exact")):
+    for width in (86_400_000, 60_000):
+        sizing = dict.fromkeys(small, Sizing(width))
         same(build(dataset, small, "1d", "true", sizing=sizing), plain)
 
 
+def test_slippage_needs_both_measured(small):
+    plain = build("slippage", small, "1d")
+    same(build("slippage", small, "1d", sizing={"trades": Sizing(86_400_000)}), plain)
+    assert _width("slippage", {"trades": Sizing(86_400_000)}) is None
+    assert _width("slippage", {"trades": Sizing(3_600_000), "quotes": Sizing(60_000)}) == 60_000
+
+
 GROUPS = {
     "tally": ("ohlcv", "trade_size"),
     "path": ("vtwap", "returns"),
@@ -49,7 +46,7 @@ GROUPS = {
 @pytest.mark.parametrize("group", sorted(GROUPS))
 def test_shared_pass_equals_single_datasets(spark, small, root, group):
     names = GROUPS[group]
-    sizing = {"trades": Sizing(9, 3_600_000, "in_memory", 20)}
+    sizing = {"trades": Sizing(3_600_000)}
     options = {"limits": (700.0, 2400.0)}
     paths = write_datasets(names, small, root, "1d", sizing=sizing, **options)
     assert len(paths) == len(names)

@@ -18,15 +18,14 @@ def deriv(spark):
     return spark.createDataFrame(data, catalogue.DERIV)
 
 
-@pytest.mark.parametrize("bits", [None, 8])
-def test_all_four(deriv, bits):
-    row = only(db.basis(deriv, "1h", id_bits=bits))
+def test_all_four(deriv):
+    row = only(db.basis(deriv, "1h"))
     check(row, basis_mean=4 / 3, basis_close=4, basis_bps_close=400)
-    row = only(db.funding(deriv, "1h", id_bits=bits))
+    row = only(db.funding(deriv, "1h"))
     check(row, funding_rate=-0.02, funding_mean=0.02 / 3, funding_min=-0.02, funding_max=0.03)
-    row = only(db.open_interest(deriv, "1h", id_bits=bits))
+    row = only(db.open_interest(deriv, "1h"))
     check(row, oi_open=70, oi_high=70, oi_low=50, oi_close=60, oi_change=-10, oi_notional=6240)
-    row = only(db.derivative_price(deriv, "1h", id_bits=bits))
+    row = only(db.derivative_price(deriv, "1h"))
     check(row, mark_open=99, mark_high=104, mark_low=99, mark_close=104)
     check(row, index_open=100, index_close=100)
 

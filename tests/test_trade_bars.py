@@ -34,26 +34,32 @@ def test_keys(trades):
     assert (row["exchange"], row["symbol"]) == ("binance-futures", "perpetual-A-USDT:USDT")
 
 
-@pytest.mark.parametrize("id_bits", [None, 20])
-def test_ohlcv(trades, id_bits):
-    row = hourly(tb.ohlcv, trades(FOUR), id_bits=id_bits)
+def test_ohlcv(trades):
+    row = hourly(tb.ohlcv, trades(FOUR))
     check(row, open=10, high=12, low=10, close=11, volume=10)
 
 
-@pytest.mark.parametrize("id_bits", [None, 20])
-def test_same_millisecond_is_ordered_by_id(trades, id_bits):
+def test_same_millisecond_is_ordered_by_id(trades):
     rows = [(T0, price, 1, "buy") for price in (5, 9, 7)]
     df = trades(rows).orderBy(F.desc("trade_id"))
-    check(hourly(tb.ohlcv, df, id_bits=id_bits), open=5, close=7)
+    check(hourly(tb.ohlcv, df), open=5, close=7)
     check(hourly(tb.returns, df), ret=7 / 5 - 1)
 
 
-def test_ids_too_large_for_packing_fail(trades):
-    df = trades(FOUR).withColumn("trade_id", F.col("trade_id") + (1 << 20))
-    with pytest.raises(Exception, match="more than 20 bits"):
-        tb.ohlcv(df, "1h", id_bits=20).collect()
-    with pytest.raises(ValueError):
-        tb.ohlcv(df, "1d", id_bits=40)
+@pytest.mark.parametrize("ids", [(None, -5, 3), (-(2**63), 0, 2**63 - 1), (-7, -6, -5)])
+def test_any_id_orders_ticks(trades, ids):
+    rows = trades([(T0, price, 1, "buy") for price in (5, 9, 7)])
+    ids = F.array(*(F.lit(i).cast("bigint") for i in ids))
+    df = rows.withColumn("trade_id", F.element_at(ids, (F.col("trade_id") + 1).cast("int")))
+    check(hourly(tb.ohlcv, df.orderBy(F.rand(1))), open=5, close=7)
+    check(only(tb.ohlcv(df, "1d")), open=5, close=7)
+
+
+def test_unknown_side_counts_for_neither(trades):
+    rows = [(T0, 10, 2, "buy"), (T0 + 1, 11, 3, "BUY"), (T0 + 2, 12, 5, None), (T0 + 3, 13, 7, "sell")]
+    check(hourly(tb.flow, trades(rows)), buy_volume=2, sell_volume=7, buy_count=1, sell_count=1)
+    check(hourly(tb.ohlcv, trades(rows)), volume=17)
+    check(hourly(tb.impact, trades(rows)), buy_impact=None, sell_impact=1 / 7)
 
 
 def test_vtwap(trades):
@@ -89,9 +95,8 @@ def test_flow(trades):
     check(row, buy_volume=0, buy_count=0, buy_volume_ratio=0, net_volume=-2)
 
 
-@pytest.mark.parametrize("quantiles", ["exact", "in_memory"])
-def test_trade_size(trades, quantiles):
-    row = hourly(tb.trade_size, trades(FOUR), limits=(15, 33), quantiles=quantiles)
+def test_trade_size(trades):
+    row = hourly(tb.trade_size, trades(FOUR), limits=(15, 33))
     qty = [2, 1, 3, 4]
     mean = 2.5
     m2 = sum((x - mean) ** 2 for x in qty) / 4
@@ -112,9 +117,9 @@ def test_trade_size(trades, quantiles):
         count_medium=1,
         volume_large=7,
     )
-    row = hourly(tb.trade_size, trades(ONE), quantiles=quantiles)
+    row = hourly(tb.trade_size, trades(ONE))
     check(row, mean=2, std=None, p25=2, p95=2, skew=None, kurt=None)
-    row = hourly(tb.trade_size, trades(FOUR[:3]), quantiles=quantiles)
+    row = hourly(tb.trade_size, trades(FOUR[:3]))
     assert row["skew"] is not None and row["kurt"] is None
 
 
@@ -141,9 +146,8 @@ def test_impact(trades):
     check(hourly(tb.impact, trades(FOUR[:2])), kyle_lambda=None, buy_impact=2)
 
 
-@pytest.mark.parametrize("quantiles", ["exact", "in_memory"])
-def test_range(trades, quantiles):
-    row = hourly(tb.price_range, trades(FOUR), quantiles=quantiles)
+def test_range(trades):
+    row = hourly(tb.price_range, trades(FOUR))
     check(
         row,
         range=2,
@@ -158,7 +162,7 @@ def test_range(trades, quantiles):
         p75=11.25,
         p95=11.85,
     )
-    check(hourly(tb.price_range, trades(ONE), quantiles=quantiles), range=0, std=None, p05=10)
+    check(hourly(tb.price_range, trades(ONE)), range=0, std=None, p05=10)
 
 
 def test_updownticks(trades):

@@ -6,14 +6,17 @@ skipped; a trade before any quote gets a null.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.catalogue import SERIES
 from tickloom.functions.clock import time_bucket, ts_column
+from tickloom.functions.expr import order_key
 from tickloom.operators.slices import CHUNK_ROWS, DEFAULT_SLICE_MS, carry_last
 
 _CELL = [*SERIES, "slice"]
+# Trades that belong to no series are spread over so many slices; they match nothing.
+_SCATTER = 1024
 
 
 def asof_mid(
@@ -27,62 +30,51 @@ def asof_mid(
     """All trade columns plus ``mid``.
 
     The window runs per (exchange, symbol, slice), so a busy symbol is spread over many
-    tasks. What a slice inherits comes from a small table: the last mid of each slice
-    that has quotes, carried forward over the slices that have any row, and put in
-    front of each slice as one more row. Trades without a clock value skip the window.
+    tasks. Trades and quotes are scanned and shuffled once: the window and a table with
+    the last mid of each slice both read that shuffle. The table is carried forward over
+    the slices and joined back on the slice, for trades before their slice's first quote.
+    A quote whose mid is null or zero counts as no quote. A trade without exchange, symbol
+    or clock belongs to no series and gets a null; a quote without one is left out.
     """
     clock = F.col(ts_column(ts_kind))
-    mid = (F.col("bid_price") + F.col("ask_price")) / F.lit(2.0)
-    trade_columns = trades.columns
-    row = F.struct(*trade_columns)
-    keys = [*SERIES, time_bucket(clock, slice_ms).alias("slice"), clock.alias("ts")]
+    known = clock.isNotNull()
+    for name in SERIES:
+        known = known & F.col(name).isNotNull()
+    mid = F.nullif((F.col("bid_price") + F.col("ask_price")) / F.lit(2.0), F.lit(0.0))
+    row = F.struct(*trades.columns)
+    scattered = F.pmod(F.xxhash64("trade_id"), F.lit(_SCATTER)) * slice_ms
+    # Keys that can't be null: a join on them adds no filter that would split the shuffle.
+    cell = [F.coalesce(F.col(name), F.lit("")).alias(name) for name in SERIES]
+    spot = F.when(known, time_bucket(clock, slice_ms)).otherwise(scattered)
+    keys = [*cell, F.coalesce(spot, F.lit(0)).alias("slice"), clock.alias("ts")]
+    traded = trades.select(
+        *keys,
+        F.when(known, F.lit(1)).otherwise(F.lit(2)).alias("kind"),
+        F.col("trade_id").alias("id"),
+        F.lit(None).cast("double").alias("mid"),
+        row.alias("trade"),
+    )
     quoted = (
-        quotes.where(clock.isNotNull())
-        .select(*keys, F.col("quote_id").alias("id"), mid.alias("mid"))
+        quotes.where(known)
+        .withColumn("trade_id", F.lit(0))
+        .select(
+            *keys,
+            F.lit(0).alias("kind"),
+            F.col("quote_id").alias("id"),
+            mid.alias("mid"),
+            F.lit(None).cast(traded.schema["trade"].dataType).alias("trade"),
+        )
         .where(F.col("mid").isNotNull())
     )
-    traded = trades.where(clock.isNotNull()).select(
-        *keys, F.col("trade_id").alias("id"), row.alias("trade")
-    )
-
-    last_mids = quoted.groupBy(*_CELL).agg(
-        F.max_by("mid", F.struct("ts", "id")).alias("last_mid")
-    )
-    present = traded.select(*_CELL).distinct()
-    grid = (
-        present.withColumn("last_mid", F.lit(None).cast("double"))
-        .unionByName(last_mids)
-        .groupBy(*_CELL)
-        .agg(F.max("last_mid").alias("last_mid"))
-    )
-    seeds = carry_last(grid, "last_mid", "slice", slice_ms, "seed", chunk_rows)
-
-    blank = F.lit(None).cast(traded.schema["trade"].dataType)
-
-    def part(df: DataFrame, kind: int, ts: str, row_id: Column, mid_: Column, trade: Column):
-        return df.select(
-            *_CELL,
-            F.col(ts).alias("ts"),
-            F.lit(kind).alias("kind"),
-            row_id.alias("id"),
-            mid_.alias("mid"),
-            trade.alias("trade"),
-        )
-
-    rows = (
-        part(
-            seeds.where(F.col("seed").isNotNull()),
-            -1,
-            "slice",
-            F.lit(0).cast("bigint"),
-            F.col("seed"),
-            blank,
-        )
-        .unionByName(part(quoted, 0, "ts", F.col("id"), F.col("mid"), blank))
-        .unionByName(
-            part(traded, 1, "ts", F.col("id"), F.lit(None).cast("double"), F.col("trade"))
-        )
+    rows = quoted.unionByName(traded).repartition(*map(F.col, _CELL))
+    order = order_key(F.col("ts"), F.col("id"), slice_ms)
+    # Counting trades keeps both branches on the same columns, hence one shuffle.
+    slices = rows.groupBy(*_CELL).agg(
+        F.max_by("mid", F.when(F.col("kind") == 0, order)).alias("last_mid"),
+        F.count("trade").alias("n"),
     )
+    seeds = carry_last(slices, "last_mid", "slice", slice_ms, "seed", chunk_rows)
+    seeds = seeds.where((F.col("n") > 0) & F.col("seed").isNotNull()).select(*_CELL, "seed")
     before = (
         Window.partitionBy(*_CELL)
         .orderBy("ts", "kind", "id")
@@ -90,8 +82,8 @@ def asof_mid(
     )
     matched = (
         rows.withColumn("mid", F.last("mid", ignorenulls=True).over(before))
-        .where(F.col("kind") == 1)
-        .select("trade.*", "mid")
+        .where(F.col("kind") > 0)
+        .join(seeds, _CELL, "left")
     )
-    undated = trades.where(clock.isNull())
-    return matched.unionByName(undated.withColumn("mid", F.lit(None).cast("double")))
+    found = F.when(F.col("kind") == 1, F.coalesce("mid", "seed"))
+    return matched.select("trade.*", found.alias("mid"))

@@ -126,19 +126,30 @@ def l1_liquidity_columns() -> list[Column]:
     return [F.col(name) for name in ("spread", "spread_bps", "depth", "dollar_depth")]
 
 
-def _top_sizes(side: str, depth: int) -> Column:
-    return F.aggregate(
-        F.slice(F.col(f"{side}_sz"), 1, depth), F.lit(0.0), lambda total, x: total + x
-    )
-
+def _running(term, length: Column, depth: int, known: Column) -> list[Column]:
+    """Sums of the first 0 to ``depth`` terms; levels past ``length`` add nothing.
 
-def _top_dollars(side: str, depth: int) -> Column:
-    value = F.zip_with(
-        F.slice(F.col(f"{side}_px"), 1, depth),
-        F.slice(F.col(f"{side}_sz"), 1, depth),
-        lambda px, size: px * size,
+    Depths are known when the plan is built, so sums are plain expressions that code
+    generation compiles, each made from the one before. A null level makes the sum null,
+    a missing array too.
+    """
+    sums = [F.when(known, F.lit(0.0))]
+    for level in range(depth):
+        sums.append(sums[-1] + F.when(length > level, term(level)).otherwise(F.lit(0.0)))
+    return sums
+
+
+def _level_sums(side: str, depth: int) -> tuple[list[Column], list[Column]]:
+    """Running sums of size and of price times size on one side."""
+    px, size = F.col(f"{side}_px"), F.col(f"{side}_sz")
+    sizes = _running(lambda k: F.get(size, F.lit(k)), F.size(size), depth, size.isNotNull())
+    cash = _running(
+        lambda k: F.get(px, F.lit(k)) * F.get(size, F.lit(k)),
+        F.greatest(F.size(px), F.size(size)),
+        depth,
+        px.isNotNull() & size.isNotNull(),
     )
-    return F.aggregate(value, F.lit(0.0), lambda total, x: total + x)
+    return sizes, cash
 
 
 def book_tally(
@@ -154,10 +165,12 @@ def book_tally(
     level arrays go no further.
     """
     values, sums = {}, []
+    for side in ("bid", "ask"):
+        sizes, cash = _level_sums(side, max(depths))
+        for k in depths:
+            values[f"{side}_size_{k}"] = sizes[k]
+            values[f"{side}_cash_{k}"] = cash[k]
     for k in depths:
-        for side in ("bid", "ask"):
-            values[f"{side}_size_{k}"] = _top_sizes(side, k)
-            values[f"{side}_cash_{k}"] = _top_dollars(side, k)
         for kind, name in (("size", "imbalance"), ("cash", "dollar_imbalance")):
             bid, ask = F.col(f"bid_{kind}_{k}"), F.col(f"ask_{kind}_{k}")
             sums.append(F.avg(ratio(bid - ask, bid + ask)).alias(f"{name}_{k}"))

@@ -17,15 +17,13 @@ from tickloom.operators.slices import finish, ticks
 _OHLC = ("open", "high", "low", "close")
 
 
-def deriv_tally(
-    deriv: DataFrame, interval: str, ts_kind: str = "exchange", *, id_bits: int | None = None
-) -> DataFrame:
+def deriv_tally(deriv: DataFrame, interval: str, ts_kind: str = "exchange") -> DataFrame:
     """Wide bar table behind all four datasets; unused sums are dropped by Catalyst."""
     mark, index = F.col("mark_price"), F.col("index_price")
     rate, held = F.col("funding_rate"), F.col("open_interest")
     names = ("mark_price", "index_price", "funding_rate", "open_interest")
     rows = ticks(deriv, "tick_id", interval, ts_kind, {name: name for name in names})
-    order = order_key(F.col("ts"), F.col("id"), interval_ms(interval), id_bits)
+    order = order_key(F.col("ts"), F.col("id"), interval_ms(interval))
     gap = mark - index
     sums = [
         F.avg(gap).alias("basis_mean"),

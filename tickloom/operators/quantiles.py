@@ -91,14 +91,10 @@ def quantile_aggregates(
 ) -> list[Column]:
     """Quantiles inside an ordinary ``agg``.
 
-    ``in_memory``: exact; holds the distinct values of a group, so for bars known to be
-    small. ``approx``: bounded memory, rank error at most rows / ``accuracy``.
+    ``approx``: bounded memory, rank error at most rows / ``accuracy``.
     """
     points = F.array(*(F.lit(float(f)) for f in fractions.values()))
-    if method == "in_memory":
-        found = F.percentile(value, points)
-    elif method == "approx":
-        found = F.percentile_approx(value, points, accuracy)
-    else:
+    if method != "approx":
         raise ValueError(f"unknown quantile method {method!r}")
+    found = F.percentile_approx(value, points, accuracy)
     return [found.getItem(i).alias(name) for i, name in enumerate(fractions)]

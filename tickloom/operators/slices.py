@@ -96,8 +96,9 @@ def carry_last(
 
     ``df`` has one row per series and step of ``width_ms`` (bars or slices). A window
     per series would put a whole series in one task. Here the look-back runs in chunks
-    of ``chunk_rows`` steps; only rows it leaves open, and the last row of each chunk,
-    go through a second window per series.
+    of ``chunk_rows`` steps. Rows it leaves open all lack the same value, the last one
+    before their chunk, so only the first and the last row of each chunk go through a
+    second window per series, and a third one hands the first row's value to its chunk.
     """
     chunk = F.floor(F.col(order) / F.lit(width_ms * chunk_rows))
     df = df.withColumn("_chunk", chunk)
@@ -107,10 +108,10 @@ def carry_last(
         F.last(value, ignorenulls=True).over(
             inside.rowsBetween(Window.unboundedPreceding, -1)
         ),
-    ).withColumn("_tail", F.lead(order).over(inside).isNull())
-    edge = F.col("_seen").isNull() | F.col("_tail")
+    )
+    edge = F.lag(order).over(inside).isNull() | F.lead(order).over(inside).isNull()
     df = df.withColumn("_edge", edge).withColumn(
-        "_group", F.when(edge, F.lit(0)).otherwise(F.col("_chunk"))
+        "_group", F.when(F.col("_edge"), F.lit(0)).otherwise(F.col("_chunk"))
     )
     across = (
         Window.partitionBy(*SERIES, "_edge", "_group")
@@ -118,7 +119,10 @@ def carry_last(
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     upto = F.coalesce(F.col(value), F.col("_seen"))
-    carried = F.last(upto, ignorenulls=True).over(across)
-    return df.withColumn(name, F.coalesce(F.col("_seen"), carried)).drop(
-        "_chunk", "_seen", "_tail", "_edge", "_group"
+    df = df.withColumn("_before", F.last(upto, ignorenulls=True).over(across))
+    first = F.first("_before").over(
+        inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    return df.withColumn(name, F.coalesce(F.col("_seen"), first)).drop(
+        "_chunk", "_seen", "_edge", "_group", "_before"
     )

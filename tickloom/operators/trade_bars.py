@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from tickloom.catalogue import BAR, SERIES, SIZE_CLASSES
 from tickloom.functions.clock import interval_ms
-from tickloom.functions.expr import first_by, last_by, order_key, ratio, sum_if
+from tickloom.functions.expr import first_by, last_by, order_key, ratio, sum_if, taker_buy
 from tickloom.operators.quantiles import exact_quantiles, quantile_aggregates
 from tickloom.operators.slices import (
     CHUNK_ROWS,
@@ -47,7 +47,7 @@ def _trade_ticks(trades, interval, ts_kind, slice_ms=None):
         {
             "price": "price",
             "qty": "qty",
-            "buy": F.col("side") == "buy",
+            "buy": taker_buy(F.col("side")),
         },
         slice_ms,
     )
@@ -76,17 +76,16 @@ def trade_tally(
     *,
     limits: tuple[float, float] = SIZE_LIMITS,
     quantiles: str = "exact",
-    id_bits: int | None = None,
     spread: tuple[str, ...] = ("qty", "price"),
 ) -> DataFrame:
     """Wide bar table behind ohlcv, flow, trade_size and range.
 
     A builder selects its columns and Catalyst drops the other sums. ``spread`` names
-    the values whose quantiles are wanted. ``quantiles``: ``exact`` (any bar size),
-    ``in_memory`` (exact, bars known to be small) or ``approx``.
+    the values whose quantiles are wanted; all of them come from one more pass.
+    ``quantiles``: ``exact`` (any bar size) or ``approx``.
     """
     rows = _trade_ticks(trades, interval, ts_kind)
-    order = order_key(F.col("ts"), F.col("id"), interval_ms(interval), id_bits)
+    order = order_key(F.col("ts"), F.col("id"), interval_ms(interval))
     price, qty, buy = F.col("price"), F.col("qty"), F.col("buy")
     sums = [
         first_by("price", order).alias("open"),
@@ -116,17 +115,32 @@ def trade_tally(
             sums += quantile_aggregates(value, points, quantiles)
     bars = rows.groupBy(*BAR).agg(*sums)
     if quantiles == "exact":
-        for value, points in wanted.items():
-            found = exact_quantiles(rows, list(BAR), value, points)
-            bars = bars.join(found, list(BAR), "left")
+        bars = bars.join(_quantiles(rows, wanted), list(BAR), "left") if wanted else bars
     return bars
 
 
-def ohlcv(
-    trades: DataFrame, interval: str, ts_kind: str = "exchange", *, id_bits: int | None = None
-) -> DataFrame:
+def _quantiles(rows: DataFrame, wanted: dict[str, dict[str, float]]) -> DataFrame:
+    """Quantiles of several values per bar, ranked together under one shuffle."""
+    values = F.array(
+        *(F.struct(F.lit(k).alias("which"), F.col(v).alias("v")) for k, v in enumerate(wanted))
+    )
+    tall = rows.select(*BAR, F.explode(values).alias("x")).select(*BAR, "x.which", "x.v")
+    fractions = {f"q{point}": point for points in wanted.values() for point in points.values()}
+    fractions = {name.replace(".", "_"): point for name, point in fractions.items()}
+    column = {point: name for name, point in fractions.items()}
+    found = exact_quantiles(tall, [*BAR, "which"], "v", fractions)
+    return found.groupBy(*BAR).agg(
+        *(
+            F.max(F.when(F.col("which") == k, F.col(column[point]))).alias(name)
+            for k, points in enumerate(wanted.values())
+            for name, point in points.items()
+        )
+    )
+
+
+def ohlcv(trades: DataFrame, interval: str, ts_kind: str = "exchange") -> DataFrame:
     """First, highest, lowest and last price, and traded quantity."""
-    bars = trade_tally(trades, interval, ts_kind, id_bits=id_bits, spread=())
+    bars = trade_tally(trades, interval, ts_kind, spread=())
     return finish(bars, *ohlcv_columns())
 
 
@@ -200,12 +214,9 @@ def price_range(
     ts_kind: str = "exchange",
     *,
     quantiles: str = "exact",
-    id_bits: int | None = None,
 ) -> DataFrame:
     """High-low range, Parkinson (1980) variance and the distribution of price."""
-    bars = trade_tally(
-        trades, interval, ts_kind, quantiles=quantiles, id_bits=id_bits, spread=("price",)
-    )
+    bars = trade_tally(trades, interval, ts_kind, quantiles=quantiles, spread=("price",))
     return finish(bars, *range_columns())
 
 
@@ -246,7 +257,7 @@ def price_path(
         F.lead("ts").over(by_time).alias("next_ts"),
         (price - F.lag("price").over(by_time)).alias("dp"),
         F.ln(ratio(price, F.lag("price").over(by_time))).alias("log_dp"),
-        F.when(F.col("buy"), qty).otherwise(-qty).alias("signed"),
+        F.when(F.col("buy"), qty).when(~F.col("buy"), -qty).alias("signed"),
     )
     head, tail, dp = F.col("prev_ts").isNull(), F.col("next_ts").isNull(), F.col("dp")
     buy = F.col("buy")
@@ -602,7 +613,7 @@ def slippage(
             "mid": null.cast("double"),
             "price": "price",
             "qty": "qty",
-            "buy": F.col("side") == "buy",
+            "buy": taker_buy(F.col("side")),
         },
         slice_ms,
     )

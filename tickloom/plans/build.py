@@ -18,9 +18,7 @@ from tickloom.sources.lake import write_lake
 MAX_CELL_ROWS = 2_000_000
 
 _SLICED = {"vtwap", "impact", "updownticks", "run_structure", "returns", "slippage", "l1_price"}
-_QUANTILED = {"trade_size", "range"}
 _SIZED = {"flow", "trade_size"}
-_ORDERED = {"ohlcv", "range", "basis", "funding", "open_interest", "derivative_price"}
 _WIDTHS = ("1m", "15m", "1h")
 
 _BUILDERS = {
@@ -48,34 +46,26 @@ _BUILDERS = {
 
 @dataclass(frozen=True)
 class Sizing:
-    """How to cut bars and which methods hold, for one input."""
+    """Into which slices to cut the bars of one input."""
 
-    largest_bar: int
     slice_ms: int
-    quantiles: str
-    id_bits: int | None = None
 
 
 def measure(
-    df: DataFrame,
-    id_column: str,
-    interval: str,
-    ts_kind: str = "exchange",
-    max_rows: int = MAX_CELL_ROWS,
+    df: DataFrame, interval: str, ts_kind: str = "exchange", max_rows: int = MAX_CELL_ROWS
 ) -> Sizing:
-    """Count rows per bar and per slice, and pick the cheapest plan that is safe.
-
-    One pass over key columns with map-side sums; a single row comes back. Slices get
-    the widest width whose largest slice has at most ``max_rows`` rows (one second if
-    even a minute has more), quantiles stay in memory if every bar is that small, and
-    ids that fit next to the time in one long allow a hash aggregate for first and
-    last. Without a measurement the builders use 15-minute slices, distributed quantiles
-    and struct order keys, which hold for any input.
+    """Count rows per slice of several widths and pick the widest that is safe.
+
+    One pass over key columns with map-side sums; a single row comes back. The width is
+    the largest whose fullest slice has at most ``max_rows`` rows (one second if even a
+    minute has more). It decides how work is spread, not how a value is defined: methods
+    are the same for every size. Sums of doubles may differ in their last bits, as they do
+    with any change in the number of partitions.
     """
     ts, whole = F.col(ts_column(ts_kind)), interval_ms(interval)
     widths = [INTERVAL_MS[name] for name in _WIDTHS if INTERVAL_MS[name] < whole] + [whole]
-    counts = df.where(ts.isNotNull()).select(*SERIES, ts.alias("at"), F.col(id_column).alias("id"))
-    rows, peaks = F.count(F.lit(1)), [F.max("id").alias("max_id"), F.min("id").alias("min_id")]
+    counts = df.where(ts.isNotNull()).select(*SERIES, ts.alias("at"))
+    rows, peaks = F.count(F.lit(1)), []
     for width in widths:
         # Each level sums the one before, so the input is read and combined once.
         counts = counts.groupBy(*SERIES, time_bucket(F.col("at"), width).alias("at")).agg(
@@ -83,19 +73,17 @@ def measure(
         )
         counts = counts.withColumn(f"peak_{width}", F.col("n"))
         rows = F.sum("n")
-        names = [name for name in counts.columns if name.startswith(("peak_", "max_id"))]
-        peaks = [F.max(name).alias(name) for name in names] + [F.min("min_id").alias("min_id")]
+        peaks = [F.max(name).alias(name) for name in counts.columns if name.startswith("peak_")]
     found = counts.agg(*peaks).first()
-    sizes = {width: found[f"peak_{width}"] or 0 for width in widths}
-    fitting = [width for width in widths if sizes[width] <= max_rows]
-    bits, room = (found.max_id or 0).bit_length(), 63 - (whole - 1).bit_length()
-    packable = (found.min_id or 0) >= 0 and bits <= room
-    return Sizing(
-        largest_bar=sizes[whole],
-        slice_ms=max(fitting) if fitting else min(INTERVAL_MS["1s"], whole),
-        quantiles="in_memory" if sizes[whole] <= max_rows else "exact",
-        id_bits=bits if packable else None,
-    )
+    fitting = [width for width in widths if (found[f"peak_{width}"] or 0) <= max_rows]
+    return Sizing(max(fitting) if fitting else min(INTERVAL_MS["1s"], whole))
+
+
+def _width(dataset: str, sizing: dict[str, Sizing]) -> int | None:
+    """Slice width for a dataset: that of its input, for slippage the lesser of its two."""
+    sources = ("trades", "quotes") if dataset == "slippage" else (_BUILDERS[dataset][0],)
+    known = [sizing[name].slice_ms for name in sources if name in sizing]
+    return min(known) if len(known) == len(sources) else None
 
 
 def build(
@@ -105,19 +93,19 @@ def build(
     ts_kind: str = "exchange",
     *,
     limits: tuple[float, float] | None = None,
-    sizing: Sizing | None = None,
+    sizing: dict[str, Sizing] | None = None,
 ) -> DataFrame:
-    """Bars of one dataset; ``inputs`` holds trades, quotes, book and deriv by name."""
+    """Bars of one dataset; ``inputs`` holds trades, quotes, book and deriv by name.
+
+    ``sizing`` holds measurements of the inputs by name. Slippage mixes trades and quotes
+    in its slices and uses a measured width only if both were measured.
+    """
     source, builder = _BUILDERS[check_dataset(dataset)]
     options = {}
     if limits is not None and dataset in _SIZED:
         options["limits"] = limits
-    if sizing is not None and dataset in _SLICED:
-        options["slice_ms"] = sizing.slice_ms
-    if sizing is not None and dataset in _QUANTILED:
-        options["quantiles"] = sizing.quantiles
-    if sizing is not None and dataset in _ORDERED:
-        options["id_bits"] = sizing.id_bits
+    if dataset in _SLICED:
+        options["slice_ms"] = _width(dataset, sizing or {})
     tables = [inputs[source]]
     if dataset == "slippage":
         tables.append(inputs["quotes"])
@@ -187,19 +175,15 @@ _FAMILIES = (
 )
 
 
-def _wide_options(builder, wanted, limits, sizing: Sizing | None) -> dict:
+def _wide_options(builder, wanted, limits, sizing: dict[str, Sizing]) -> dict:
     options = {}
     if builder is trade_bars.trade_tally:
         values = {"trade_size": "qty", "range": "price"}
         options["spread"] = tuple(values[name] for name in wanted if name in values)
         if limits is not None:
             options["limits"] = limits
-        if sizing is not None:
-            options |= {"quantiles": sizing.quantiles, "id_bits": sizing.id_bits}
-    elif sizing is not None and builder is trade_bars.price_path:
-        options["slice_ms"] = sizing.slice_ms
-    elif sizing is not None and builder is deriv_bars.deriv_tally:
-        options["id_bits"] = sizing.id_bits
+    elif builder is trade_bars.price_path:
+        options["slice_ms"] = _width("vtwap", sizing)
     return options
 
 
@@ -215,7 +199,8 @@ def write_datasets(
 ) -> list[str]:
     """Write several datasets with one pass per group that shares its work.
 
-    Ten trade datasets need four passes over the trades, four derivative datasets one.
+    Ten trade datasets need five scans of the trades in four groups (the tally group scans
+    twice if quantiles are wanted), four derivative datasets one.
     A group's wide bar table is written once to the shared folder (not cached, so it
     survives lost executors) and the datasets are cut from it. ``sizing`` holds the
     measurement of each input by name.
@@ -227,7 +212,7 @@ def write_datasets(
         wanted = [name for name in left if name in members]
         if len(wanted) < 2:
             continue
-        options = _wide_options(builder, wanted, limits, sizing.get(source))
+        options = _wide_options(builder, wanted, limits, sizing)
         wide = builder(inputs[source], interval, ts_kind, **options)
         spark, staged = wide.sparkSession, shared_folder(wide.sparkSession, "bars")
         wide.write.parquet(staged)
@@ -240,7 +225,6 @@ def write_datasets(
             paths.append(write_lake(bars, root, name, interval, ts_kind))
             left.remove(name)
     for name in left:
-        size = sizing.get(_BUILDERS[name][0])
-        options = {"limits": limits, "sizing": size}
+        options = {"limits": limits, "sizing": sizing}
         paths.append(write_dataset(name, inputs, root, interval, ts_kind, **options))
     return paths

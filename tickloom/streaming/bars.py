@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tickloom.catalogue import SERIES
 from tickloom.functions.clock import interval_ms, ts_column
-from tickloom.functions.expr import first_by, last_by, order_key, sum_if
+from tickloom.functions.expr import first_by, last_by, order_key, sum_if, taker_buy
 from tickloom.operators.slices import finish
 from tickloom.operators.trade_bars import SIZE_LIMITS, _size_class, flow_columns
 
@@ -38,9 +38,8 @@ def stream_ohlcv(
     ts_kind: str = "exchange",
     *,
     delay: str = "1 hour",
-    id_bits: int | None = None,
 ) -> DataFrame:
-    order = order_key(F.col("ts"), F.col("trade_id"), interval_ms(interval), id_bits)
+    order = order_key(F.col("ts"), F.col("trade_id"), interval_ms(interval))
     bars = _windowed(trades, interval, ts_kind, delay).agg(
         first_by("price", order).alias("open"),
         F.max("price").alias("high"),
@@ -59,7 +58,7 @@ def stream_flow(
     delay: str = "1 hour",
     limits: tuple[float, float] = SIZE_LIMITS,
 ) -> DataFrame:
-    buy, qty = F.col("side") == "buy", F.col("qty")
+    buy, qty = taker_buy(F.col("side")), F.col("qty")
     every = {"": F.lit(True)} | {f"_{name}": c for name, c in _size_class(limits).items()}
     sums = []
     for suffix, inside in every.items():
