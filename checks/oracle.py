@@ -7,7 +7,7 @@ higher moments from their sums.
 
 from __future__ import annotations
 
-from checks.settings import GROUPS, LIMITS, SLICE_FROM, SLICE_SYMBOL, SLICE_TO, nudge
+from checks.settings import GROUPS, LIMITS, PART_CUT, SLICE_FROM, SLICE_SYMBOL, SLICE_TO, nudge
 from tickloom.catalogue import (
     BOOK_DEPTHS,
     DATASETS,
@@ -497,9 +497,9 @@ def sql_texts() -> dict[str, str]:
         "strftime(ts, '%Y-%m-%d %H:%M:%S.%g') AS ts FROM events",
         "L3_concat_strict": "SELECT event_id, event_type, value FROM events",
         "L3_concat_merge": "SELECT event_id, event_type, "
-        "CASE WHEN event_type = 'signup' THEN value END AS value, "
-        "CASE WHEN event_type = 'error' THEN CAST(user_id AS DOUBLE) END AS user_id "
-        "FROM events WHERE event_type IN ('signup', 'error')",
+        "CASE WHEN event_type IN ('signup', 'view', 'purchase') THEN value END AS value, "
+        "CASE WHEN event_type IN ('error', 'view') THEN CAST(user_id AS DOUBLE) END AS user_id, "
+        "CASE WHEN event_type IN ('purchase', 'click') THEN props END AS props FROM events",
         "L4_from_epoch_ms": f"{_stamped()} SELECT *, {_DATETIME} AS datetime FROM s",
         "L5_filter_datetime_range": f"{_stamped()} SELECT * FROM s WHERE {mid_month}",
         "L6_sort_by": f"{_stamped()} SELECT * FROM s ORDER BY timestamp",
@@ -524,6 +524,18 @@ FROM (SELECT exchange, symbol, m FROM (SELECT DISTINCT exchange, symbol FROM see
             "ohlcv", where=f"WHERE {_range(date(2024, 1, 3), date(2024, 1, 25))}"
         ),
         "L14_write_lake": _bar_sql("ohlcv", keys=f"{series}, {month}, {_DATETIME} AS time"),
+        "L14_write_in_parts": _bar_sql("ohlcv", keys=f"{series}, {month}, {_DATETIME} AS time"),
+        "L11_preview_fetch": _bar_sql(
+            "ohlcv", where=f"WHERE symbol = '{SLICE_SYMBOL}' AND {_range(SLICE_FROM, SLICE_TO)}"
+        ),
+        "L3_lake_strict": _bar_sql("ohlcv"),
+        "L3_lake_merge": _bar_sql(
+            "ohlcv",
+            keys="exchange, symbol, timestamp, "
+            f"CASE WHEN timestamp >= {PART_CUT} THEN CAST(timestamp AS DOUBLE) END AS stamp",
+        ),
+        "B9_returns_in_parts": _bar_sql("returns"),
+        "B10_slippage_in_parts": _bar_sql("slippage"),
         "get_ohlcv": _fetched("ohlcv"),
         "get_vwap": _fetched("vtwap"),
         "get_twap": _fetched("vtwap"),
@@ -552,7 +564,7 @@ FROM (SELECT exchange, symbol, m FROM (SELECT DISTINCT exchange, symbol FROM see
         },
     }
     for number, dataset in enumerate(DATASETS, start=1):
-        out[f"B{number}_{dataset}"] = _bar_sql(dataset)
+        out[f"B{number}_{dataset}"] = out[f"measured_{dataset}"] = _bar_sql(dataset)
     for metric in (*TRADE_METRICS, *L1_METRICS, *L2_METRICS):
         out[f"get_metrics_{metric}"] = _fetched(metric)
     for metric in DERIVATIVE_METRICS:

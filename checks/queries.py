@@ -8,7 +8,18 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.settings import FIRST_DAY, GROUPS, LAST_DAY, LIMITS, SLICE_FROM, SLICE_SYMBOL, SLICE_TO, nudge
+from checks.settings import (
+    FIRST_DAY,
+    GROUPS,
+    LAST_DAY,
+    LIMITS,
+    MEASURED_ROWS,
+    PART_CUT,
+    SLICE_FROM,
+    SLICE_SYMBOL,
+    SLICE_TO,
+    nudge,
+)
 from tickloom import get_derivative_metrics, get_metrics, get_ohlcv, get_symbols, get_twap, get_vwap
 from tickloom.catalogue import (
     DATASETS,
@@ -22,7 +33,7 @@ from tickloom.catalogue import (
 from tickloom.functions.clock import DAY_MS, from_epoch_ms, time_bucket
 from tickloom.operators.asof import asof_mid
 from tickloom.operators.resample import resample, vwap_with_volume
-from tickloom.plans.build import build, write_dataset, write_datasets
+from tickloom.plans.build import build, measure, source_of, write_dataset, write_datasets
 from tickloom.session import shared_folder
 from tickloom.sources import frames, lake, market, reports
 from tickloom.streaming.bars import stream_flow, stream_ohlcv, write_stream
@@ -66,6 +77,31 @@ def dataset_bars(spark, folder, *, dataset, interval="4h", ts_kind="exchange"):
     return rounded(bars, KEYS, metric_columns(dataset))
 
 
+def measured(spark, folder, *, dataset):
+    """Bars in slices that a measurement of the inputs chose, small enough to be cut."""
+    tables = tick_tables(spark, folder)
+    names = ("trades", "quotes") if dataset == "slippage" else (source_of(dataset),)
+    sizing = {name: measure(tables[name], "4h", max_rows=MEASURED_ROWS) for name in names}
+    bars = build(dataset, tables, "4h", limits=LIMITS, sizing=sizing)
+    return rounded(bars, KEYS, metric_columns(dataset))
+
+
+def in_parts(spark, folder, *, dataset):
+    """Bars of the ticks before and from a day on; the second part is told what held before."""
+    tables = tick_tables(spark, folder)
+    cut = F.col("exchange_ts") < PART_CUT
+    early = {name: df.where(cut) for name, df in tables.items()}
+    late = {name: df.where(~cut) for name, df in tables.items()}
+    if dataset == "returns":
+        previous = reports.last_values(build("ohlcv", early, "4h"), "close")
+    else:
+        previous = reports.last_values(build("l1_price", early, "4h"), "mid_price")
+    bars = build(dataset, early, "4h").unionByName(
+        build(dataset, late, "4h", previous=previous)
+    )
+    return rounded(bars, KEYS, metric_columns(dataset))
+
+
 def _written(spark, folder, dataset, interval, ts_kind="exchange") -> str:
     root = shared_folder(spark, "lake")
     tables = tick_tables(spark, folder)
@@ -165,18 +201,52 @@ def concat_strict(spark, folder):
 
 
 def concat_merge(spark, folder):
-    first, second, *_ = _typed(spark, folder)
+    """All five event types, each with columns of its own."""
+    signup, error, view, purchase, click = _typed(spark, folder)
+    user = F.col("user_id").cast("double").alias("user_id")
+    keys = ("event_id", "event_type")
     return frames.concat(
         [
-            first.select("event_id", "event_type", "value"),
-            second.select(
-                "event_id", "event_type", F.col("user_id").cast("double").alias("user_id")
-            ),
+            signup.select(*keys, "value"),
+            error.select(*keys, user),
+            view.select(*keys, user, "value"),
+            purchase.select(*keys, "props", "value"),
+            click.select(*keys, "props"),
         ],
         "merge",
     )
 
 
+def lake_strict(spark, folder):
+    root = _written(spark, folder, "ohlcv", "4h")
+    df = lake.load(
+        spark, root, "ohlcv", "exchange", "4h", None, None, FIRST_DAY, LAST_DAY,
+        schema_mode="strict",
+    )
+    return rounded(df, KEYS, OHLCV)
+
+
+def lake_merge(spark, folder):
+    """Files of a later load hold one more column; it is null for the others."""
+    root = shared_folder(spark, "lake")
+    bars = build("ohlcv", tick_tables(spark, folder), "4h")
+    path = lake.write_lake(
+        bars.where(F.col("timestamp") < PART_CUT), root, "ohlcv", "4h", "exchange"
+    )
+    late = bars.where(F.col("timestamp") >= PART_CUT)
+    late.select(
+        "*",
+        F.col("timestamp").cast("double").alias("stamp"),
+        F.year("time").alias("year"),
+        F.month("time").alias("month"),
+    ).write.mode("append").partitionBy("exchange", "year", "month", "symbol").parquet(path)
+    df = lake.load(
+        spark, root, "ohlcv", "exchange", "4h", None, None, FIRST_DAY, LAST_DAY,
+        schema_mode="merge",
+    )
+    return rounded(df, [*KEYS, "stamp"], OHLCV)
+
+
 def _stamped(spark, folder):
     trades = tick_tables(spark, folder)["trades"]
     return trades.select("trade_id", F.col("exchange_ts").alias("timestamp"))
@@ -226,6 +296,26 @@ def symbol_prefix(spark, folder):
     return reports.with_prefix(trades).select("trade_id", "symbol")
 
 
+def preview_fetch(spark, folder):
+    """A fetch through the preview check: one listed symbol."""
+    root = _written(spark, folder, "ohlcv", "4h")
+    request = ("ohlcv", EXCHANGE, SLICE_SYMBOL, "4h", "exchange", SLICE_FROM, SLICE_TO)
+    kinds = "dataset string, exchange string, symbol string, interval string, ts_kind string"
+    listed = spark.createDataFrame([request], f"{kinds}, start_date date, end_date date")
+    df = get_ohlcv(
+        spark,
+        root,
+        timestamp="exchange",
+        interval="4h",
+        exchange=EXCHANGE,
+        symbol=SLICE_SYMBOL,
+        start_date=SLICE_FROM,
+        end_date=SLICE_TO,
+        preview=listed,
+    )
+    return rounded(df, KEYS, OHLCV)
+
+
 def preview_requests(spark, folder):
     """One request per event, and the distinct combinations of those of value 60 up."""
     events = market.read_events(spark, folder)
@@ -282,6 +372,24 @@ def panel(spark, folder):
     return rounded(df, KEYS, OHLCV)
 
 
+def lake_in_parts(spark, folder):
+    """Bars written in two loads that share a month, the second with some bars again."""
+    root = shared_folder(spark, "lake")
+    bars = build("ohlcv", tick_tables(spark, folder), "4h")
+    day = 86_400_000
+    stale = bars.withColumn("volume", F.lit(-1.0))
+    for part in (
+        bars.where(F.col("timestamp") < PART_CUT - day).unionByName(
+            stale.where(F.col("timestamp").between(PART_CUT - day, PART_CUT))
+        ),
+        bars.where(F.col("timestamp") >= PART_CUT - day),
+    ):
+        lake.write_lake(part, root, "ohlcv", "4h", "exchange")
+    df = spark.read.parquet(f"{root}/ohlcv")
+    keys = ["exchange", "symbol", "interval", "ts_kind", "year", "month", "timestamp"]
+    return rounded(df, [*keys, _text("time")], OHLCV)
+
+
 def lake_files(spark, folder):
     root = _written(spark, folder, "ohlcv", "4h")
     df = spark.read.parquet(f"{root}/ohlcv")
@@ -293,16 +401,18 @@ def lake_files(spark, folder):
 
 
 def time_buckets(spark, folder):
-    """Trades per bar for all eight intervals."""
+    """Trades per bar for all eight intervals, one map-side combined aggregate each."""
     trades = tick_tables(spark, folder)["trades"]
-    widths = F.create_map(
-        *(F.lit(part) for name, ms in INTERVAL_MS.items() for part in (name, ms))
-    )
-    rows = trades.select(*KEYS[:2], "exchange_ts", F.explode(widths).alias("interval", "width"))
-    bar = F.col("exchange_ts") - F.pmod("exchange_ts", F.col("width"))
-    return rows.groupBy(*KEYS[:2], "interval", bar.alias("timestamp")).agg(
-        F.count(F.lit(1)).alias("trades")
-    )
+    found = None
+    for name, width in INTERVAL_MS.items():
+        bar = time_bucket(F.col("exchange_ts"), width)
+        counts = (
+            trades.groupBy(*KEYS[:2], bar.alias("timestamp"))
+            .agg(F.count(F.lit(1)).alias("trades"))
+            .withColumn("interval", F.lit(name))
+        )
+        found = counts if found is None else found.unionByName(counts)
+    return found
 
 
 def daily_bucket(spark, folder):
@@ -350,6 +460,8 @@ def registry():
         "L2b_read_parquet": read_events,
         "L3_concat_strict": concat_strict,
         "L3_concat_merge": concat_merge,
+        "L3_lake_strict": lake_strict,
+        "L3_lake_merge": lake_merge,
         "L4_from_epoch_ms": epoch_column,
         "L5_filter_datetime_range": range_filter,
         "L6_sort_by": sorted_rows,
@@ -362,6 +474,10 @@ def registry():
         "L12_month_gaps": month_gaps,
         "L13_panel": panel,
         "L14_write_lake": lake_files,
+        "L14_write_in_parts": lake_in_parts,
+        "L11_preview_fetch": preview_fetch,
+        "B9_returns_in_parts": partial(in_parts, dataset="returns"),
+        "B10_slippage_in_parts": partial(in_parts, dataset="slippage"),
         "get_ohlcv": partial(through_lake, call=get_ohlcv, dataset="ohlcv"),
         "get_vwap": partial(through_lake, call=get_vwap, dataset="vtwap"),
         "get_twap": partial(through_lake, call=get_twap, dataset="vtwap"),
@@ -385,6 +501,7 @@ def registry():
     }
     for number, dataset in enumerate(DATASETS, start=1):
         found[f"B{number}_{dataset}"] = partial(dataset_bars, dataset=dataset)
+        found[f"measured_{dataset}"] = partial(measured, dataset=dataset)
     for metric in (*TRADE_METRICS, *L1_METRICS, *L2_METRICS):
         found[f"get_metrics_{metric}"] = partial(
             through_lake, call=get_metrics, dataset=metric, metric=metric

@@ -7,6 +7,11 @@ FIRST_DAY, LAST_DAY = date(2020, 1, 1), date(2030, 12, 31)
 SLICE_SYMBOL = "perpetual-S1-USDT:USDT"
 SLICE_FROM, SLICE_TO = date(2024, 1, 5), date(2024, 1, 10)
 
+# Where a load in two parts is cut (16 January 2024), and the slice size that makes
+# ``measure`` cut bars of the generated data.
+PART_CUT = 1705363200000
+MEASURED_ROWS = 5
+
 GROUPS = {
     "tally": ("ohlcv", "flow", "trade_size", "range"),
     "path": ("vtwap", "impact", "updownticks", "returns"),

@@ -177,7 +177,7 @@ def test_symbols(spark, three_months):
     with pytest.raises(ValueError):
         tickloom.get_symbols(spark, three_months, "nowhere")
     plan = names._sc._jvm.PythonSQLUtils.explainString(names._jdf.queryExecution(), "formatted")
-    assert "ReadSchema: struct<>" in plan
+    assert "ReadSchema: struct<path:string>" in plan  # the content is not read
 
 
 def test_month_gaps(spark, three_months):
@@ -199,8 +199,8 @@ def test_preview(spark, three_months):
     )
     assert closes(df) == [1.0, 2.0]
     for start, end in (
-        (date(2020, 1, 1), date(2022, 6, 1)),
-        (date(2024, 1, 1), date(2024, 12, 31)),
+        (date(2023, 3, 5), date(2023, 4, 9)),
+        (date(2023, 11, 7), date(2024, 1, 31)),
         (date(2024, 1, 1), date(2024, 1, 30)),
     ):
         with pytest.raises(PreviewRefused):
@@ -209,6 +209,14 @@ def test_preview(spark, three_months):
         tickloom.get_vwap(
             spark, three_months, start_date=date(2024, 1, 1), end_date=date(2024, 1, 31), **call
         )
+    call |= {"start_date": date(2024, 1, 1), "end_date": date(2024, 1, 31)}
+    with pytest.raises(PreviewRefused):
+        tickloom.get_ohlcv(spark, three_months, **(call | {"symbol": [A, B]}))
+    both = allowed.unionByName(allowed.withColumn("symbol", F.lit(B)))
+    listed = call | {"symbol": [A, B], "preview": both}
+    assert closes(tickloom.get_ohlcv(spark, three_months, **listed)) == [1.0, 10.0, 2.0]
+    with pytest.raises(ValueError):
+        tickloom.get_ohlcv(spark, three_months, **(call | {"symbol": None}))
     other = (*keys[:3], "5m", *keys[4:])
     requests = spark.createDataFrame([keys, other, keys], schema)
     assert reports.preview_served(requests, allowed).count() == 2
@@ -233,3 +241,36 @@ def test_vwap_and_twap_are_one_dataset(spark, small, root):
     pd.testing.assert_frame_equal(
         tickloom.get_vwap(spark, root, **call), tickloom.get_twap(spark, root, **call)
     )
+
+
+def test_later_loads_keep_what_is_there(spark, root):
+    days = [day_ms(date(2024, 1, d)) for d in range(1, 31)]
+    write = lambda rows, **o: lake.write_lake(bars_of(spark, rows), root, "ohlcv", "1d", "exchange", **o)
+    write([(A, ts, k) for k, ts in enumerate(days[:15])])
+    write([(A, ts, k) for k, ts in enumerate(days[15:], start=15)] + [(B, days[0], 50)])
+    assert closes(load(spark, root)) == list(map(float, range(30)))
+    write([(A, days[3], 99), (A, day_ms(date(2024, 3, 1)), 7)])  # one bar anew, one month new
+    assert closes(load(spark, root)) == [0.0, 1.0, 2.0, 99.0, *map(float, range(4, 30))]
+    assert closes(load(spark, root, symbol=B)) == [50.0]
+    write([])
+    assert load(spark, root).count() == 30
+    write([(A, days[0], 5)], replace_months=True)
+    assert closes(load(spark, root)) == [5.0]
+    assert closes(load(spark, root, symbol=B)) == [50.0]
+
+
+def test_names_come_from_files_not_bars(spark, root):
+    odd = "perpetual-C+D/E USDT:1%"
+    rows = [(s, day_ms(date(2024, m, d)), d) for s in (A, odd) for m in (1, 2) for d in range(1, 29)]
+    lake.write_lake(bars_of(spark, rows), root, "ohlcv", "1d", "exchange")
+    listed = lake.partition_rows(spark, root, "ohlcv", X)
+    files = spark.read.parquet(f"{root}/ohlcv").inputFiles()
+    assert listed.count() == len(files) < len(rows)
+    assert {r.symbol for r in reports.list_symbols(spark, root, X).collect()} == {A, odd}
+    assert {(r.interval, r.year, r.month) for r in listed.collect()} == {("1d", 2024, 1), ("1d", 2024, 2)}
+
+
+def test_last_values(spark):
+    bars = bars_of(spark, [(A, 1, 3), (A, 2, 4), (B, 9, 5)])
+    found = {r.symbol: r.value for r in reports.last_values(bars, "close", before=9).collect()}
+    assert found == {A: 4.0}

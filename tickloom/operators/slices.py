@@ -126,3 +126,17 @@ def carry_last(
     return df.withColumn(name, F.coalesce(F.col("_seen"), first)).drop(
         "_chunk", "_seen", "_edge", "_group", "_before"
     )
+
+
+def or_previous(df: DataFrame, name: str, previous: DataFrame | None) -> DataFrame:
+    """Fill nulls of ``name`` from ``previous`` (exchange, symbol, value): what held before
+    the input began. One row per series; zero and null values count as none."""
+    if previous is None:
+        return df
+    value = F.max(F.nullif("value", F.lit(0.0))).alias("_previous")
+    seeds = previous.groupBy(*SERIES).agg(value)
+    return (
+        df.join(seeds, list(SERIES), "left")
+        .withColumn(name, F.coalesce(F.col(name), F.col("_previous")))
+        .drop("_previous")
+    )

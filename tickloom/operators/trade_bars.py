@@ -27,6 +27,7 @@ from tickloom.operators.slices import (
     cell_window,
     edge_window,
     finish,
+    or_previous,
     slice_width,
     ticks,
 )
@@ -435,17 +436,25 @@ def returns(
     *,
     slice_ms: int | None = None,
     chunk_rows: int = CHUNK_ROWS,
+    previous: DataFrame | None = None,
 ) -> DataFrame:
     """Open-to-close return, realized variance and close-to-close log return.
 
-    ``close_to_close`` is null at the first bar of a series in the input.
+    ``close_to_close`` at the first bar of a series in the input needs the close before
+    it: ``previous`` (exchange, symbol, value), see ``reports.last_values``; else it is null.
     """
     bars = price_path(trades, interval, ts_kind, slice_ms=slice_ms)
-    return finish(with_previous_close(bars, interval, chunk_rows), *return_columns())
+    return finish(with_previous_close(bars, interval, chunk_rows, previous), *return_columns())
 
 
-def with_previous_close(bars: DataFrame, interval: str, chunk_rows: int = CHUNK_ROWS):
-    return carry_last(bars, "close", "bar", interval_ms(interval), "prev_close", chunk_rows)
+def with_previous_close(
+    bars: DataFrame,
+    interval: str,
+    chunk_rows: int = CHUNK_ROWS,
+    previous: DataFrame | None = None,
+) -> DataFrame:
+    bars = carry_last(bars, "close", "bar", interval_ms(interval), "prev_close", chunk_rows)
+    return or_previous(bars, "prev_close", previous)
 
 
 def return_columns() -> list[Column]:
@@ -576,6 +585,7 @@ def slippage(
     *,
     slice_ms: int | None = None,
     chunk_rows: int = CHUNK_ROWS,
+    previous: DataFrame | None = None,
 ) -> DataFrame:
     """Quantity-weighted effective half-spread against the prevailing mid, in bps.
 
@@ -584,7 +594,8 @@ def slippage(
     quote the sums of ``sign*q*p`` and ``sign*q`` are kept; the mid they need, the last
     one of an earlier slice, is the same for all of them and is filled in on the slice
     table. So trades and quotes are scanned, shuffled and sorted once. A quote whose mid
-    is null or zero counts as no quote.
+    is null or zero counts as no quote. ``previous`` (exchange, symbol, value) holds the
+    last mid before the input, for trades before its first quote.
     """
     width = slice_width(interval, slice_ms)
     mid = F.nullif((F.col("bid_price") + F.col("ask_price")) / F.lit(2.0), F.lit(0.0))
@@ -644,6 +655,7 @@ def slippage(
         *sums,
     )
     slices = carry_last(slices, "last_mid", "slice", width, "seed", chunk_rows)
+    slices = or_previous(slices, "seed", previous)
     seed = F.col("seed")
     known = seed.isNotNull()
     totals = []

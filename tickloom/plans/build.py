@@ -44,6 +44,11 @@ _BUILDERS = {
 }
 
 
+def source_of(dataset: str) -> str:
+    """Name of the input a dataset is made from; slippage takes quotes too."""
+    return _BUILDERS[check_dataset(dataset)][0]
+
+
 @dataclass(frozen=True)
 class Sizing:
     """Into which slices to cut the bars of one input."""
@@ -94,11 +99,13 @@ def build(
     *,
     limits: tuple[float, float] | None = None,
     sizing: dict[str, Sizing] | None = None,
+    previous: DataFrame | None = None,
 ) -> DataFrame:
     """Bars of one dataset; ``inputs`` holds trades, quotes, book and deriv by name.
 
     ``sizing`` holds measurements of the inputs by name. Slippage mixes trades and quotes
-    in its slices and uses a measured width only if both were measured.
+    in its slices and uses a measured width only if both were measured. ``previous`` is for
+    returns (last close) and slippage (last mid) of a part of the input.
     """
     source, builder = _BUILDERS[check_dataset(dataset)]
     options = {}
@@ -106,6 +113,8 @@ def build(
         options["limits"] = limits
     if dataset in _SLICED:
         options["slice_ms"] = _width(dataset, sizing or {})
+    if dataset in ("returns", "slippage"):
+        options["previous"] = previous
     tables = [inputs[source]]
     if dataset == "slippage":
         tables.append(inputs["quotes"])

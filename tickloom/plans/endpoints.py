@@ -7,7 +7,6 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.catalogue import DERIVATIVE_METRICS, L1_METRICS, L2_METRICS, TRADE_METRICS
 from tickloom.sources import lake, reports
 
 
@@ -15,26 +14,30 @@ class PreviewRefused(PermissionError):
     """The request is not in the preview whitelist."""
 
 
+def _check_preview(preview, dataset, exchange, symbol, *rest) -> None:
+    """Every named symbol must be listed with all the other parameters."""
+    symbols = [symbol] if isinstance(symbol, str) else list(symbol or [])
+    if not symbols or not isinstance(exchange, str):
+        raise ValueError("a preview needs one exchange and the symbols by name")
+    for name in dict.fromkeys(symbols):
+        values = (dataset, exchange, name, *rest)
+        request = dict(zip(reports.PREVIEW_KEYS, values, strict=True))
+        match = F.lit(True)
+        for key, value in request.items():
+            match = match & (F.col(key) == F.lit(value))
+        if preview.where(match).isEmpty():
+            raise PreviewRefused(f"no preview of {request}")
+
+
 def _fetch(
     spark, root, dataset, timestamp, interval, exchange, symbol, start_date, end_date, preview,
     **options,
 ):
     lake.check_request(dataset, timestamp, interval, exchange, start_date, end_date)
     if preview is not None:
-        request = {
-            "dataset": dataset,
-            "exchange": exchange,
-            "symbol": symbol,
-            "interval": interval,
-            "ts_kind": timestamp,
-            "start_date": start_date,
-            "end_date": end_date,
-        }
-        match = F.lit(True)
-        for name in reports.PREVIEW_KEYS:
-            match = match & (F.col(name) == F.lit(request[name]))
-        if preview.where(match).isEmpty():
-            raise PreviewRefused(f"no preview of {request}")
+        _check_preview(
+            preview, dataset, exchange, symbol, interval, timestamp, start_date, end_date
+        )
     return lake.load(
         spark, root, dataset, timestamp, interval, exchange, symbol, start_date, end_date,
         **options,
@@ -134,7 +137,3 @@ def get_symbols(spark: SparkSession, root: str, exchange: str) -> list[str]:
     """Symbols of an exchange. A list of names, not of rows, so it fits on the driver."""
     rows = reports.list_symbols(spark, root, exchange).orderBy("symbol")
     return [row.symbol for row in rows.collect()]
-
-
-METRICS = (*TRADE_METRICS, *L1_METRICS, *L2_METRICS)
-DERIVED = DERIVATIVE_METRICS

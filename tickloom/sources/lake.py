@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from datetime import date
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.catalogue import (
@@ -30,6 +30,7 @@ from tickloom.catalogue import (
     partition_schema,
 )
 from tickloom.functions.clock import month_number, ntz_from_ms
+from tickloom.session import shared_folder
 from tickloom.sources.frames import SchemaMismatch, trim
 
 log = logging.getLogger(__name__)
@@ -37,9 +38,20 @@ Names = str | Sequence[str] | None
 
 
 def write_lake(
-    bars: DataFrame, root: str, dataset: str, interval: str, ts_kind: str
+    bars: DataFrame,
+    root: str,
+    dataset: str,
+    interval: str,
+    ts_kind: str,
+    *,
+    replace_months: bool = False,
 ) -> str:
-    """Write bars of one dataset, interval and clock; months written before are replaced.
+    """Write bars of one dataset, interval and clock.
+
+    Bars written before stay: where a month of a series is there already, old and new bars
+    are merged and new ones win, so a day or a week can be loaded on its own. Both sides
+    are bar tables, and only the months that the new bars span are read.
+    ``replace_months`` drops what the touched months held instead.
 
     A series holds at most one row per interval, so a month folder is bounded by the
     calendar (2.7 million rows at 1s), however many trades stand behind it. The
@@ -71,6 +83,8 @@ def write_lake(
     )
     folders = [name for name in PARTITIONS if name not in ("interval", "ts_kind")]
     path = f"{root}/{dataset}/interval={interval}/ts_kind={ts_kind}"
+    if not replace_months:
+        rows = _with_stored(rows, path, folders)
     by_folder = [F.col(name) for name in folders]
     if rows.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
         rows = rows.hint("rebalance", *by_folder)
@@ -86,6 +100,34 @@ def write_lake(
     return path
 
 
+def _with_stored(rows: DataFrame, path: str, folders: list[str]) -> DataFrame:
+    """``rows`` and the bars stored in the folders they touch, read from a staged copy."""
+    spark = rows.sparkSession
+    try:
+        stored = spark.read.schema(rows.schema).option("basePath", path).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return rows
+
+    def staged(df: DataFrame) -> DataFrame:
+        where = shared_folder(spark, "merge")
+        df.write.parquet(where)
+        return spark.read.schema(rows.schema).parquet(where)
+
+    rows = staged(rows)
+    month = F.col("year") * 12 + F.col("month")
+    span = rows.agg(F.min(month).alias("first"), F.max(month).alias("last")).first()
+    if span.first is None:
+        return rows
+    old = (
+        stored.where(month.between(span.first, span.last))
+        .join(rows.select(*folders).distinct(), folders, "left_semi")
+        .join(rows.select(*SERIES, "timestamp"), [*SERIES, "timestamp"], "left_anti")
+    )
+    return staged(old.select(rows.columns).unionByName(rows))
+
+
 def read_parquet(spark: SparkSession, *paths: str) -> DataFrame:
     return spark.read.parquet(*paths)
 
@@ -287,20 +329,38 @@ def load_files(
 
 
 def partition_rows(
-    spark: SparkSession, root: str, dataset: str, exchange: Names = None
+    spark: SparkSession,
+    root: str,
+    dataset: str,
+    exchange: Names = None,
+    interval: str | None = None,
+    ts_kind: str | None = None,
 ) -> DataFrame:
-    """Directory columns only: reads no data column, for symbol lists and gap reports."""
+    """The folder names of each stored file, one row per file, for symbol lists and gaps.
+
+    Files are listed, their content is not read. What is known goes into the path.
+    """
     exchanges = [f"exchange={check_exchange(n)}" for n in _as_list(exchange) or EXCHANGES]
-    where = f"{root}/{check_dataset(dataset)}/interval=*/ts_kind=*/{_any_of(exchanges)}"
+    where = (
+        f"{root}/{check_dataset(dataset)}/interval={interval or '*'}/ts_kind={ts_kind or '*'}/"
+        f"{_any_of(exchanges)}"
+    )
     try:
-        df = (
-            spark.read.option("basePath", f"{root}/{dataset}")
-            .schema(lake_schema(dataset))
-            .parquet(where)
+        files = (
+            spark.read.format("binaryFile")
+            .option("recursiveFileLookup", "true")
+            .option("pathGlobFilter", "*.parquet")
+            .load(where)
+            .select("path")
         )
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], partition_schema())
-    return df.select(*PARTITIONS)
 
+    def folder(field) -> Column:
+        found = F.regexp_extract("path", f"/{field.name}=([^/]*)/", 1)
+        # Folder names are percent-encoded; a plus sign stands for itself.
+        return F.url_decode(F.replace(found, F.lit("+"), F.lit("%2B"))).cast(field.dataType)
+
+    return files.select(*(folder(f).alias(f.name) for f in partition_schema()))

@@ -24,7 +24,7 @@ PREVIEW_KEYS = (
 
 
 def list_symbols(spark: SparkSession, root: str, exchange: str) -> DataFrame:
-    """Symbols of an exchange, from directory names."""
+    """Symbols of an exchange, from the folder names of its files."""
     check_exchange(exchange)
     rows = partition_rows(spark, root, SYMBOL_DATASET, exchange)
     return rows.where(F.col("exchange") == exchange).select("symbol").distinct()
@@ -49,11 +49,7 @@ def month_gaps(
     A series is known if it has any file in this dataset, clock and interval.
     """
     check_request(dataset, timestamp, interval, exchange, start_date, end_date)
-    rows = partition_rows(spark, root, dataset, exchange).where(
-        (F.col("ts_kind") == timestamp)
-        & (F.col("interval") == interval)
-        & (F.col("exchange") == exchange)
-    )
+    rows = partition_rows(spark, root, dataset, exchange, interval, timestamp)
     present = rows.select(*SERIES, "year", "month").distinct()
     first, last = start_date.replace(day=1), end_date.replace(day=1)
     step = F.expr("interval 1 month")
@@ -73,3 +69,15 @@ def preview_served(requests: DataFrame, whitelist: DataFrame) -> DataFrame:
 
 def preview_refused(requests: DataFrame, whitelist: DataFrame) -> DataFrame:
     return requests.join(whitelist, list(PREVIEW_KEYS), "left_anti")
+
+
+def last_values(bars: DataFrame, column: str, before: int | None = None) -> DataFrame:
+    """exchange, symbol and the latest non-null ``column`` of each series, as ``value``.
+
+    ``before`` (ms) leaves out later bars. With ``close`` of ohlcv bars it is what ``returns``
+    takes as ``previous``, with ``mid_price`` of l1_price bars what ``slippage`` takes.
+    """
+    rows = bars.where(F.col(column).isNotNull())
+    if before is not None:
+        rows = rows.where(F.col("timestamp") < before)
+    return rows.groupBy(*SERIES).agg(F.max_by(column, "timestamp").alias("value"))
