@@ -7,7 +7,17 @@ higher moments from their sums.
 
 from __future__ import annotations
 
-from checks.settings import GROUPS, LIMITS, PART_CUT, SLICE_FROM, SLICE_SYMBOL, SLICE_TO, nudge
+from checks.settings import (
+    FINE_DATASETS,
+    FINE_INTERVALS,
+    GROUPS,
+    LIMITS,
+    PART_CUT,
+    SLICE_FROM,
+    SLICE_SYMBOL,
+    SLICE_TO,
+    nudge,
+)
 from tickloom.catalogue import (
     BOOK_DEPTHS,
     DATASETS,
@@ -23,9 +33,11 @@ from tickloom.catalogue import (
 from tickloom.functions.clock import day_ms, next_day_ms
 
 _K = "CAST(json_extract_string(props, '$.k') AS BIGINT)"
-_MS = "(epoch_us(ts) // 1000)"
+_MS = "(epoch_us(ts) // 1000 + (event_id % 4) * 2678400000)"
+_EXCHANGE = "['binance-futures', 'okx-perps', 'hyperliquid-perps'][user_id % 3 + 1]"
+_FIRST = "exchange = 'binance-futures'"
 _SYMBOL = "'perpetual-S' || CAST(user_id % 5 AS VARCHAR) || '-USDT:USDT'"
-_KEYS = f"""'binance-futures' AS exchange, {_SYMBOL} AS symbol,
+_KEYS = f"""{_EXCHANGE} AS exchange, {_SYMBOL} AS symbol,
   {_MS} AS exchange_ts, {_MS} + (event_id * 7919) % 900000 AS true_ts"""
 
 _TRADES = f"""trades AS (
@@ -488,7 +500,7 @@ def sql_texts() -> dict[str, str]:
         "L1_load_dataset": _bar_sql(
             "ohlcv",
             keys=f"{series}, {_DATETIME} AS time, {_DATETIME} AS datetime",
-            where=f"WHERE symbol = '{SLICE_SYMBOL}' AND {_range(SLICE_FROM, SLICE_TO)}",
+            where=f"WHERE {_FIRST} AND symbol = '{SLICE_SYMBOL}' AND {_range(SLICE_FROM, SLICE_TO)}",
         ),
         "L2_month_pruning": _bar_sql(
             "ohlcv", keys=f"exchange, symbol, timestamp, {month}", where=f"WHERE {in_january}"
@@ -506,7 +518,7 @@ def sql_texts() -> dict[str, str]:
         "L7_has_column": "SELECT event_id, value, CAST(year(ts) AS INTEGER) AS year, "
         "CAST(month(ts) AS INTEGER) AS month FROM events",
         "L8_empty_result": _bar_sql("ohlcv", where="WHERE timestamp < 0"),
-        "L9_list_symbols": f"WITH {_TRADES} SELECT DISTINCT symbol FROM trades",
+        "L9_list_symbols": f"WITH {_TRADES} SELECT DISTINCT symbol FROM trades WHERE {_FIRST}",
         "L10_symbol_prefix": f"WITH {_TRADES} SELECT trade_id, symbol FROM trades "
         "WHERE starts_with(symbol, 'perpetual-')",
         "L11_preview_served": _requests("IN"),
@@ -516,17 +528,17 @@ months AS (SELECT unnest([202312, 202401, 202402]) AS m),
 seen AS (SELECT DISTINCT exchange, symbol,
     year(make_timestamp(exchange_ts * 1000)) * 100 + month(make_timestamp(exchange_ts * 1000))
       AS m
-  FROM trades)
+  FROM trades WHERE {_FIRST})
 SELECT exchange, symbol, CAST(m // 100 AS INTEGER) AS year, CAST(m % 100 AS INTEGER) AS month
 FROM (SELECT exchange, symbol, m FROM (SELECT DISTINCT exchange, symbol FROM seen), months
   EXCEPT SELECT * FROM seen)""",
         "L13_panel": _bar_sql(
-            "ohlcv", where=f"WHERE {_range(date(2024, 1, 3), date(2024, 1, 25))}"
+            "ohlcv", where=f"WHERE {_range(date(2024, 1, 3), date(2024, 3, 10))}"
         ),
         "L14_write_lake": _bar_sql("ohlcv", keys=f"{series}, {month}, {_DATETIME} AS time"),
         "L14_write_in_parts": _bar_sql("ohlcv", keys=f"{series}, {month}, {_DATETIME} AS time"),
         "L11_preview_fetch": _bar_sql(
-            "ohlcv", where=f"WHERE symbol = '{SLICE_SYMBOL}' AND {_range(SLICE_FROM, SLICE_TO)}"
+            "ohlcv", where=f"WHERE {_FIRST} AND symbol = '{SLICE_SYMBOL}' AND {_range(SLICE_FROM, SLICE_TO)}"
         ),
         "L3_lake_strict": _bar_sql("ohlcv"),
         "L3_lake_merge": _bar_sql(
@@ -539,7 +551,7 @@ FROM (SELECT exchange, symbol, m FROM (SELECT DISTINCT exchange, symbol FROM see
         "get_ohlcv": _fetched("ohlcv"),
         "get_vwap": _fetched("vtwap"),
         "get_twap": _fetched("vtwap"),
-        "get_symbols": f"WITH {_TRADES} SELECT symbol FROM trades GROUP BY symbol",
+        "get_symbols": f"WITH {_TRADES} SELECT symbol FROM trades WHERE {_FIRST} GROUP BY symbol",
         "X1_time_bucket": f"WITH {_TRADES} {every_bar}",
         "X1_time_bucket_true": f"WITH {_TRADES} SELECT trade_id, "
         "epoch_ms(date_trunc('day', make_timestamp(true_ts * 1000))) AS timestamp FROM trades",
@@ -565,6 +577,9 @@ FROM (SELECT exchange, symbol, m FROM (SELECT DISTINCT exchange, symbol FROM see
     }
     for number, dataset in enumerate(DATASETS, start=1):
         out[f"B{number}_{dataset}"] = out[f"measured_{dataset}"] = _bar_sql(dataset)
+    for interval in FINE_INTERVALS:
+        for dataset in FINE_DATASETS:
+            out[f"{dataset}_{interval}"] = _bar_sql(dataset, interval)
     for metric in (*TRADE_METRICS, *L1_METRICS, *L2_METRICS):
         out[f"get_metrics_{metric}"] = _fetched(metric)
     for metric in DERIVATIVE_METRICS:

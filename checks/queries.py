@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks.settings import (
+    FINE_DATASETS,
+    FINE_INTERVALS,
     FIRST_DAY,
     GROUPS,
     LAST_DAY,
@@ -121,7 +123,7 @@ def through_lake(spark, folder, *, call, dataset, metric=None):
         root,
         timestamp="true",
         interval="1d",
-        exchange=EXCHANGE,
+        exchange=None,
         symbol=None,
         start_date=FIRST_DAY,
         end_date=LAST_DAY,
@@ -145,7 +147,7 @@ def shared_pass(spark, folder, *, datasets):
     for dataset in datasets:
         columns = {name: f"{dataset}_{name}" for name in metric_columns(dataset)}
         part = lake.load(
-            spark, root, dataset, "exchange", "4h", EXCHANGE, None, FIRST_DAY, LAST_DAY, sort=False
+            spark, root, dataset, "exchange", "4h", None, None, FIRST_DAY, LAST_DAY, sort=False
         )
         part = rounded(part, KEYS, list(columns)).withColumnsRenamed(columns)
         names += columns.values()
@@ -178,7 +180,7 @@ def month_pruning(spark, folder):
     """Whole months of the range 10 to 20 January: pruned by month, not yet by day."""
     root = _written(spark, folder, "ohlcv", "4h")
     df = lake.scan_months(
-        spark, root, "ohlcv", "exchange", "4h", EXCHANGE, None, date(2024, 1, 10),
+        spark, root, "ohlcv", "exchange", "4h", None, None, date(2024, 1, 10),
         date(2024, 1, 20),
     )
     return rounded(df, [*KEYS, "year", "month"], OHLCV)
@@ -367,7 +369,7 @@ def month_gaps(spark, folder):
 def panel(spark, folder):
     root = _written(spark, folder, "ohlcv", "4h")
     df = lake.load(
-        spark, root, "ohlcv", "exchange", "4h", None, None, date(2024, 1, 3), date(2024, 1, 25)
+        spark, root, "ohlcv", "exchange", "4h", None, None, date(2024, 1, 3), date(2024, 3, 10)
     )
     return rounded(df, KEYS, OHLCV)
 
@@ -502,6 +504,9 @@ def registry():
     for number, dataset in enumerate(DATASETS, start=1):
         found[f"B{number}_{dataset}"] = partial(dataset_bars, dataset=dataset)
         found[f"measured_{dataset}"] = partial(measured, dataset=dataset)
+    for interval in FINE_INTERVALS:
+        for dataset in FINE_DATASETS:
+            found[f"{dataset}_{interval}"] = partial(dataset_bars, dataset=dataset, interval=interval)
     for metric in (*TRADE_METRICS, *L1_METRICS, *L2_METRICS):
         found[f"get_metrics_{metric}"] = partial(
             through_lake, call=get_metrics, dataset=metric, metric=metric

@@ -12,6 +12,9 @@ SLICE_FROM, SLICE_TO = date(2024, 1, 5), date(2024, 1, 10)
 PART_CUT = 1705363200000
 MEASURED_ROWS = 5
 
+FINE_INTERVALS = ("1m", "1h")
+FINE_DATASETS = ("ohlcv", "vtwap", "flow", "trade_size", "returns", "slippage", "l1_price", "basis")
+
 GROUPS = {
     "tally": ("ohlcv", "flow", "trade_size", "range"),
     "path": ("vtwap", "impact", "updownticks", "returns"),

@@ -12,7 +12,7 @@ FIRST, LAST = date(2024, 1, 1), date(2024, 12, 31)
 
 def test_measure_counts_slices(small):
     trades = small["trades"]
-    most = trades.selectExpr("symbol", "exchange_ts div 86400000 d").groupBy("symbol", "d").count()
+    most = trades.selectExpr("exchange", "symbol", "exchange_ts div 86400000 d").groupBy("exchange", "symbol", "d").count()
     largest = most.agg({"count": "max"}).first()[0]
     assert measure(trades, "1d").slice_ms == 86_400_000
     assert measure(trades, "1d", max_rows=largest).slice_ms == 86_400_000

@@ -9,10 +9,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tickloom.catalogue import EXCHANGES
 from tickloom.functions.clock import ms_from_ntz
 
 # How an event becomes a tick.
 EVENT_EXCHANGE = "binance-futures"
+EVENT_MONTHS = 4
+EVENT_MONTH_MS = 31 * 86_400_000
 LAG_STEP = 7919
 LAG_LIMIT_MS = 900_000
 QUOTE_EVENTS = ("signup", "error", "view")
@@ -29,11 +32,14 @@ def _k() -> Column:
 
 
 def _ticks(events: DataFrame, id_name: str) -> list[Column]:
-    ms = ms_from_ntz(F.col("ts"))
+    # One month of events, dealt over four months and three exchanges.
+    month = (F.col("event_id") % EVENT_MONTHS) * EVENT_MONTH_MS
+    ms = ms_from_ntz(F.col("ts")) + month
     user = F.col("user_id")
+    exchanges = F.array(*map(F.lit, EXCHANGES))
     return [
         F.col("event_id").alias(id_name),
-        F.lit(EVENT_EXCHANGE).alias("exchange"),
+        F.get(exchanges, (user % len(EXCHANGES)).cast("int")).alias("exchange"),
         F.concat(
             F.lit("perpetual-S"), (user % 5).cast("string"), F.lit("-USDT:USDT")
         ).alias("symbol"),
