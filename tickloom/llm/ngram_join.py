@@ -43,7 +43,7 @@ GROUPS = 64
 LEAF = 32
 BLOCK = 1024
 #: Rows that a task of the comparison gets, about: (shingle, document), and sets.
-UNIT, SETS = 30_000, 1000
+UNIT, SETS = 10_000, 1000
 #: Counters of the table of shingle frequencies.
 COUNTERS = 1 << 18
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))

@@ -36,7 +36,7 @@ EFFORT = 100
 #: Bins with the most room that a one-for-two exchange is tried with.
 ROOMY = 64
 #: Words of which a worker keeps the ids; the first ones it meets hold the frequent ones.
-CACHED_WORDS = 1_200_000
+CACHED_WORDS = 800_000
 #: Texts tokenised together.
 AT_ONCE = 1000
 
