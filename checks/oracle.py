@@ -570,6 +570,8 @@ FROM (SELECT exchange, symbol, m FROM (SELECT DISTINCT exchange, symbol FROM see
         "X4_stream_ohlcv": _closed("ohlcv", "exchange"),
         "X4_stream_ohlcv_true": _closed("ohlcv", "true"),
         "X4_stream_flow": _closed("flow", "exchange"),
+        "X4_stream_to_lake_ohlcv": _bar_sql("ohlcv"),
+        "X4_stream_to_lake_flow": _bar_sql("flow"),
         **{
             f"L14_write_datasets_{name}": _side_by_side(datasets)
             for name, datasets in GROUPS.items()

@@ -38,7 +38,13 @@ from tickloom.operators.resample import resample, vwap_with_volume
 from tickloom.plans.build import build, measure, source_of, write_dataset, write_datasets
 from tickloom.session import shared_folder
 from tickloom.sources import frames, lake, market, reports
-from tickloom.streaming.bars import stream_flow, stream_ohlcv, write_stream
+from tickloom.streaming.bars import (
+    close_open_bars,
+    stream_flow,
+    stream_ohlcv,
+    stream_to_lake,
+    write_stream,
+)
 
 EXCHANGE = market.EVENT_EXCHANGE
 KEYS = ["exchange", "symbol", "timestamp"]
@@ -438,12 +444,33 @@ def resampled(spark, folder, *, dataset):
     return rounded(resample(fine, dataset, "1d"), KEYS, metric_columns(dataset))
 
 
-def streamed(spark, folder, *, dataset, ts_kind="exchange"):
-    """Closed bars of a stream over the events file, with a 30-minute watermark."""
+def _event_stream(spark, folder):
     # As a glob, so that a single file and a folder of files both work.
-    source = spark.readStream.schema(market.read_events(spark, folder).schema).parquet(
+    return spark.readStream.schema(market.read_events(spark, folder).schema).parquet(
         f"{folder}/{{events.parquet}}"
     )
+
+
+def streamed_to_lake(spark, folder, *, dataset):
+    """A stream into the lake, its tail closed by the batch form: every bar is there."""
+    root, trades = shared_folder(spark, "lake"), market.trades(_event_stream(spark, folder))
+    options = {"interval": "4h", "delay": "30 minutes"}
+    if dataset == "flow":
+        bars = stream_flow(trades, limits=LIMITS, **options)
+    else:
+        bars = stream_ohlcv(trades, **options)
+    target = (root, dataset, "4h", "exchange")
+    stream_to_lake(bars, *target, shared_folder(spark, "state")).awaitTermination()
+    close_open_bars(build(dataset, tick_tables(spark, folder), "4h", limits=LIMITS), *target)
+    df = lake.load(
+        spark, root, dataset, "exchange", "4h", None, None, FIRST_DAY, LAST_DAY, sort=False
+    )
+    return rounded(df, KEYS, metric_columns(dataset))
+
+
+def streamed(spark, folder, *, dataset, ts_kind="exchange"):
+    """Closed bars of a stream over the events file, with a 30-minute watermark."""
+    source = _event_stream(spark, folder)
     options = {"interval": "4h", "ts_kind": ts_kind, "delay": "30 minutes"}
     if dataset == "flow":
         bars = stream_flow(market.trades(source), limits=LIMITS, **options)
@@ -496,6 +523,8 @@ def registry():
         "X4_stream_ohlcv": partial(streamed, dataset="ohlcv"),
         "X4_stream_ohlcv_true": partial(streamed, dataset="ohlcv", ts_kind="true"),
         "X4_stream_flow": partial(streamed, dataset="flow"),
+        "X4_stream_to_lake_ohlcv": partial(streamed_to_lake, dataset="ohlcv"),
+        "X4_stream_to_lake_flow": partial(streamed_to_lake, dataset="flow"),
         **{
             f"L14_write_datasets_{name}": partial(shared_pass, datasets=datasets)
             for name, datasets in GROUPS.items()

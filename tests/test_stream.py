@@ -1,9 +1,18 @@
+from datetime import date
+
 import pytest
 from pyspark.sql import functions as F
 
 from tests.helpers import same
 from tickloom.plans.build import build
-from tickloom.streaming.bars import stream_flow, stream_ohlcv, write_stream
+from tickloom.sources import lake
+from tickloom.streaming.bars import (
+    close_open_bars,
+    stream_flow,
+    stream_ohlcv,
+    stream_to_lake,
+    write_stream,
+)
 
 HOURS4 = 14_400_000
 
@@ -38,3 +47,24 @@ def test_restart_continues(spark, small, tmp_path):
     last = trades.agg(F.max("exchange_ts")).first()[0] - 20 * 60_000
     closed = build("ohlcv", small, "4h").where(F.col("timestamp") + HOURS4 <= last)
     same(spark.read.schema(run.schema).parquet(out), closed)
+
+
+def test_late_trades_and_the_tail(spark, small, tmp_path):
+    """Trades later than the watermark are dropped by the stream; closing adds open bars only."""
+    source, root, state = (str(tmp_path / name) for name in ("in", "lake", "state"))
+    trades = small["trades"]
+    last = trades.agg(F.max("exchange_ts")).first()[0]
+    late = trades.where(F.col("exchange_ts") < last - 10 * HOURS4).limit(5)
+    target = (root, "ohlcv", "4h", "exchange")
+    for part in (trades.exceptAll(late), late):
+        part.coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(trades.schema).parquet(source)
+        bars = stream_ohlcv(stream, "4h", delay="20 minutes")
+        stream_to_lake(bars, *target, state, {"availableNow": True}).awaitTermination()
+    load = lambda: lake.load(spark, root, "ohlcv", "exchange", "4h", None, None, date(2023, 1, 1), date(2025, 1, 1))
+    batch = build("ohlcv", {"trades": trades.exceptAll(late)}, "4h")
+    end = F.col("timestamp") + HOURS4 <= last - 20 * 60_000
+    same(load().select(batch.columns), batch.where(end))
+    close_open_bars(batch, *target)
+    close_open_bars(batch, *target)
+    same(load().select(batch.columns), batch)

@@ -8,6 +8,7 @@ Lag-based datasets need ordered rows and stay batch.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,6 +17,7 @@ from tickloom.functions.clock import interval_ms, ts_column
 from tickloom.functions.expr import first_by, last_by, order_key, sum_if, taker_buy
 from tickloom.operators.slices import finish
 from tickloom.operators.trade_bars import SIZE_LIMITS, _size_class, flow_columns
+from tickloom.sources.lake import write_lake
 
 
 def _windowed(trades: DataFrame, interval: str, ts_kind: str, delay: str):
@@ -69,13 +71,66 @@ def stream_flow(
     return finish(_bars(bars), *flow_columns())
 
 
-def write_stream(bars: DataFrame, path: str, checkpoint: str):
-    """Append closed bars as Parquet. The checkpoint makes a restart exact."""
-    return (
+def _triggered(writer, trigger: dict | None):
+    return writer.trigger(**({"availableNow": True} if trigger is None else trigger))
+
+
+def write_stream(bars: DataFrame, path: str, checkpoint: str, trigger: dict | None = None):
+    """Append closed bars as Parquet. The checkpoint makes a restart exact.
+
+    ``trigger`` holds arguments of ``DataStreamWriter.trigger``; all available data and then
+    stop unless given.
+    """
+    writer = (
         bars.writeStream.outputMode("append")
         .format("parquet")
         .option("path", path)
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
     )
+    return _triggered(writer, trigger).start()
+
+
+def stream_to_lake(
+    bars: DataFrame,
+    root: str,
+    dataset: str,
+    interval: str,
+    ts_kind: str,
+    checkpoint: str,
+    trigger: dict | None = None,
+):
+    """Write closed bars into the lake that ``load`` reads.
+
+    Each batch is merged into its months, and a batch that runs again after a failure
+    writes the same bars over themselves.
+    """
+
+    def store(batch: DataFrame, _: int) -> None:
+        write_lake(batch, root, dataset, interval, ts_kind)
+
+    writer = (
+        bars.writeStream.outputMode("append")
+        .foreachBatch(store)
+        .option("checkpointLocation", checkpoint)
+    )
+    return _triggered(writer, trigger).start()
+
+
+def close_open_bars(
+    bars: DataFrame, root: str, dataset: str, interval: str, ts_kind: str
+) -> str:
+    """Write the bars that a stopped stream left open behind its watermark.
+
+    ``bars`` are the batch form over the same trades. Bars in the lake stay as the stream
+    emitted them; only those it has not closed are added.
+    """
+    path = f"{root}/{dataset}/interval={interval}/ts_kind={ts_kind}"
+    spark, keys = bars.sparkSession, [*SERIES, "timestamp"]
+    schema = "exchange string, year int, month int, symbol string, timestamp bigint"
+    try:
+        closed = spark.read.schema(schema).option("basePath", path).parquet(path).select(*keys)
+        bars = bars.join(closed, keys, "left_anti")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+    return write_lake(bars, root, dataset, interval, ts_kind)
