@@ -183,7 +183,61 @@ def digest(scanned: DataFrame) -> DataFrame:
         joined("base").alias("base_labels"),
         joined("places").alias("labels"),
         F.coalesce(
-            F.array_max(F.transform("places", lambda p: F.least(p["share"], F.lit(1.0)))),
+            F.array_max(F.transform("places", lambda p: F.least(F.round(p["share"], 9), F.lit(1.0)))),
             F.lit(0.0),
         ).alias("score"),
     )
+
+
+def _sql(templates: Sequence[Template] = TEMPLATES) -> str:
+    vocabulary = _vocabulary(templates)
+    parts, keys, heads = [], [], []
+    for number, t in enumerate(templates):
+        words, key = t.words.split(), t.key.split()
+        at = next(k for k in range(len(words)) if words[k : k + len(key)] == key)
+        heads.append(f"({number}, '{t.label}', {str(t.base).lower()}, {at}, {len(key)})")
+        parts += [f"({number}, {k}, '{w}')" for k, w in enumerate(words) if w in vocabulary]
+        keys += [f"({number}, {at + k}, '{w}')" for k, w in enumerate(key)]
+    low = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    listed = ", ".join(f"'{w}'" for w in vocabulary)
+    return rf"""
+WITH w AS (
+  SELECT doc_id, regexp_extract_all({low}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+hits AS (SELECT * FROM (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) - 1 AS i FROM w)
+  WHERE word IN ({listed})),
+idf AS (
+  SELECT word, ln(1 + ((SELECT count(*) FROM w) + 1.0::DOUBLE) / (count(DISTINCT doc_id) + 1)) AS idf
+  FROM (SELECT unnest([{listed}]) AS word) LEFT JOIN hits USING (word) GROUP BY word),
+heads(t, label, base, lead_words, n) AS (VALUES {", ".join(heads)}),
+keys(t, off, word) AS (VALUES {", ".join(keys)}),
+parts(t, off, word) AS (VALUES {", ".join(parts)}),
+found AS (
+  SELECT doc_id, t, start FROM (
+    SELECT doc_id, t, i - off AS start, count(*) AS matched
+    FROM hits JOIN keys USING (word) GROUP BY doc_id, t, i - off) JOIN heads USING (t)
+  WHERE matched = n),
+whole AS (SELECT t, sum(idf) AS idf FROM parts JOIN idf USING (word) GROUP BY t),
+shares AS (
+  SELECT found.doc_id, found.t, start, sum(idf.idf) / any_value(whole.idf) AS share
+  FROM found JOIN parts ON parts.t = found.t
+    JOIN hits ON hits.doc_id = found.doc_id AND hits.word = parts.word AND hits.i = start + parts.off
+    JOIN idf ON idf.word = parts.word JOIN whole ON whole.t = found.t
+  GROUP BY found.doc_id, found.t, start),
+places AS (SELECT doc_id, label, base, start + lead_words AS start, share
+  FROM shares JOIN heads USING (t) WHERE share >= {LEAST_SHARE}),
+summed AS (
+  SELECT doc_id, count(*) FILTER (base) AS n_base, min(start) FILTER (base) AS first_word,
+    max(start) FILTER (base) AS last_word,
+    string_agg(DISTINCT label, ',' ORDER BY label) FILTER (base) AS base_labels,
+    string_agg(DISTINCT label, ',' ORDER BY label) AS labels,
+    max(least(round(share, 9), 1.0)) AS score
+  FROM places GROUP BY doc_id)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base,
+  first_word::BIGINT AS first_word, last_word::BIGINT AS last_word,
+  coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
+  coalesce(score, 0)::DOUBLE AS score
+FROM w LEFT JOIN summed USING (doc_id)
+"""
+
+
+SQL = _sql()

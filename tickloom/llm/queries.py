@@ -93,4 +93,8 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def sql_texts() -> dict[str, str]:
-    return {"op1_mixing": mixing.SQL, "op2_quality_rules": quality.SQL}
+    return {
+        "op1_mixing": mixing.SQL,
+        "op2_quality_rules": quality.SQL,
+        "op5_license_scan": licenses.SQL,
+    }
