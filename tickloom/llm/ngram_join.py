@@ -44,6 +44,8 @@ LEAF = 32
 BLOCK = 1024
 #: Rows that a task of the comparison gets, about: (shingle, document), and sets.
 UNIT, SETS = 10_000, 1000
+#: Shingles that the sets of a block hold together, about: 8 bytes each.
+SET_SUM = 1 << 21
 #: Counters of the table of shingle frequencies.
 COUNTERS = 1 << 18
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
@@ -286,11 +288,17 @@ def _sets(bits: np.ndarray, schema: pa.Schema):
     return apply
 
 
-def _spread(rows: DataFrame, key: str, block: int, unit: int, total: int) -> DataFrame:
-    """Adds blocks of large keys, the pair (left, right) of blocks and the task's unit."""
-    sizes = rows.groupBy(key).agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
-    sizes = sizes.where("blocks > 1")
-    units = max(1, -(-total // unit))
+def _spread(
+    rows: DataFrame, key: str, block: int, units: int, weight: str | None = None
+) -> DataFrame:
+    """Adds blocks of large keys, the pair (left, right) of blocks and the task's unit.
+
+    A block holds about ``block`` rows, and about ``SET_SUM`` of ``weight`` if there is one.
+    """
+    parts = F.ceil(F.count("*") / block)
+    if weight:
+        parts = F.greatest(parts, F.ceil(F.sum(weight) / SET_SUM))
+    sizes = rows.groupBy(key).agg(parts.cast("int").alias("blocks")).where("blocks > 1")
     own = F.xxhash64(key, "left", "right")
     return (
         rows.join(sizes, key, "left")
@@ -300,7 +308,8 @@ def _spread(rows: DataFrame, key: str, block: int, unit: int, total: int) -> Dat
         .withColumn("left", F.least("block", "other"))
         .withColumn("right", F.greatest("block", "other"))
         .withColumn(
-            "unit", F.when(F.col("blocks") > 1, own).otherwise(F.pmod(own, F.lit(units)))
+            "unit",
+            F.when(F.col("blocks") > 1, own).otherwise(F.pmod(own, F.lit(max(1, units)))),
         )
         .drop("blocks", "other")
     )
@@ -342,25 +351,23 @@ def join(docs: DataFrame) -> DataFrame:
     meeting = stage(tokens.join(shared, "token"), "meeting")
     edge = schema(a=long, b=long)
     near = (
-        _spread(meeting, "token", BLOCK, UNIT, meeting.count())
+        _spread(meeting, "token", BLOCK, meeting.count() // UNIT)
         .join(reps.select("rep", "n", "point"), "rep")
         .groupBy("unit")
         .applyInPandas(_meet, edge)
     )
-    families = stage(
-        components(near).select(F.col("node").alias("rep"), F.col("component").alias("family")),
-        "families",
+    families = components(near).select(
+        F.col("node").alias("rep"), F.col("component").alias("family")
     )
+    families = stage(families.join(reps.select("rep", "n"), "rep"), "families")
+    total, weight = families.agg(F.count("*"), F.sum("n")).first()
+    # Where each set goes is settled before any set is moved.
+    units = max(total // SETS, (weight or 0) // SET_SUM)
+    places = stage(_spread(families, "family", BLOCK, units, "n").drop("n"), "places")
     bits = bit_map(families.select(F.xxhash64("rep").alias("key")), "key")
     wanted = docs.select("doc_id", "text", map_place(F.xxhash64("doc_id")).alias("place"))
     wanted = mapped(wanted.where("doc_id is not null"), _sets, schema(rep=long, hashes=binary), bits)
-    links = (
-        _spread(
-            wanted.join(families, "rep"), "family", BLOCK // 2, SETS, families.count()
-        )
-        .groupBy("unit")
-        .applyInPandas(_verify, edge)
-    )
+    links = wanted.join(places, "rep").groupBy("unit").applyInPandas(_verify, edge)
     found = components(links)
     named = sets.join(found, sets["rep"] == found["node"], "left").select(
         "key", F.coalesce("component", "rep").alias("component_id")
