@@ -13,9 +13,11 @@ How the join is spread, with no pair lost:
 3. Documents at one shingle are points of an R-tree; pairs that survive its bounds join
    documents into families (components of a superset of the links). A shingle of more than
    ``BLOCK`` documents is compared block against block.
-4. Each family's sets come together, once for each pair of its blocks, and pairs that
+4. A long set's groups are many-membered and differences cancel out, so families are narrowed
+   with finer points first, about one group for ``FINE`` shingles, of a byte each.
+5. Each narrowed family's sets come together, once for each pair of its blocks, and pairs that
    survive the tree and aren't connected yet are verified on the sets themselves.
-5. Verified links give the components.
+6. Verified links give the components.
 """
 
 from __future__ import annotations
@@ -41,6 +43,7 @@ WIDTH = 3
 SHARE = 90
 GROUPS = 64
 LEAF = 32
+FINE = 8
 BLOCK = 1024
 #: Rows that a task of the comparison gets, about: (shingle, document), and sets.
 UNIT, SETS = 10_000, 1000
@@ -77,6 +80,23 @@ def point(hashes: np.ndarray) -> bytes:
     return counts.astype(np.uint8 if counts.max() < 256 else "<u4").tobytes()
 
 
+def fine_point(hashes: np.ndarray) -> bytes:
+    """Counts of a power of two of groups that nest: the width of a count, then the counts."""
+    bits = max(6, (len(hashes) // FINE).bit_length())
+    counts = np.bincount((hashes >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
+    width = 1 if counts.max() < 256 else 4
+    return bytes([width]) + counts.astype(f"<u{width}").tobytes()
+
+
+def unpack(raw: bytes) -> np.ndarray:
+    return np.frombuffer(raw, dtype=f"<u{raw[0]}", offset=1).astype(np.int32)
+
+
+def fold(counts: np.ndarray, groups: int) -> np.ndarray:
+    """Counts of fewer groups."""
+    return counts.reshape(groups, -1).sum(1)
+
+
 def points(raw: list[bytes]) -> np.ndarray:
     out = np.empty((len(raw), GROUPS), dtype=np.int32)
     small = np.array([len(r) == GROUPS for r in raw], dtype=bool)
@@ -199,13 +219,10 @@ def _meet(group: pd.DataFrame) -> pd.DataFrame:
     return _labels(ids, pairs[:, 0], pairs[:, 1])
 
 
-def _verify(group: pd.DataFrame) -> pd.DataFrame:
-    """Links between sets of a family that connect what isn't connected yet."""
-    group = group.sort_values(["family", "left", "right", "rep"], ignore_index=True)
-    sets = [np.frombuffer(r, dtype=np.uint64) for r in group["hashes"]]
-    n = np.array([len(s) for s in sets])
-    c = points([point(s) for s in sets])
-    root = list(range(len(sets)))
+def _connect(group: pd.DataFrame, c: np.ndarray, n: np.ndarray, shared) -> pd.DataFrame:
+    """Joins rows of a family whose ``shared(a, b)`` reaches the overlap, if the tree lets them
+    through and they aren't connected yet."""
+    root = list(range(len(n)))
 
     def find(k: int) -> int:
         while root[k] != k:
@@ -217,11 +234,7 @@ def _verify(group: pd.DataFrame) -> pd.DataFrame:
     for one, two in _runs(group, "family"):
         x, y = surviving(*tree_pairs(one, c, n, two), c, n)
         for a, b in zip(x.tolist(), y.tolist(), strict=True):
-            if (p := find(a)) == (q := find(b)):
-                continue
-            s, t = (sets[a], sets[b]) if n[a] <= n[b] else (sets[b], sets[a])
-            place = np.minimum(np.searchsorted(t, s), len(t) - 1)
-            if may_reach(np.int64((t[place] == s).sum()), n[a], n[b]):
+            if (p := find(a)) != (q := find(b)) and may_reach(shared(a, b), n[a], n[b]):
                 root[max(p, q)] = min(p, q)
                 linked_a.append(a)
                 linked_b.append(b)
@@ -229,6 +242,35 @@ def _verify(group: pd.DataFrame) -> pd.DataFrame:
     return _labels(group["rep"].to_numpy(), a, b)
 
 
+def _narrow(group: pd.DataFrame) -> pd.DataFrame:
+    """Families by the bounds of finer points."""
+    group = group.sort_values(["family", "left", "right", "rep"], ignore_index=True)
+    fine = [unpack(r) for r in group["fine"]]
+    n = group["n"].to_numpy()
+    c = np.stack([fold(f, GROUPS) for f in fine])
+
+    def shared(a: int, b: int) -> np.int64:
+        f, g = fine[a], fine[b]
+        groups = min(len(f), len(g))
+        return np.int64(np.minimum(fold(f, groups), fold(g, groups)).sum())
+
+    return _connect(group, c, n, shared)
+
+
+def _verify(group: pd.DataFrame) -> pd.DataFrame:
+    """Links between sets of a family that connect what isn't connected yet."""
+    group = group.sort_values(["family", "left", "right", "rep"], ignore_index=True)
+    sets = [np.frombuffer(r, dtype=np.uint64) for r in group["hashes"]]
+    n = np.array([len(s) for s in sets])
+    c = points([point(s) for s in sets])
+
+    def shared(a: int, b: int) -> np.int64:
+        s, t = (sets[a], sets[b]) if n[a] <= n[b] else (sets[b], sets[a])
+        return np.int64((t[np.minimum(np.searchsorted(t, s), len(t) - 1)] == s).sum())
+
+    return _connect(group, c, n, shared)
+
+
 def _count(schema: pa.Schema):
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(COUNTERS, dtype=np.int64)
@@ -245,12 +287,13 @@ def _count(schema: pa.Schema):
 def _describe(frequent: np.ndarray, schema: pa.Schema):
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in parts(batches):
-            n, key, where, prefix = [], [], [], []
+            n, key, where, fine, prefix = [], [], [], [], []
             for text in batch.column(1).to_pylist():
                 s = shingles(text)
                 n.append(len(s))
                 key.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
                 where.append(point(s) if len(s) else None)
+                fine.append(fine_point(s) if len(s) else None)
                 first = len(s) - -(-SHARE * len(s) // 100) + 1 if len(s) else 0
                 prefix.append(s[order_of(s, frequent)[:first]].view(np.int64))
             ends = np.cumsum([0, *map(len, prefix)])
@@ -261,6 +304,7 @@ def _describe(frequent: np.ndarray, schema: pa.Schema):
                     pa.array(n, pa.int64()),
                     pa.array(key, pa.binary()),
                     pa.array(where, pa.binary()),
+                    pa.array(fine, pa.binary()),
                     pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat)),
                 ],
                 schema=schema,
@@ -340,7 +384,9 @@ def join(docs: DataFrame) -> DataFrame:
     frequent = np.zeros(COUNTERS, dtype=bool)  # at most COUNTERS rows came to the driver
     frequent[often["counter"].to_numpy(dtype=np.int64)] = True
 
-    described = schema(doc_id=long, n=long, key=binary, point=binary, prefix=T.ArrayType(long))
+    described = schema(
+        doc_id=long, n=long, key=binary, point=binary, fine=binary, prefix=T.ArrayType(long)
+    )
     described = stage(mapped(docs, _describe, described, frequent), "shingles")
     sets = described.where("key is not null").groupBy("key").agg(F.min("doc_id").alias("rep"))
     sets = stage(sets.where("rep is not null"), "sets")
@@ -356,13 +402,25 @@ def join(docs: DataFrame) -> DataFrame:
         .groupBy("unit")
         .applyInPandas(_meet, edge)
     )
-    families = components(near).select(
-        F.col("node").alias("rep"), F.col("component").alias("family")
+
+    def families_of(edges: DataFrame, purpose: str) -> tuple[DataFrame, int, int]:
+        found = components(edges).select(
+            F.col("node").alias("rep"), F.col("component").alias("family")
+        )
+        found = stage(found.join(reps.select("rep", "n"), "rep"), purpose)
+        total, weight = found.agg(F.count("*"), F.sum("n")).first()
+        return found, total, weight or 0
+
+    wide, total, _ = families_of(near, "wide")
+    tight = (
+        _spread(wide, "family", BLOCK, total // SETS)
+        .join(reps.select("rep", "fine"), "rep")
+        .groupBy("unit")
+        .applyInPandas(_narrow, edge)
     )
-    families = stage(families.join(reps.select("rep", "n"), "rep"), "families")
-    total, weight = families.agg(F.count("*"), F.sum("n")).first()
+    families, total, weight = families_of(tight, "families")
     # Where each set goes is settled before any set is moved.
-    units = max(total // SETS, (weight or 0) // SET_SUM)
+    units = max(total // SETS, weight // SET_SUM)
     places = stage(_spread(families, "family", BLOCK, units, "n").drop("n"), "places")
     bits = bit_map(families.select(F.xxhash64("rep").alias("key")), "key")
     wanted = docs.select("doc_id", "text", map_place(F.xxhash64("doc_id")).alias("place"))
