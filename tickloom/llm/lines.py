@@ -8,7 +8,7 @@ First pass over texts: 64-bit hashes of chunks, counted with a map-side combine;
 ones set bits of a map of fixed size. Second pass: chunks whose bit is set are written with
 their text. For each hash the least and the greatest text are compared byte for byte: if
 they are equal every chunk with that hash is, and all but the first occurrence (in order of
-doc_id, then line) go. Chunks of different text under one hash are grouped by text
+doc_id, text hash, then line) go. Chunks of different text under one hash are grouped by text
 instead. Third pass: documents are cut. Hot chunks are combined before every shuffle.
 """
 
@@ -83,6 +83,7 @@ def _candidates(bits: np.ndarray, schema: pa.Schema):
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0).take(pa.array(rows, pa.int64())),
+                    batch.column(2).take(pa.array(rows, pa.int64())),
                     pa.array(first, pa.int32()),
                     pa.array(lines, pa.int32()),
                     pa.array(key, pa.int64()),
@@ -95,10 +96,13 @@ def _candidates(bits: np.ndarray, schema: pa.Schema):
 
 
 def repeated_chunks(docs: DataFrame) -> DataFrame:
-    """doc_id, first, lines and key of every chunk that is a later occurrence of its text."""
+    """doc_id, mark, first, lines and key of every chunk that is a later occurrence of its text.
+
+    ``mark`` is a hash of the whole text: it tells rows of one id apart.
+    """
     spark = docs.sparkSession
     ship(spark)
-    texts = docs.select("doc_id", "text")
+    texts = docs.select("doc_id", "text", F.xxhash64("text").alias("mark"))
     one = T.StructType([T.StructField("key", T.LongType())])
     counted = (
         texts.select("text")
@@ -111,6 +115,7 @@ def repeated_chunks(docs: DataFrame) -> DataFrame:
     schema = T.StructType(
         [
             docs.schema["doc_id"],
+            T.StructField("mark", T.LongType()),
             T.StructField("first", T.IntegerType()),
             T.StructField("lines", T.IntegerType()),
             T.StructField("key", T.LongType()),
@@ -120,7 +125,7 @@ def repeated_chunks(docs: DataFrame) -> DataFrame:
     found = stage(
         texts.mapInArrow(_candidates(bits, to_arrow_schema(schema)), schema), "chunks"
     )
-    place = F.struct("doc_id", "first")
+    place = F.struct("doc_id", "mark", "first")
     texts_of = found.groupBy("key").agg(
         F.count("*").alias("n"),
         F.min("chunk").alias("low"),
@@ -138,7 +143,7 @@ def repeated_chunks(docs: DataFrame) -> DataFrame:
     return (
         same.unionByName(mixed)
         .where(~place.eqNullSafe(F.col("origin")))
-        .select("doc_id", "first", "lines", "key")
+        .select("doc_id", "mark", "first", "lines", "key")
     )
 
 
@@ -169,15 +174,16 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     """All columns of ``docs`` with repeated chunks cut from ``text``, then n_lines, n_removed.
 
     Needs doc_id and text. A null text stays null and an empty one empty, with 0 lines. The
-    first occurrence stays; rows with equal (or null) ids count as one document, so equal
-    rows keep or lose the same chunks. Columns of ``docs`` named n_lines or n_removed are
+    first occurrence stays (in order of doc_id, a hash of the text, line). Rows equal in doc_id
+    (null too) and text count as one document and keep or lose the same chunks; rows of one id
+    with different texts are documents of their own. Columns of ``docs`` named n_lines or n_removed are
     replaced. An empty table gives no rows.
     """
     docs = docs.drop("n_lines", "n_removed")
     spans = (
         repeated_chunks(docs)
-        .dropDuplicates(["doc_id", "first"])
-        .groupBy(F.col("doc_id").alias("__id"))
+        .dropDuplicates(["doc_id", "mark", "first"])
+        .groupBy(F.col("doc_id").alias("__id"), F.col("mark").alias("__of"))
         .agg(F.collect_list(F.struct("first", "lines")).alias("__gone"))
     )
     out = T.StructType(
@@ -188,8 +194,10 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
         ]
     )
     at = docs.schema.names.index("text")
+    marked = docs.withColumn("__mark", F.xxhash64("text"))
+    of_row = marked["doc_id"].eqNullSafe(F.col("__id")) & (F.col("__mark") == F.col("__of"))
     return (
-        docs.join(spans, docs["doc_id"].eqNullSafe(F.col("__id")), "left")
-        .drop("__id")
+        marked.join(spans, of_row, "left")
+        .drop("__mark", "__id", "__of")
         .mapInArrow(_cut(to_arrow_schema(out), at), out)
     )
