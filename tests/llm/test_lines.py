@@ -1,5 +1,10 @@
 """Line dedup beyond plain documents: rows that share an id, and runs found without chunks()."""
 
+import random
+from collections import Counter
+
+import pytest
+
 from tickloom.llm import lines
 
 from .conftest import prose
@@ -20,3 +25,46 @@ def test_rows_of_one_id_keep_their_own_lines(frame):
     whole = sum(t.count("\n") + 1 for t in (shared, *own[:4]))
     assert sum(r.n_lines - r.n_removed for r in found.values()) >= whole
     assert sum(r.n_removed > 10 for r in found.values()) == 4
+
+
+def without_runs(rows):
+    """(doc_id, text, n_removed): pairs of lines looked up in all pairs before, no hashes."""
+    seen, out = set(), Counter()
+    for doc, text, _ in rows:
+        raw = text.split("\n") if text else []
+        gone = set()
+        for k, pair in enumerate(zip(raw, raw[1:])):
+            if pair in seen:
+                gone |= {k, k + 1}
+            seen.add(pair)
+        kept = "\n".join(x for k, x in enumerate(raw) if k not in gone)
+        out[doc, kept if gone else text, len(gone)] += 1
+    return out
+
+
+@pytest.mark.parametrize("size", [8, 1])
+def test_runs_of_any_length_go(frame, size):
+    r = random.Random(11)
+    runs = {n: [passage(10**5 * n + 100 * k, n) for k in range(6)] for n in range(2, 11)}
+    docs = [(0, None, "a"), (1, "", "a"), (2, "one line", "a"), (3, "one line", "a")]
+    for doc in range(4, 40):
+        parts = []
+        for n in r.sample(range(2, 11), 3):
+            parts += [passage(10**7 + 100 * (10 * doc + n), 3), r.choice(runs[n])]
+        docs.append((doc, "\n".join(parts), "a"))
+    docs += [(50, docs[10][1], "a"), (51, "x\nx\nx\nx", "a")]
+    found = Counter((x.doc_id, x.text, x.n_removed) for x in lines.dedup_runs(frame(docs), size).collect())
+    assert found == without_runs(docs)
+    cut = {doc: n for doc, _, n in found}
+    assert cut[50] == docs[10][1].count("\n") + 1 and sum(cut.values()) > 100
+    assert lines.dedup_runs(frame([])).count() == 0
+
+
+def test_op4_cuts_short_runs(spark, tmp_path):
+    from tickloom.llm import queries
+
+    two = passage(77, 2)
+    docs = [(k, f"{passage(1000 * k + 10**6, 3)}\n{two}\n{passage(1000 * k + 2 * 10**6, 3)}") for k in range(20)]
+    spark.createDataFrame(docs, "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = queries.op4_line_dedup(spark, str(tmp_path)).collect()
+    assert {x.doc_id: x.n_removed for x in found} == {k: 2 * (k > 0) for k in range(20)}

@@ -10,6 +10,14 @@ their text. For each hash the least and the greatest text are compared byte for
 they are equal every chunk with that hash is, and all but the first occurrence (in order of
 doc_id, text hash, then line) go. Chunks of different text under one hash are grouped by text
 instead. Third pass: documents are cut. Hot chunks are combined before every shuffle.
+
+Chunks miss short passages, whose ends seldom are chunk ends, and the one-line chunks inside
+long ones. ``dedup_runs`` (op4) therefore cuts every line of every later occurrence of two or
+more lines in a row: each pair of neighbouring lines is a window, so no boundary has to fall
+anywhere. Windows are pairs of line hashes, counted and filtered like chunks; the lines of the
+repeated ones are compared byte for byte, each text once a batch, and if two different lines
+have one hash everything is done again with another hash function. A line goes only if an
+earlier line equals it, so by induction over that order each text of a line stays somewhere.
 """
 
 from __future__ import annotations
@@ -31,8 +39,9 @@ DIVISOR = 3
 _MIX = 0x9E3779B97F4A7C15
 
 
-def _hash(data: bytes) -> int:
-    return int.from_bytes(hashlib.blake2b(data, digest_size=8).digest(), "little", signed=True)
+def _hash(data: bytes, turn: int = 0, size: int = 8) -> int:
+    digest = hashlib.blake2b(data, digest_size=size, salt=turn.to_bytes(8, "little")).digest()
+    return int.from_bytes(digest, "little", signed=True)
 
 
 def chunks(lines: list[bytes], span: int = SPAN, divisor: int = DIVISOR) -> list[tuple[int, int]]:
@@ -147,6 +156,129 @@ def repeated_chunks(docs: DataFrame) -> DataFrame:
     )
 
 
+def _line_hashes(text: str | None, turn: int, size: int) -> tuple[list[bytes], np.ndarray]:
+    lines = text.encode().split(b"\n") if text and "\n" in text else []
+    return lines, np.array([_hash(line, turn, size) for line in lines], dtype=np.int64)
+
+
+def _windows(h: np.ndarray) -> np.ndarray:
+    """A key of each pair of neighbouring lines."""
+    u = h.view(np.uint64)
+    mixed = (u[:-1] * np.uint64(_MIX)) ^ (u[:-1] >> np.uint64(31))
+    return ((mixed + u[1:]) * np.uint64(_MIX | 2)).view(np.int64)
+
+
+def _window_keys(turn: int, size: int, schema: pa.Schema):
+    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in parts(batches):
+            found = [_windows(_line_hashes(t, turn, size)[1]) for t in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found))], schema=schema)
+
+    return apply
+
+
+def _wanted(text: str | None, bits: np.ndarray, turn: int, size: int):
+    """Lines and their hashes, and the lines at which a window starts whose bit is set."""
+    lines, h = _line_hashes(text, turn, size)
+    place = _windows(h) % MAP_BITS
+    return lines, h, np.flatnonzero(bits[place >> 3] >> (place & 7).astype(np.uint8) & 1)
+
+
+def _window_rows(bits: np.ndarray, turn: int, size: int, schema: pa.Schema):
+    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in parts(batches):
+            rows, first = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+            one, two = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+            for i, text in enumerate(batch.column(1).to_pylist()):
+                _, h, at = _wanted(text, bits, turn, size)
+                rows.append(np.full(len(at), i))
+                first.append(at)
+                one.append(h[at])
+                two.append(h[at + 1])
+            take = pa.array(np.concatenate(rows))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0).take(take),
+                    batch.column(2).take(take),
+                    pa.array(np.concatenate(first).astype(np.int32)),
+                    pa.array(np.concatenate(one)),
+                    pa.array(np.concatenate(two)),
+                ],
+                schema=schema,
+            )
+
+    return apply
+
+
+def _window_lines(bits: np.ndarray, turn: int, size: int, schema: pa.Schema):
+    """The lines of the windows whose bit is set, once a batch."""
+
+    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in parts(batches):
+            found = set()
+            for text in batch.column(0).to_pylist():
+                lines, h, at = _wanted(text, bits, turn, size)
+                for k in np.union1d(at, at + 1).tolist():
+                    found.add((int(h[k]), lines[k]))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([k for k, _ in found], pa.int64()), pa.array([x for _, x in found], pa.binary())],
+                schema=schema,
+            )
+
+    return apply
+
+
+def repeated_windows(docs: DataFrame, size: int = 8) -> DataFrame:
+    """doc_id, mark and first line of every two lines in a row that stand somewhere before.
+
+    ``size`` is the number of bytes of a line's hash at the first try.
+    """
+    ship(docs.sparkSession)
+    texts = docs.select("doc_id", "text", F.xxhash64("text").alias("mark"))
+    long = T.LongType()
+    keys = T.StructType([T.StructField("key", long)])
+    rows = T.StructType(
+        [
+            docs.schema["doc_id"],
+            T.StructField("mark", long),
+            T.StructField("first", T.IntegerType()),
+            T.StructField("one", long),
+            T.StructField("two", long),
+        ]
+    )
+    pairs = T.StructType([T.StructField("line", long), T.StructField("bytes", T.BinaryType())])
+    turn = 0
+    while True:
+        counted = (
+            texts.select("text")
+            .mapInArrow(_window_keys(turn, size, to_arrow_schema(keys)), keys)
+            .groupBy("key")
+            .count()
+            .where("count > 1")
+        )
+        bits = bit_map(counted, "key")
+        collided = (
+            texts.select("text")
+            .mapInArrow(_window_lines(bits, turn, size, to_arrow_schema(pairs)), pairs)
+            .groupBy("line")
+            .agg(F.min("bytes").alias("low"), F.max("bytes").alias("high"))
+            .where("low != high")
+        )
+        if collided.isEmpty():
+            break
+        turn, size = turn + 1, 8
+    found = stage(
+        texts.mapInArrow(_window_rows(bits, turn, size, to_arrow_schema(rows)), rows), "windows"
+    )
+    place = F.struct("doc_id", "mark", "first")
+    origins = found.groupBy("one", "two").agg(F.count("*").alias("n"), F.min(place).alias("origin"))
+    return (
+        found.join(origins.where("n > 1").drop("n"), ["one", "two"])
+        .where(~place.eqNullSafe(F.col("origin")))
+        .select("doc_id", "mark", "first")
+    )
+
+
 def _cut(schema: pa.Schema, at: int):
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in parts(batches):
@@ -170,19 +302,10 @@ def _cut(schema: pa.Schema, at: int):
     return apply
 
 
-def dedup_lines(docs: DataFrame) -> DataFrame:
-    """All columns of ``docs`` with repeated chunks cut from ``text``, then n_lines, n_removed.
-
-    Needs doc_id and text. A null text stays null and an empty one empty, with 0 lines. The
-    first occurrence stays (in order of doc_id, a hash of the text, line). Rows equal in doc_id
-    (null too) and text count as one document and keep or lose the same chunks; rows of one id
-    with different texts are documents of their own. Columns of ``docs`` named n_lines or n_removed are
-    replaced. An empty table gives no rows.
-    """
-    docs = docs.drop("n_lines", "n_removed")
+def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """``docs`` without the spans (doc_id, mark, first, lines), then n_lines and n_removed."""
     spans = (
-        repeated_chunks(docs)
-        .dropDuplicates(["doc_id", "mark", "first"])
+        gone.dropDuplicates(["doc_id", "mark", "first"])
         .groupBy(F.col("doc_id").alias("__id"), F.col("mark").alias("__of"))
         .agg(F.collect_list(F.struct("first", "lines")).alias("__gone"))
     )
@@ -201,3 +324,23 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
         .drop("__mark", "__id", "__of")
         .mapInArrow(_cut(to_arrow_schema(out), at), out)
     )
+
+
+def dedup_lines(docs: DataFrame) -> DataFrame:
+    """All columns of ``docs`` with repeated chunks cut from ``text``, then n_lines, n_removed.
+
+    Needs doc_id and text. A null text stays null and an empty one empty, with 0 lines. The
+    first occurrence stays (in order of doc_id, a hash of the text, line). Rows equal in doc_id
+    (null too) and text count as one document and keep or lose the same chunks; rows of one id
+    with different texts are documents of their own. Columns of ``docs`` named n_lines or
+    n_removed are replaced. An empty table gives no rows.
+    """
+    docs = docs.drop("n_lines", "n_removed")
+    return _without(docs, repeated_chunks(docs))
+
+
+def dedup_runs(docs: DataFrame, size: int = 8) -> DataFrame:
+    """As ``dedup_lines``, but every line of each run of two or more lines that stands before
+    goes, wherever chunks end: all later occurrences of passages, whatever their length."""
+    docs = docs.drop("n_lines", "n_removed")
+    return _without(docs, repeated_windows(docs, size).withColumn("lines", F.lit(2)))

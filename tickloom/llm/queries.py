@@ -45,7 +45,7 @@ def op3_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op4_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    cut = lines.dedup_lines(table(spark, folder, "documents"))
+    cut = lines.dedup_runs(table(spark, folder, "documents"))
     return cut.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
