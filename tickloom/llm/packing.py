@@ -8,8 +8,8 @@ packed in a task of its own, so memory is bounded and no key can become hot.
 A group starts from best fit in falling length. Then documents are moved, or exchanged
 one for one or two for one, between underfull bins wherever that raises the sum of
 squared fills: fuller bins fill up, the emptiest run empty and are closed. The search
-ends when the number of bins is the least possible, or no exchange helps, or ``EFFORT``
-exchanges were made. At most one bin a group is lost against packing all pieces at once.
+ends when the number of bins is the least possible or no exchange helps; a bin that found
+none is tried again only with bins that changed since. At most one bin a group is lost against packing all pieces at once.
 """
 
 from __future__ import annotations
@@ -32,9 +32,6 @@ from .common import parts, ship, stage
 
 CAPACITY = 2048
 GROUP = 8192
-EFFORT = 100
-#: Bins with the most room that a one-for-two exchange is tried with.
-ROOMY = 64
 #: Words of which a worker keeps the ids; the first ones it meets hold the frequent ones.
 CACHED_WORDS = 800_000
 #: Texts tokenised together.
@@ -130,84 +127,111 @@ def best_fit(lengths: np.ndarray, capacity: int) -> list[list[int]]:
     return bins
 
 
-def _exchange(bins: list[list[int]], fill: np.ndarray, low: int, lengths, capacity: int) -> bool:
-    """The best step that moves fill out of bin ``low`` into an at least as full bin."""
-    others = np.flatnonzero((fill < capacity) & (fill >= fill[low]))
-    others = others[others != low]
-    if not len(others):
+class _Search:
+    """Exchanges between bins; ``bins`` and ``fill`` are changed in place.
+
+    Items are held flat with the room of their bin, so a step is a few passes over arrays.
+    What comes back from a partner (nothing, an item, two items) of size s from a bin with
+    room r can answer anything of a size up to s + r that leaves the emptier bin.
+    """
+
+    def __init__(self, bins: list[list[int]], fill: np.ndarray, lengths: np.ndarray, capacity: int):
+        self.bins, self.fill, self.lengths, self.capacity = bins, fill, lengths, capacity
+        self.owner = np.zeros(len(lengths), dtype=np.int64)
+        for b, items in enumerate(bins):
+            self.owner[items] = b
+        self.room = capacity - fill[self.owner]
+        self.clock = 0
+        self.changed = np.zeros(len(bins), dtype=np.int64)  # when a bin changed last
+
+    def step(self, low: int, since: int = -1) -> bool:
+        """The best step that moves fill out of bin ``low`` into an at least as full bin that
+        changed after ``since``."""
+        fill, owner, capacity = self.fill, self.owner, self.capacity
+        partner = (fill < capacity) & (fill >= fill[low]) & (self.changed > since)
+        partner[low] = False
+        others = np.flatnonzero(partner)
+        if not len(others):
+            return False
+        room = capacity - fill[others]
+        mine = sorted(self.bins[low], key=lambda i: -self.lengths[i])
+        for item in mine:  # move
+            fits = np.flatnonzero(room >= self.lengths[item])
+            if len(fits):
+                return self._do(low, [item], [], int(others[fits[np.argmin(room[fits])]]))
+        items = np.flatnonzero(partner[owner])
+        outs = {int(self.lengths[i]): [i] for i in mine}
+        for k, a in enumerate(mine):
+            for b in mine[k + 1 :]:
+                outs.setdefault(int(self.lengths[a] + self.lengths[b]), [a, b])
+        if best := self._best(list(outs), self.lengths[items], self.room[items]):
+            out, k = best  # one or two of this bin for one of another
+            return self._do(low, outs[out], [int(items[k])], int(owner[items[k]]))
+        items = items[np.argsort(owner[items], kind="stable")]
+        one, two = [items[:0]], [items[:0]]
+        for lag in range(1, len(items)):
+            same = owner[items[lag:]] == owner[items[:-lag]]
+            if not same.any():
+                break
+            one.append(items[:-lag][same])
+            two.append(items[lag:][same])
+        one, two = np.concatenate(one), np.concatenate(two)
+        outs = {int(self.lengths[i]): [i] for i in mine}
+        if best := self._best(list(outs), self.lengths[one] + self.lengths[two], self.room[one]):
+            out, k = best  # one for two
+            return self._do(low, outs[out], [int(one[k]), int(two[k])], int(owner[one[k]]))
         return False
-    room = capacity - fill[others]
-    mine = sorted(bins[low], key=lambda i: -lengths[i])
-    for item in mine:  # move
-        fits = np.flatnonzero(room >= lengths[item])
-        if len(fits):
-            to = int(others[fits[np.argmin(room[fits])]])
-            bins[low].remove(item)
-            bins[to].append(item)
-            fill[low] -= lengths[item]
-            fill[to] += lengths[item]
-            return True
-    owner = np.concatenate([np.full(len(bins[b]), b) for b in others])
-    item_of = np.concatenate([bins[b] for b in others])
-    size = lengths[item_of]
-    space = capacity - fill[owner]
-
-    def swap(out: list[int], back: list[int], to: int) -> bool:
-        gain = int(sum(lengths[out]) - sum(lengths[back]))
-        bins[low] = [i for i in bins[low] if i not in out] + back
-        bins[to] = [i for i in bins[to] if i not in back] + out
-        fill[low] -= gain
-        fill[to] += gain
+
+    def _best(self, outs: list[int], size: np.ndarray, room: np.ndarray) -> tuple[int, int] | None:
+        """The size that leaves and the place of what comes back for the greatest gain."""
+        useful = np.flatnonzero(size < max(outs))
+        if not len(useful):
+            return None
+        reach = np.zeros(self.capacity + 1, dtype=np.int64)
+        np.maximum.at(reach, size[useful], size[useful] + room[useful])
+        back = np.searchsorted(np.maximum.accumulate(reach), outs)  # least size that may answer
+        gain, out, size_back = max((o - b, o, b) for o, b in zip(outs, back.tolist(), strict=True))
+        if gain <= 0:
+            return None
+        fits = np.flatnonzero((size == size_back) & (size + room >= out))
+        return out, int(fits[np.argmin(room[fits])])
+
+    def _do(self, low: int, out: list[int], back: list[int], to: int) -> bool:
+        gain = int(self.lengths[out].sum() - self.lengths[back].sum())
+        self.bins[low] = [i for i in self.bins[low] if i not in out] + back
+        self.bins[to] = [i for i in self.bins[to] if i not in back] + out
+        self.owner[out], self.owner[back] = to, low
+        self.fill[low] -= gain
+        self.fill[to] += gain
+        self.clock += 1
+        for b in (low, to):
+            self.room[self.bins[b]] = self.capacity - self.fill[b]
+            self.changed[b] = self.clock
         return True
 
-    best = (0, None)
-    for item in mine:  # one for one
-        gain = np.where(lengths[item] - size <= space, lengths[item] - size, 0)
-        k = int(np.argmax(gain))
-        if gain[k] > best[0]:
-            best = (int(gain[k]), ([item], [int(item_of[k])], int(owner[k])))
-    for a in range(len(mine)):  # two of this bin for one of another
-        for b in range(a + 1, len(mine)):
-            both = lengths[mine[a]] + lengths[mine[b]]
-            gain = np.where(both - size <= space, both - size, 0)
-            k = int(np.argmax(gain))
-            if gain[k] > best[0]:
-                best = (int(gain[k]), ([mine[a], mine[b]], [int(item_of[k])], int(owner[k])))
-    if best[1] is None:
-        for to in others[np.argsort(-room, kind="stable")[:ROOMY]].tolist():  # one for two
-            theirs, gap = bins[to], capacity - fill[to]
-            pairs = lengths[theirs][:, None] + lengths[theirs][None, :]
-            pairs[np.tril_indices(len(theirs))] = capacity + 1
-            for item in mine:
-                gain = np.where(lengths[item] - pairs <= gap, lengths[item] - pairs, 0)
-                k = int(np.argmax(gain))
-                if gain.flat[k] > best[0]:
-                    i, j = divmod(k, len(theirs))
-                    best = (int(gain.flat[k]), ([item], [theirs[i], theirs[j]], to))
-    return best[1] is not None and swap(*best[1])
-
-
-def pack(lengths: np.ndarray, capacity: int = CAPACITY, effort: int = EFFORT) -> list[list[int]]:
+
+def _exchange(bins: list[list[int]], fill: np.ndarray, low: int, lengths, capacity: int) -> bool:
+    """One step out of bin ``low``."""
+    return _Search(bins, fill, lengths, capacity).step(low)
+
+
+def pack(lengths: np.ndarray, capacity: int = CAPACITY) -> list[list[int]]:
     """Items of each bin; ``lengths`` are from 1 to ``capacity``."""
     lengths = np.asarray(lengths, dtype=np.int64)
     bins = best_fit(lengths, capacity)
     fill = np.array([lengths[b].sum() for b in bins], dtype=np.int64)
     least = -(-int(lengths.sum()) // capacity)
-    used, stuck = len(bins), set()
-    while used > least and effort > 0:
-        low = min(
-            (b for b in np.flatnonzero((fill > 0) & (fill < capacity)).tolist() if b not in stuck),
-            key=lambda b: fill[b],
-            default=None,
-        )
-        if low is None:
-            break
-        effort -= 1
-        if _exchange(bins, fill, low, lengths, capacity):
-            used -= not bins[low]
-            stuck.clear()
-        else:
-            stuck.add(low)
+    used, search = len(bins), _Search(bins, fill, lengths, capacity)
+    stuck = np.full(len(bins), -1, dtype=np.int64)  # when no step out of a bin was left
+    before = -1
+    while used > least and search.clock > before:
+        before = search.clock
+        for low in np.argsort(fill, kind="stable").tolist():
+            since = int(stuck[low])
+            while used > least and 0 < fill[low] < capacity and search.step(low, since):
+                used -= not bins[low]
+                since = -1
+            stuck[low] = search.clock
     return [b for b in bins if b]
 
 
