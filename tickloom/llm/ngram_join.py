@@ -15,9 +15,10 @@ How the join is spread, with no pair lost:
    ``BLOCK`` documents is compared block against block.
 4. A long set's groups are many-membered and differences cancel out, so families are narrowed
    with finer points first, about one group for ``FINE`` shingles, of a byte each.
-5. Each narrowed family's sets come together, once for each pair of its blocks, and pairs that
-   survive the tree and aren't connected yet are verified on the sets themselves.
-6. Verified links give the components.
+5. Each narrowed family's sets come together, once for each pair of its blocks, so each pair in
+   one unit only, and every pair that survives the tree is verified on the sets themselves.
+6. Verified links give the components, and are counted for each set as they are found: the
+   number of links may be quadratic in a family, what leaves a unit is a row for each set.
 """
 
 from __future__ import annotations
@@ -68,6 +69,11 @@ def shingles(text: str | None, width: int = WIDTH) -> np.ndarray:
     return np.unique(found)
 
 
+def set_key(hashes: np.ndarray) -> bytes | None:
+    """Names a set; null for an empty one."""
+    return hashlib.blake2b(hashes.tobytes(), digest_size=16).digest() if len(hashes) else None
+
+
 def order_of(hashes: np.ndarray, frequent: np.ndarray) -> np.ndarray:
     """Places of ``hashes`` in the common order: frequent ones last, then by hash."""
     late = frequent[(hashes & np.uint64(COUNTERS - 1)).astype(np.int64)]
@@ -258,17 +264,39 @@ def _narrow(group: pd.DataFrame) -> pd.DataFrame:
 
 
 def _verify(group: pd.DataFrame) -> pd.DataFrame:
-    """Links between sets of a family that connect what isn't connected yet."""
-    group = group.sort_values(["family", "left", "right", "rep"], ignore_index=True)
+    """All links between different sets of a family: labels of ids, and links of each set."""
+    where = ["family", "left", "right", "rep", "key"]
+    group = group.drop_duplicates(where).sort_values(where, ignore_index=True)
     sets = [np.frombuffer(r, dtype=np.uint64) for r in group["hashes"]]
     n = np.array([len(s) for s in sets])
     c = points([point(s) for s in sets])
-
-    def shared(a: int, b: int) -> np.int64:
-        s, t = (sets[a], sets[b]) if n[a] <= n[b] else (sets[b], sets[a])
-        return np.int64((t[np.minimum(np.searchsorted(t, s), len(t) - 1)] == s).sum())
-
-    return _connect(group, c, n, shared)
+    values, codes = np.unique(np.concatenate(sets), return_inverse=True)
+    codes = np.split(codes, np.cumsum(n)[:-1])
+    inside = np.zeros(len(values), dtype=bool)
+    copies, links = group["copies"].to_numpy(), np.zeros(len(n), dtype=np.int64)
+    linked = [np.zeros((2, 0), dtype=np.int64)]
+    for one, two in _runs(group, "family"):
+        x, y = surviving(*tree_pairs(one, c, n, two), c, n)
+        order = np.argsort(x, kind="stable")
+        x, y = x[order], y[order]
+        edges = np.flatnonzero(np.diff(x, prepend=-1, append=-1)).tolist() if len(x) else []
+        for at, end in zip(edges, edges[1:], strict=False):
+            a, others = x[at], y[at:end]
+            inside[codes[a]] = True
+            hits = inside[np.concatenate([codes[b] for b in others.tolist()])]
+            inside[codes[a]] = False
+            starts = np.cumsum(n[others]) - n[others]
+            shared = np.add.reduceat(hits, starts, dtype=np.int64)
+            b = others[may_reach(shared, n[a], n[others])]
+            links[a] += copies[b].sum()
+            links[b] += copies[a]
+            linked.append(np.stack([np.full(len(b), a), b]))
+    a, b = np.concatenate(linked, axis=1)
+    labels = _labels(group["rep"].to_numpy(), a, b)
+    some = np.flatnonzero(links)
+    counts = pd.DataFrame({"key": group["key"].to_numpy()[some], "links": links[some]})
+    out = pd.concat([labels, counts], ignore_index=True)
+    return out[["a", "b", "key", "links"]].astype({"a": "Int64", "b": "Int64", "links": "Int64"})
 
 
 def _count(schema: pa.Schema):
@@ -291,7 +319,7 @@ def _describe(frequent: np.ndarray, schema: pa.Schema):
             for text in batch.column(1).to_pylist():
                 s = shingles(text)
                 n.append(len(s))
-                key.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
+                key.append(set_key(s))
                 where.append(point(s) if len(s) else None)
                 fine.append(fine_point(s) if len(s) else None)
                 first = len(s) - -(-SHARE * len(s) // 100) + 1 if len(s) else 0
@@ -320,11 +348,12 @@ def _sets(bits: np.ndarray, schema: pa.Schema):
         for batch in parts(batches):
             place = batch.column(2).to_numpy()
             rows = pa.array(np.flatnonzero(bits[place >> 3] >> (place & 7) & 1))
-            texts = batch.column(1).take(rows).to_pylist()
+            found = [shingles(t) for t in batch.column(1).take(rows).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0).take(rows),
-                    pa.array([shingles(t).tobytes() for t in texts], pa.binary()),
+                    pa.array([set_key(s) for s in found], pa.binary()),
+                    pa.array([s.tobytes() for s in found], pa.binary()),
                 ],
                 schema=schema,
             )
@@ -360,13 +389,18 @@ def _spread(
 
 
 def join(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles and component_id for every row of ``docs`` (doc_id bigint, text).
+    """doc_id, n_shingles, component_id and n_links for every row of ``docs`` (doc_id bigint, text).
 
     Other columns are ignored. Words are lower-cased (A-Z); a set holds the distinct shingles
     of ``WIDTH`` words, or the whole sequence of a shorter text. Texts without words (null
     too) have an empty set and link with nothing: their component is their own id. Rows with
     equal ids are one node; a row with a null id belongs to the component of the rows with
     an equal set, null if there is none. An empty table gives no rows.
+
+    ``n_links`` counts the other documents (a doc_id with a set; equal rows are one) that a
+    row's set links with: those with an equal set and, by copies, those of every other set in
+    reach. It is 0 without words; a row with a null id shows that of the rows with an equal
+    set, null if there is none.
     """
     spark = docs.sparkSession
     ship(spark)
@@ -388,8 +422,9 @@ def join(docs: DataFrame) -> DataFrame:
         doc_id=long, n=long, key=binary, point=binary, fine=binary, prefix=T.ArrayType(long)
     )
     described = stage(mapped(docs, _describe, described, frequent), "shingles")
-    sets = described.where("key is not null").groupBy("key").agg(F.min("doc_id").alias("rep"))
-    sets = stage(sets.where("rep is not null"), "sets")
+    sets = described.where("key is not null AND doc_id is not null").select("key", "doc_id")
+    sets = sets.distinct().groupBy("key")
+    sets = stage(sets.agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")), "sets")
     reps = described.join(sets, "key").where("doc_id = rep")
     # Shingles travel alone until it is known which of them several documents share.
     tokens = reps.select("rep", F.explode("prefix").alias("token"))
@@ -407,14 +442,15 @@ def join(docs: DataFrame) -> DataFrame:
         found = components(edges).select(
             F.col("node").alias("rep"), F.col("component").alias("family")
         )
-        found = stage(found.join(reps.select("rep", "n"), "rep"), purpose)
+        of_ids = reps.select("rep", "key", "n", "copies").distinct()
+        found = stage(found.join(of_ids, "rep"), purpose)
         total, weight = found.agg(F.count("*"), F.sum("n")).first()
         return found, total, weight or 0
 
     wide, total, _ = families_of(near, "wide")
     tight = (
-        _spread(wide, "family", BLOCK, total // SETS)
-        .join(reps.select("rep", "fine"), "rep")
+        _spread(wide.drop("copies"), "family", BLOCK, total // SETS)
+        .join(reps.select("rep", "key", "fine").distinct(), ["rep", "key"])
         .groupBy("unit")
         .applyInPandas(_narrow, edge)
     )
@@ -422,16 +458,27 @@ def join(docs: DataFrame) -> DataFrame:
     # Where each set goes is settled before any set is moved.
     units = max(total // SETS, weight // SET_SUM)
     places = stage(_spread(families, "family", BLOCK, units, "n").drop("n"), "places")
-    bits = bit_map(families.select(F.xxhash64("rep").alias("key")), "key")
+    bits = bit_map(families.select(F.xxhash64("rep").alias("at")), "at")
     wanted = docs.select("doc_id", "text", map_place(F.xxhash64("doc_id")).alias("place"))
-    wanted = mapped(wanted.where("doc_id is not null"), _sets, schema(rep=long, hashes=binary), bits)
-    links = wanted.join(places, "rep").groupBy("unit").applyInPandas(_verify, edge)
-    found = components(links)
-    named = sets.join(found, sets["rep"] == found["node"], "left").select(
-        "key", F.coalesce("component", "rep").alias("component_id")
+    found = schema(rep=long, key=binary, hashes=binary)
+    wanted = mapped(wanted.where("doc_id is not null"), _sets, found, bits)
+    verified = wanted.join(places, ["rep", "key"]).groupBy("unit")
+    verified = verified.applyInPandas(_verify, schema(a=long, b=long, key=binary, links=long))
+    verified = stage(verified, "verified")
+    found = components(verified.where("a is not null").select("a", "b"))
+    counts = verified.where("key is not null").groupBy("key").agg(F.sum("links").alias("links"))
+    named = (
+        sets.join(found, sets["rep"] == found["node"], "left")
+        .join(counts, "key", "left")
+        .select(
+            "key",
+            F.coalesce("component", "rep").alias("component_id"),
+            (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
+        )
     )
     return described.join(named, "key", "left").select(
         "doc_id",
         F.col("n").alias("n_shingles"),
         F.coalesce("component_id", "doc_id").alias("component_id"),
+        F.when(F.col("key").isNull(), 0).otherwise(F.col("n_links")).cast("long").alias("n_links"),
     )

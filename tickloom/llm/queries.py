@@ -73,7 +73,8 @@ def op9_repeated_strings(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op10_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
-    return ngram_join.join(table(spark, folder, "documents"))
+    joined = ngram_join.join(table(spark, folder, "documents"))
+    return joined.select("doc_id", "n_shingles", "component_id")
 
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
