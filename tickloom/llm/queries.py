@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from . import (
     embeddings,
+    kmeans,
     licenses,
     lines,
     mixing,
@@ -77,6 +78,10 @@ def op10_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return joined.select("doc_id", "n_shingles", "component_id")
 
 
+def op13_centroid_clustering(spark: SparkSession, folder: str) -> DataFrame:
+    return kmeans.digest(*kmeans.cluster(table(spark, folder, "embeddings")))
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [
         op1_mixing,
@@ -89,6 +94,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_toxicity,
         op9_repeated_strings,
         op10_ngram_jaccard,
+        op13_centroid_clustering,
     ]
     return {query.__name__: query for query in found}
 
@@ -98,4 +104,5 @@ def sql_texts() -> dict[str, str]:
         "op1_mixing": mixing.SQL,
         "op2_quality_rules": quality.SQL,
         "op5_license_scan": licenses.SQL,
+        "op13_centroid_clustering": kmeans.sql(),
     }
