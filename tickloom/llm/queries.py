@@ -19,6 +19,7 @@ from . import (
     quality_model,
     repeats,
     toxicity,
+    warc,
 )
 from .common import table
 
@@ -78,6 +79,10 @@ def op10_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return joined.select("doc_id", "n_shingles", "component_id")
 
 
+def op12_warc(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.round_trip(table(spark, folder, "pages"))
+
+
 def op13_centroid_clustering(spark: SparkSession, folder: str) -> DataFrame:
     return kmeans.digest(*kmeans.cluster(table(spark, folder, "embeddings")))
 
@@ -94,6 +99,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_toxicity,
         op9_repeated_strings,
         op10_ngram_jaccard,
+        op12_warc,
         op13_centroid_clustering,
     ]
     return {query.__name__: query for query in found}
@@ -104,5 +110,6 @@ def sql_texts() -> dict[str, str]:
         "op1_mixing": mixing.SQL,
         "op2_quality_rules": quality.SQL,
         "op5_license_scan": licenses.SQL,
+        "op12_warc": warc.SQL,
         "op13_centroid_clustering": kmeans.sql(),
     }
