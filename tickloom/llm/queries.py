@@ -19,6 +19,7 @@ from . import (
     quality_model,
     repeats,
     toxicity,
+    turns,
     warc,
 )
 from .common import table
@@ -79,6 +80,21 @@ def op10_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return joined.select("doc_id", "n_shingles", "component_id")
 
 
+def op11_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    found = turns.repair(turns.damage(table(spark, folder, "conversations")))
+    return found.select(
+        "conv_id",
+        "gaps",
+        "blank",
+        "duplicate",
+        "truncated",
+        "illegal",
+        "cost",
+        "audit",
+        "repaired_sha256",
+    )
+
+
 def op12_warc(spark: SparkSession, folder: str) -> DataFrame:
     return warc.round_trip(table(spark, folder, "pages"))
 
@@ -99,6 +115,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_toxicity,
         op9_repeated_strings,
         op10_ngram_jaccard,
+        op11_conversation_repair,
         op12_warc,
         op13_centroid_clustering,
     ]
