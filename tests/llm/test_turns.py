@@ -6,6 +6,7 @@ import zlib
 
 import pytest
 
+from checks.compare import connect, differences
 from tests.conftest import SMALL
 from tickloom.llm import queries, turns
 
@@ -202,3 +203,9 @@ def test_query_equals_brute_force(spark):
     table = spark.read.parquet(f"{SMALL}/conversations.parquet")
     rows = [(r.conv_id, r.turn, r.role, r.text) for r in table.collect()]
     assert got(queries.op11_conversation_repair(spark, SMALL)) == brute(rows)
+
+
+def test_query_equals_its_sql(spark):
+    found = queries.op11_conversation_repair(spark, SMALL).toPandas()
+    want = connect(SMALL).sql(queries.sql_texts()["op11_conversation_repair"]).df()
+    assert differences(found, want) == ""

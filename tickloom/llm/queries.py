@@ -127,6 +127,7 @@ def sql_texts() -> dict[str, str]:
         "op1_mixing": mixing.SQL,
         "op2_quality_rules": quality.SQL,
         "op5_license_scan": licenses.SQL,
+        "op11_conversation_repair": turns.SQL,
         "op12_warc": warc.SQL,
         "op13_centroid_clustering": kmeans.sql(),
     }

@@ -298,7 +298,7 @@ def sequences_of(rows: DataFrame, block: int = BLOCK) -> DataFrame:
         (~last.isin(".", "!", "?")).alias("cut"),
     ).repartition("conv_id")
     earlier = Window.partitionBy("conv_id", "same").orderBy("turn")
-    order = Window.partitionBy("conv_id").orderBy("turn", "same")
+    order = Window.partitionBy("conv_id").orderBy("turn", "same", "again")
     keys = keys.withColumn("again", F.row_number().over(earlier) > 1)
     keys = keys.select(
         "*",
@@ -475,3 +475,111 @@ def repair(rows: DataFrame, block: int = BLOCK) -> DataFrame:
         .select("conv_id", "kind", "role", "text", *_FACTS)
         .mapInArrow(_finish, columns)
     )
+
+
+def _least(*entries: str) -> str:
+    return f"list_min([{', '.join(entries)}])"
+
+
+def _entry(state: int, cost: str, letter: str) -> str:
+    return f"{{'c': acc.v[{state + 1}].c + {cost}, 'a': acc.v[{state + 1}].a || '{letter}'}}"
+
+
+def _step(j: int) -> str:
+    """The best way to state j over one row x, without insertions."""
+    extra = f"CASE WHEN x.s BETWEEN 'A' AND 'Z' THEN {TRUNCATED} ELSE 0 END"
+    ways = [_entry(j, str(DELETE), "D")]
+    for (i, role), to in _MOVES.items():
+        if to == j:
+            stop = f"CASE WHEN lower(x.s) = '{role}' THEN 0 ELSE {_NEVER} END"
+            ways.append(_entry(i, f"{extra} + {stop}", "K"))
+            if role in "ua":
+                stop = f"CASE WHEN x.s = 'd' THEN {_NEVER} ELSE {REROLE} END"
+                ways.append(_entry(i, f"{extra} + {stop}", "R"))
+    return _least(*ways)
+
+
+def _inserted(j: int) -> str:
+    """The best way to state j by at most one insertion."""
+    ways = [_entry(i, str(INSERT), "I") for (i, role), to in _MOVES.items() if to == j and role in "ua"]
+    return _least(f"acc.v[{j + 1}]", *ways)
+
+
+#: A cost that no conversation of the checked tables reaches.
+_NEVER = 10**12
+
+SQL = f"""
+WITH RECURSIVE raw AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+        coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS key
+    FROM conversations
+), kinds AS (
+    -- CRC-32 bit by bit: a byte is mixed in, then eight shifts.
+    SELECT *, xor(list_reduce(
+        flatten(list_transform(range(1, length(key) + 1), lambda i:
+            [ascii(substr(key, i, 1))::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1])),
+        lambda c, t: CASE WHEN t >= 0 THEN xor(c, t)
+            WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END,
+        4294967295::BIGINT), 4294967295) % 20 AS kind
+    FROM raw
+), rows_ AS MATERIALIZED (
+    SELECT conv_id, turn, CASE WHEN kind = 4 THEN '{USER}' ELSE role END AS role,
+        CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+        unnest(range(CASE WHEN kind = 3 THEN 2 ELSE 1 END)) AS copy
+    FROM kinds WHERE kind > 0
+), ordered AS MATERIALIZED (
+    SELECT *, row_number() OVER turns AS n, lag(role[1]) OVER turns AS before,
+        lag(turn) OVER turns AS turn_before,
+        row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) > 1 AS again,
+        regexp_extract(text, '([^\\x20\\x09-\\x0D])[\\x20\\x09-\\x0D]*$', 1) AS last
+    FROM rows_
+    WINDOW turns AS (PARTITION BY conv_id
+        ORDER BY turn NULLS FIRST, sha256(strlen(role) || ':' || role || text), copy)
+), judged AS MATERIALIZED (
+    SELECT *, last = '' AS blank, last != '' AND again AS dup,
+        last != '' AND NOT again AND last NOT IN ('.', '!', '?') AS cut,
+        CASE WHEN role[1] IN ('s', 'u', 'a') THEN role[1] ELSE 'o' END AS kind
+    FROM ordered
+), facts AS (
+    SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+        count(*) FILTER (blank) AS blank, count(*) FILTER (dup) AS duplicate,
+        count(*) FILTER (cut) AS truncated,
+        count(*) FILTER (n > 1 AND before || role[1] NOT IN ('su', 'ua', 'au')) AS illegal,
+        flatten(list(CASE WHEN blank OR dup THEN ['d', '2', '3'] WHEN cut THEN [upper(kind), '2', '3']
+            ELSE [kind, '2', '3'] END ORDER BY n)) AS tokens
+    FROM judged GROUP BY conv_id
+), solved AS (
+    SELECT *, list_reduce(
+        list_transform(tokens, lambda t: {{'s': t, 'v': []::STRUCT(c BIGINT, a VARCHAR)[]}}),
+        lambda acc, x: {{'s': '', 'v': CASE x.s
+            WHEN '2' THEN [acc.v[1], acc.v[2], {_inserted(2)}, acc.v[4]]
+            WHEN '3' THEN [acc.v[1], acc.v[2], acc.v[3], {_inserted(3)}]
+            ELSE [{_step(0)}, {_step(1)}, {_step(2)}, {_step(3)}] END}},
+        {{'s': '', 'v': [{{'c': 0::BIGINT, 'a': ''}}, {{'c': {_NEVER}, 'a': ''}},
+            {{'c': {INSERT}, 'a': 'I'}}, {{'c': {2 * INSERT}, 'a': 'II'}}]}}).v AS v
+    FROM facts
+), chosen AS MATERIALIZED (
+    SELECT *, list_min([v[1], v[4]]) AS best FROM solved
+), letters AS (
+    SELECT conv_id, unnest(range(1, length(best.a) + 1)) AS p, best.a AS audit FROM chosen
+), placed AS (
+    SELECT conv_id, audit[p] AS letter, p,
+        length(replace(audit[1:p], 'I', '')) AS n,
+        length(replace(audit[p:], 'D', '')) AS left_
+    FROM letters
+), repaired AS (
+    SELECT placed.conv_id, sha256(string_agg(
+        CASE WHEN letter = 'K' THEN role WHEN left_ % 2 = 1 THEN '{ASSISTANT}' ELSE '{USER}' END
+        || ':' || CASE WHEN letter = 'I' THEN '' ELSE text END, chr(10) ORDER BY p)) AS repaired_sha256
+    FROM placed LEFT JOIN ordered
+        ON ordered.conv_id IS NOT DISTINCT FROM placed.conv_id AND ordered.n = placed.n
+    WHERE letter != 'D' GROUP BY placed.conv_id
+)
+SELECT known.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank,
+    coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated,
+    coalesce(illegal, 0)::BIGINT AS illegal, coalesce(best.c, 0)::BIGINT AS cost,
+    coalesce(best.a, '') AS audit, coalesce(repaired_sha256, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) known
+LEFT JOIN chosen ON chosen.conv_id IS NOT DISTINCT FROM known.conv_id
+LEFT JOIN repaired ON repaired.conv_id IS NOT DISTINCT FROM known.conv_id
+"""
