@@ -558,6 +558,8 @@ FROM (SELECT exchange, symbol, m FROM (SELECT DISTINCT exchange, symbol FROM see
         "X2_asof_join": _asof_sql("exchange"),
         "X2_asof_join_true": _asof_sql("true"),
         "X2b_asof_day_seeded": _asof_sql("exchange"),
+        "X2_asof_balanced_true": _asof_sql("true"),
+        "B10_slippage_balanced": _bar_sql("slippage"),
         "X3_resample_ohlcv": _bar_sql("ohlcv", "1d"),
         "X3_resample_vwap": _query(
             vwap_volume,

@@ -34,6 +34,7 @@ from tickloom.catalogue import (
 )
 from tickloom.functions.clock import DAY_MS, from_epoch_ms, time_bucket
 from tickloom.operators.asof import asof_mid
+from tickloom.operators.ranges import balance
 from tickloom.operators.resample import resample, vwap_with_volume
 from tickloom.plans.build import build, measure, source_of, write_dataset, write_datasets
 from tickloom.session import shared_folder
@@ -435,6 +436,22 @@ def asof(spark, folder, *, ts_kind="exchange", **options):
     return rounded(df, ["trade_id", "exchange", "symbol"], ["price", "mid"])
 
 
+def balanced_asof(spark, folder, *, ts_kind="exchange"):
+    """As-of join over blocks that are cut where more than a few rows lie."""
+    tables = tick_tables(spark, folder)
+    ticks = [tables["trades"], tables["quotes"]]
+    cuts = balance(ticks, ts_kind, DAY_MS, target_rows=MEASURED_ROWS)
+    df = asof_mid(*ticks, ts_kind, cuts=cuts)
+    return rounded(df, ["trade_id", "exchange", "symbol"], ["price", "mid"])
+
+
+def balanced_slippage(spark, folder):
+    tables = tick_tables(spark, folder)
+    cuts = balance([tables["trades"], tables["quotes"]], width_ms=DAY_MS, target_rows=MEASURED_ROWS)
+    bars = build("slippage", tables, "4h", cuts=cuts)
+    return rounded(bars, KEYS, metric_columns("slippage"))
+
+
 def resampled(spark, folder, *, dataset):
     tables = tick_tables(spark, folder)
     fine = build(dataset, tables, "4h", limits=LIMITS)
@@ -515,7 +532,9 @@ def registry():
         "X1_time_bucket_true": daily_bucket,
         "X2_asof_join": asof,
         "X2_asof_join_true": partial(asof, ts_kind="true"),
-        "X2b_asof_day_seeded": partial(asof, slice_ms=DAY_MS),
+        "X2_asof_balanced_true": partial(balanced_asof, ts_kind="true"),
+        "X2b_asof_day_seeded": balanced_asof,
+        "B10_slippage_balanced": balanced_slippage,
         "X3_resample_ohlcv": partial(resampled, dataset="ohlcv"),
         "X3_resample_vwap": partial(resampled, dataset="vtwap"),
         "X3_resample_flow": partial(resampled, dataset="flow"),

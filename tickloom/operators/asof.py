@@ -12,9 +12,11 @@ from pyspark.sql import functions as F
 from tickloom.catalogue import SERIES
 from tickloom.functions.clock import time_bucket, ts_column
 from tickloom.functions.expr import order_key
+from tickloom.operators.ranges import Cuts, balance
 from tickloom.operators.slices import CHUNK_ROWS, DEFAULT_SLICE_MS, carry_last
 
-_CELL = [*SERIES, "slice"]
+_SLICE = [*SERIES, "slice"]
+_CELL = [*_SLICE, "part"]
 # Trades that belong to no series are spread over so many slices; they match nothing.
 _SCATTER = 1024
 
@@ -26,27 +28,34 @@ def asof_mid(
     *,
     slice_ms: int = DEFAULT_SLICE_MS,
     chunk_rows: int = CHUNK_ROWS,
+    cuts: Cuts | None = None,
 ) -> DataFrame:
     """All trade columns plus ``mid``.
 
-    The window runs per (exchange, symbol, slice), so a busy symbol is spread over many
-    tasks. Trades and quotes are scanned and shuffled once: the window and a table with
-    the last mid of each slice both read that shuffle. The table is carried forward over
-    the slices and joined back on the slice, for trades before their slice's first quote.
+    Time is cut into slices of about equally many rows (``cuts``, see ``ranges.balance``; if
+    not given, blocks of ``slice_ms`` are counted now). The window runs per (exchange, symbol,
+    slice), so neither a busy symbol nor a busy second is one task. Trades and quotes are
+    shuffled once: the window and a table with the last mid of each slice both read that
+    shuffle. The table is carried forward over the slices and joined back on the slice, for
+    trades before their slice's first quote. In a millisecond that is dealt over parts every
+    trade takes the millisecond's last quote, or else that of an earlier slice, from the table.
+
     A quote whose mid is null or zero counts as no quote. A trade without exchange, symbol
     or clock belongs to no series and gets a null; a quote without one is left out.
     """
+    if cuts is None:
+        cuts = balance([trades, quotes], ts_kind, slice_ms)
+    width = cuts.width_ms
     clock = F.col(ts_column(ts_kind))
     known = clock.isNotNull()
     for name in SERIES:
         known = known & F.col(name).isNotNull()
     mid = F.nullif((F.col("bid_price") + F.col("ask_price")) / F.lit(2.0), F.lit(0.0))
     row = F.struct(*trades.columns)
-    scattered = F.pmod(F.xxhash64("trade_id"), F.lit(_SCATTER)) * slice_ms
+    scattered = F.pmod(F.xxhash64("trade_id"), F.lit(_SCATTER)) * width
     # Keys that can't be null: a join on them adds no filter that would split the shuffle.
     cell = [F.coalesce(F.col(name), F.lit("")).alias(name) for name in SERIES]
-    spot = F.when(known, time_bucket(clock, slice_ms)).otherwise(scattered)
-    keys = [*cell, F.coalesce(spot, F.lit(0)).alias("slice"), clock.alias("ts")]
+    keys = [*cell, F.coalesce(F.when(known, clock).otherwise(scattered), F.lit(0)).alias("ts")]
     traded = trades.select(
         *keys,
         F.when(known, F.lit(1)).otherwise(F.lit(2)).alias("kind"),
@@ -66,15 +75,22 @@ def asof_mid(
         )
         .where(F.col("mid").isNotNull())
     )
-    rows = quoted.unionByName(traded).repartition(*map(F.col, _CELL))
-    order = order_key(F.col("ts"), F.col("id"), slice_ms)
+    rows = cuts.place(quoted.unionByName(traded)).repartition(*map(F.col, _CELL))
+    order = order_key(F.col("ts"), F.col("id"), width)
     # Counting trades keeps both branches on the same columns, hence one shuffle.
-    slices = rows.groupBy(*_CELL).agg(
+    slices = rows.groupBy(*_SLICE).agg(
         F.max_by("mid", F.when(F.col("kind") == 0, order)).alias("last_mid"),
         F.count("trade").alias("n"),
+        F.max("parts").alias("parts"),
+    )
+    seeds = carry_last(slices, "last_mid", "slice", width, "seed", chunk_rows)
+    own = F.when(F.col("parts") > 1, F.col("last_mid"))
+    seeds = seeds.withColumn("seed", F.coalesce(own, "seed"))
+    seeds = seeds.where((F.col("n") > 0) & F.col("seed").isNotNull()).select(
+        *_SLICE,
+        F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),
+        "seed",
     )
-    seeds = carry_last(slices, "last_mid", "slice", slice_ms, "seed", chunk_rows)
-    seeds = seeds.where((F.col("n") > 0) & F.col("seed").isNotNull()).select(*_CELL, "seed")
     before = (
         Window.partitionBy(*_CELL)
         .orderBy("ts", "kind", "id")
@@ -85,5 +101,6 @@ def asof_mid(
         .where(F.col("kind") > 0)
         .join(seeds, _CELL, "left")
     )
-    found = F.when(F.col("kind") == 1, F.coalesce("mid", "seed"))
+    whole = F.when(F.col("parts") == 1, F.col("mid"))
+    found = F.when(F.col("kind") == 1, F.coalesce(whole, "seed"))
     return matched.select("trade.*", found.alias("mid"))

@@ -20,6 +20,7 @@ from tickloom.catalogue import BAR, SERIES, SIZE_CLASSES
 from tickloom.functions.clock import interval_ms
 from tickloom.functions.expr import first_by, last_by, order_key, ratio, sum_if, taker_buy
 from tickloom.operators.quantiles import exact_quantiles, quantile_aggregates
+from tickloom.operators.ranges import Cuts
 from tickloom.operators.slices import (
     CHUNK_ROWS,
     carry_last,
@@ -586,6 +587,7 @@ def slippage(
     slice_ms: int | None = None,
     chunk_rows: int = CHUNK_ROWS,
     previous: DataFrame | None = None,
+    cuts: Cuts | None = None,
 ) -> DataFrame:
     """Quantity-weighted effective half-spread against the prevailing mid, in bps.
 
@@ -596,8 +598,11 @@ def slippage(
     table. So trades and quotes are scanned, shuffled and sorted once. A quote whose mid
     is null or zero counts as no quote. ``previous`` (exchange, symbol, value) holds the
     last mid before the input, for trades before its first quote.
+
+    ``cuts`` (``ranges.balance``) takes the place of slices of one width. In a millisecond that
+    it deals over parts all trades count as open, with the millisecond's own last mid.
     """
-    width = slice_width(interval, slice_ms)
+    width = slice_width(interval, slice_ms) if cuts is None else cuts.width_ms
     mid = F.nullif((F.col("bid_price") + F.col("ask_price")) / F.lit(2.0), F.lit(0.0))
     null = F.lit(None)
     quote_rows = ticks(
@@ -628,17 +633,26 @@ def slippage(
         },
         slice_ms,
     )
+    rows = quote_rows.unionByName(trade_rows)
     cells = [*SERIES, "slice"]
+    if cuts is not None:
+        rows = cuts.place(rows).withColumn("slice", F.greatest("slice", "bar"))
+        cells.append("part")
     by_time = cell_window(cells, "ts", "kind", "id")
-    rows = quote_rows.unionByName(trade_rows).select(
+    rows = rows.select(
         "*",
         F.last("mid", ignorenulls=True)
         .over(by_time.rowsBetween(Window.unboundedPreceding, Window.currentRow))
         .alias("m"),
         F.lead("ts").over(by_time).isNull().alias("is_last"),
     )
-    trade = F.col("kind") == 1
-    met, open_ = trade & F.col("m").isNotNull(), trade & F.col("m").isNull()
+    trade, known_mid = F.col("kind") == 1, F.col("m").isNotNull()
+    last_mid, own_mid = F.max(F.when(F.col("is_last"), F.col("m"))), F.lit(False)
+    if cuts is not None:
+        known_mid = known_mid & (F.col("parts") == 1)
+        quote_order = F.when(~trade, order_key(F.col("ts"), F.col("id"), width))
+        last_mid, own_mid = F.max_by("mid", quote_order), F.max("parts") > 1
+    met, open_ = trade & known_mid, trade & ~known_mid
     price, qty, m = F.col("price"), F.col("qty"), F.col("m")
     sums = []
     for side, of_side, sign in (("buy", F.col("buy"), 1.0), ("sell", ~F.col("buy"), -1.0)):
@@ -649,13 +663,16 @@ def slippage(
             sum_if(open_ & of_side, F.lit(sign) * qty).alias(f"{side}_open_q"),
         ]
     slices = rows.groupBy(*BAR, "slice").agg(
-        F.max(F.when(F.col("is_last"), F.col("m"))).alias("last_mid"),
+        last_mid.alias("last_mid"),
+        own_mid.alias("own_mid"),
         F.count_if(trade).alias("trades"),
         F.count_if(open_).alias("open_trades"),
         *sums,
     )
     slices = carry_last(slices, "last_mid", "slice", width, "seed", chunk_rows)
     slices = or_previous(slices, "seed", previous)
+    own = F.when(F.col("own_mid"), F.col("last_mid"))
+    slices = slices.withColumn("seed", F.coalesce(own, "seed"))
     seed = F.col("seed")
     known = seed.isNotNull()
     totals = []

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tickloom.catalogue import INTERVAL_MS, SERIES, check_dataset
 from tickloom.functions.clock import interval_ms, time_bucket, ts_column
 from tickloom.operators import book_bars, deriv_bars, trade_bars
+from tickloom.operators.ranges import Cuts
 from tickloom.operators.slices import finish
 from tickloom.session import shared_folder
 from tickloom.sources.lake import write_lake
@@ -100,12 +101,14 @@ def build(
     limits: tuple[float, float] | None = None,
     sizing: dict[str, Sizing] | None = None,
     previous: DataFrame | None = None,
+    cuts: Cuts | None = None,
 ) -> DataFrame:
     """Bars of one dataset; ``inputs`` holds trades, quotes, book and deriv by name.
 
     ``sizing`` holds measurements of the inputs by name. Slippage mixes trades and quotes
     in its slices and uses a measured width only if both were measured. ``previous`` is for
-    returns (last close) and slippage (last mid) of a part of the input.
+    returns (last close) and slippage (last mid) of a part of the input. ``cuts``
+    (``ranges.balance`` of trades and quotes) cuts slippage by row counts instead of width.
     """
     source, builder = _BUILDERS[check_dataset(dataset)]
     options = {}
@@ -118,6 +121,7 @@ def build(
     tables = [inputs[source]]
     if dataset == "slippage":
         tables.append(inputs["quotes"])
+        options["cuts"] = cuts
     return builder(*tables, interval, ts_kind, **options)
 
 
