@@ -31,6 +31,7 @@ from tickloom.catalogue import (
     metric_columns,
 )
 from tickloom.functions.clock import day_ms, next_day_ms
+from tickloom.operators.resample import FROM_STATES
 
 _K = "CAST(json_extract_string(props, '$.k') AS BIGINT)"
 _MS = "(epoch_us(ts) // 1000 + (event_id % 4) * 2678400000)"
@@ -581,6 +582,9 @@ FROM (SELECT exchange, symbol, m FROM (SELECT DISTINCT exchange, symbol FROM see
     }
     for number, dataset in enumerate(DATASETS, start=1):
         out[f"B{number}_{dataset}"] = out[f"measured_{dataset}"] = _bar_sql(dataset)
+    for dataset in FROM_STATES:
+        for interval in ("1h", "1d"):
+            out[f"X3_states_{dataset}_{interval}"] = _bar_sql(dataset, interval)
     for interval in FINE_INTERVALS:
         for dataset in FINE_DATASETS:
             out[f"{dataset}_{interval}"] = _bar_sql(dataset, interval)

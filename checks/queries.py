@@ -35,7 +35,7 @@ from tickloom.catalogue import (
 from tickloom.functions.clock import DAY_MS, from_epoch_ms, time_bucket
 from tickloom.operators.asof import asof_mid
 from tickloom.operators.ranges import balance
-from tickloom.operators.resample import resample, vwap_with_volume
+from tickloom.operators.resample import FROM_STATES, merge_states, resample, vwap_with_volume
 from tickloom.plans.build import build, measure, source_of, write_dataset, write_datasets
 from tickloom.session import shared_folder
 from tickloom.sources import frames, lake, market, reports
@@ -461,6 +461,18 @@ def resampled(spark, folder, *, dataset):
     return rounded(resample(fine, dataset, "1d"), KEYS, metric_columns(dataset))
 
 
+def from_stored_states(spark, folder, *, dataset, interval):
+    """1-minute states, written to the lake and merged: to hours, and from hours to days."""
+    kind = FROM_STATES[dataset]
+    root = _written(spark, folder, kind, "1m")
+    states = lake.load(
+        spark, root, kind, "exchange", "1m", None, None, FIRST_DAY, LAST_DAY, sort=False
+    )
+    if interval == "1d":
+        states = merge_states(states, kind, "1h")
+    return rounded(resample(states, dataset, interval), KEYS, metric_columns(dataset))
+
+
 def _event_stream(spark, folder):
     # As a glob, so that a single file and a folder of files both work.
     return spark.readStream.schema(market.read_events(spark, folder).schema).parquet(
@@ -552,6 +564,11 @@ def registry():
     for number, dataset in enumerate(DATASETS, start=1):
         found[f"B{number}_{dataset}"] = partial(dataset_bars, dataset=dataset)
         found[f"measured_{dataset}"] = partial(measured, dataset=dataset)
+    for dataset in FROM_STATES:
+        for interval in ("1h", "1d"):
+            found[f"X3_states_{dataset}_{interval}"] = partial(
+                from_stored_states, dataset=dataset, interval=interval
+            )
     for interval in FINE_INTERVALS:
         for dataset in FINE_DATASETS:
             found[f"{dataset}_{interval}"] = partial(dataset_bars, dataset=dataset, interval=interval)

@@ -47,9 +47,10 @@ BAR = ("exchange", "symbol", "bar")
 PARTITIONS = ("interval", "ts_kind", "exchange", "year", "month", "symbol")
 
 
-def _fields(doubles: str = "", longs: str = "") -> dict[str, T.DataType]:
+def _fields(doubles: str = "", longs: str = "", flags: str = "") -> dict[str, T.DataType]:
     out: dict[str, T.DataType] = {name: T.DoubleType() for name in doubles.split()}
     out.update({name: T.LongType() for name in longs.split()})
+    out.update({name: T.BooleanType() for name in flags.split()})
     return out
 
 
@@ -103,9 +104,28 @@ _METRIC_COLUMNS: dict[str, dict[str, T.DataType]] = {
 }
 
 
+# What a bar of order-dependent datasets is made of, kept so that bars can be merged: its
+# first and last trade or run, and sums over what lies between. Stored like a dataset.
+_STATE_COLUMNS: dict[str, dict[str, T.DataType]] = {
+    "path_state": _fields(
+        "first_price first_qty first_signed last_price notional volume held log_dp_sq "
+        "up_qty down_qty buy_dp buy_dp_qty sell_dp sell_dp_qty k_x k_y k_sxx k_sxy",
+        "first_ts last_ts pairs ups downs flats k_n",
+        "first_buy",
+    ),
+    "run_state": _fields(
+        "head_qty tail_qty inner_qty",
+        "first_ts head_length tail_length inner_runs inner_buy_runs inner_trades inner_length",
+        "head_buy tail_buy",
+    ),
+}
+STATES = tuple(_STATE_COLUMNS)
+_COLUMNS = _METRIC_COLUMNS | _STATE_COLUMNS
+
+
 def metric_columns(dataset: str) -> list[str]:
-    """Value columns of a dataset, without the keys."""
-    return list(_METRIC_COLUMNS[check_dataset(dataset)])
+    """Value columns of a dataset or state table, without the keys."""
+    return list(_COLUMNS[check_dataset(dataset)])
 
 
 def data_schema(dataset: str) -> T.StructType:
@@ -116,7 +136,7 @@ def data_schema(dataset: str) -> T.StructType:
             T.StructField("time", T.TimestampNTZType()),
         ]
     )
-    for name, kind in _METRIC_COLUMNS[check_dataset(dataset)].items():
+    for name, kind in _COLUMNS[check_dataset(dataset)].items():
         schema.add(name, kind)
     return schema
 
@@ -159,7 +179,7 @@ DERIV = (
 
 
 def check_dataset(dataset: str) -> str:
-    if dataset not in _METRIC_COLUMNS:
+    if dataset not in _COLUMNS:
         raise ValueError(f"unknown dataset {dataset!r}; one of {', '.join(DATASETS)}")
     return dataset
 

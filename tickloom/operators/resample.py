@@ -5,15 +5,69 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.catalogue import BAR, SERIES, SIZE_CLASSES
+from tickloom.catalogue import BAR, SERIES, SIZE_CLASSES, metric_columns
 from tickloom.functions.clock import interval_ms, time_bucket
 from tickloom.functions.expr import ratio
 from tickloom.operators.deriv_bars import open_interest_columns
 from tickloom.operators.slices import finish
-from tickloom.operators.trade_bars import flow_columns
+from tickloom.operators.trade_bars import (
+    flow_columns,
+    impact_columns,
+    merge_paths,
+    merge_runs,
+    path_bars,
+    return_columns,
+    run_columns,
+    updowntick_columns,
+    vtwap_columns,
+    with_previous_close,
+)
 
 MERGEABLE = ("ohlcv", "vtwap", "flow", "open_interest")
 
+#: Datasets that a state table gives at any coarser interval: its merge and their columns.
+_FROM_PATH = {
+    "vtwap": vtwap_columns,
+    "impact": impact_columns,
+    "updownticks": updowntick_columns,
+    "returns": return_columns,
+}
+FROM_STATES = {**dict.fromkeys(_FROM_PATH, "path_state"), "run_structure": "run_state"}
+_MERGES = {"path_state": merge_paths, "run_state": merge_runs}
+
+
+def _merged(states: DataFrame, kind: str, interval: str) -> DataFrame:
+    bar = time_bucket(F.col("timestamp"), interval_ms(interval))
+    return _MERGES[kind](states.withColumn("bar", bar))
+
+
+def merge_states(states: DataFrame, kind: str, interval: str) -> DataFrame:
+    """States of ``kind`` (``path_state`` or ``run_state``) merged to the coarser ``interval``.
+
+    The input holds one row per bar, not per trade; it may itself come from a merge.
+    """
+    if kind not in _MERGES:
+        raise ValueError(f"{kind!r} is no state table; one of {', '.join(_MERGES)}")
+    return finish(_merged(states, kind, interval), *metric_columns(kind))
+
+
+def from_states(
+    states: DataFrame, dataset: str, interval: str, *, previous: DataFrame | None = None
+) -> DataFrame:
+    """Bars of ``dataset`` at ``interval`` from finer (or equal) states of ``FROM_STATES``.
+
+    Same bars as from the trades. ``previous`` is for returns: the last close before the states.
+    """
+    if dataset not in FROM_STATES:
+        raise ValueError(f"{dataset!r} has no state; only {', '.join(FROM_STATES)}")
+    merged = _merged(states, FROM_STATES[dataset], interval)
+    if dataset == "run_structure":
+        return finish(merged, *run_columns())
+    bars = path_bars(merged, interval)
+    if dataset == "returns":
+        bars = with_previous_close(bars, interval, previous=previous)
+    return finish(bars, *_FROM_PATH[dataset]())
+
 
 def _first(name: str):
     return F.min_by(name, "timestamp").alias(name)
@@ -26,10 +80,12 @@ def _last(name: str):
 def resample(bars: DataFrame, dataset: str, interval: str) -> DataFrame:
     """Bars of ``dataset`` merged to the coarser ``interval``.
 
-    ``vtwap`` keeps only ``vwap`` (a twap cannot be merged) and needs the ``volume`` of
-    each bar next to it, which the ohlcv bars hold. Quantiles, lag-based measures and
-    runs belong to one bar and cannot be merged.
+    Given states instead of bars, the datasets of ``FROM_STATES`` are made from them. From bars,
+    ``vtwap`` keeps only ``vwap`` (a twap cannot be merged) and needs the ``volume`` of each bar
+    next to it, which the ohlcv bars hold. Quantiles belong to one bar and cannot be merged.
     """
+    if dataset in FROM_STATES and "first_ts" in bars.columns:
+        return from_states(bars, dataset, interval)
     grouped = bars.withColumn(
         "bar", time_bucket(F.col("timestamp"), interval_ms(interval))
     ).groupBy(*BAR)
@@ -64,6 +120,8 @@ def resample(bars: DataFrame, dataset: str, interval: str) -> DataFrame:
             _last("oi_notional"),
         )
         return finish(merged, *open_interest_columns())
+    if dataset in FROM_STATES:
+        raise ValueError(f"{dataset!r} is merged from {FROM_STATES[dataset]}, not from bars")
     raise ValueError(f"{dataset!r} cannot be merged; only {', '.join(MERGEABLE)}")
 
 

@@ -16,7 +16,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickloom.catalogue import BAR, SERIES, SIZE_CLASSES
+from tickloom.catalogue import BAR, SERIES, SIZE_CLASSES, metric_columns
 from tickloom.functions.clock import interval_ms
 from tickloom.functions.expr import first_by, last_by, order_key, ratio, sum_if, taker_buy
 from tickloom.operators.quantiles import exact_quantiles, quantile_aggregates
@@ -249,6 +249,24 @@ def price_path(
     They share one shuffle and one sort of the trades. A builder selects its columns
     and Catalyst drops the windows and sums it doesn't need.
     """
+    return path_bars(merge_paths(_path_cells(trades, interval, ts_kind, slice_ms)), interval)
+
+
+def path_state(
+    trades: DataFrame,
+    interval: str,
+    ts_kind: str = "exchange",
+    *,
+    slice_ms: int | None = None,
+) -> DataFrame:
+    """Bars in a form that can be merged (``resample``): first and last trade, and sums over
+    the pairs of neighbouring trades between them."""
+    state = merge_paths(_path_cells(trades, interval, ts_kind, slice_ms))
+    return finish(state, *metric_columns("path_state"))
+
+
+def _path_cells(trades, interval, ts_kind, slice_ms) -> DataFrame:
+    """Path state of every slice of every bar."""
     cells = cell_keys(interval, slice_ms)
     rows = _trade_ticks(trades, interval, ts_kind, slice_ms)
     by_time = cell_window(cells)
@@ -267,7 +285,7 @@ def price_path(
     def at(edge: Column, name: str) -> Column:
         return F.max(F.when(edge, F.col(name)))
 
-    cell = rows.groupBy(*cells).agg(
+    return rows.groupBy(*cells).agg(
         F.min("ts").alias("first_ts"),
         F.max("ts").alias("last_ts"),
         at(head, "price").alias("first_price"),
@@ -296,14 +314,23 @@ def price_path(
         F.regr_sxy("dp", "signed").alias("k_sxy"),
     )
 
+
+def merge_paths(cell: DataFrame) -> DataFrame:
+    """Path states of neighbouring stretches of time to one per (exchange, symbol, bar).
+
+    The result is a state again and the merge is associative, so slices can be put together
+    to minutes, minutes to hours and hours to days.
+    """
     # The pair formed by a cell's first trade and the previous cell's last one.
     edges, whole = edge_window(), Window.partitionBy(*BAR)
+    last_price, last_ts = F.lag("last_price").over(edges), F.lag("last_ts").over(edges)
     cell = cell.select(
         "*",
         F.lag("first_ts").over(edges).isNull().alias("opens"),
-        F.lead("first_ts").over(edges).alias("next_first"),
-        (F.col("first_price") - F.lag("last_price").over(edges)).alias("e_dp"),
-        F.ln(ratio(F.col("first_price"), F.lag("last_price").over(edges))).alias("e_log"),
+        F.lead("first_ts").over(edges).isNull().alias("closes"),
+        (last_price * (F.col("first_ts") - last_ts)).alias("e_held"),
+        (F.col("first_price") - last_price).alias("e_dp"),
+        F.ln(ratio(F.col("first_price"), last_price)).alias("e_log"),
     ).withColumn("e_x", F.when(F.col("e_dp").isNotNull(), F.col("first_signed")))
     e_dp, e_x, n = F.col("e_dp"), F.col("e_x"), F.col("k_n")
     e_n = F.count("e_x").over(whole) + F.sum("k_n").over(whole)
@@ -314,7 +341,9 @@ def price_path(
             e_n, F.lit(0)
         )
 
-    cell = cell.withColumns({"m_x": mean("k_x", e_x), "m_y": mean("k_y", e_dp)})
+    cell = cell.withColumns(
+        {"m_x": mean("k_x", e_x), "m_y": mean("k_y", F.when(e_x.isNotNull(), e_dp))}
+    )
     off_x, off_y = F.col("k_x") - F.col("m_x"), F.col("k_y") - F.col("m_y")
     e_off_x, e_off_y = e_x - F.col("m_x"), e_dp - F.col("m_y")
 
@@ -327,15 +356,18 @@ def price_path(
     def add_count(name: str, edge: Column) -> Column:
         return F.sum(F.col(name) + F.when(edge, 1).otherwise(0))
 
+    def at(edge: str, name: str) -> Column:
+        return F.max(F.when(F.col(edge), F.col(name))).alias(name)
+
     first_qty, first_buy = F.col("first_qty"), F.col("first_buy")
-    end = F.coalesce(F.col("next_first"), F.col("bar") + interval_ms(interval))
     return cell.groupBy(*BAR).agg(
-        F.max(F.when(F.col("opens"), F.col("first_price"))).alias("open"),
-        F.max(F.when(F.col("next_first").isNull(), F.col("last_price"))).alias("close"),
+        F.min("first_ts").alias("first_ts"),
+        F.max("last_ts").alias("last_ts"),
+        *(at("opens", f"first_{name}") for name in ("price", "qty", "buy", "signed")),
+        at("closes", "last_price"),
         F.sum("notional").alias("notional"),
         F.sum("volume").alias("volume"),
-        add(F.col("held"), F.col("last_price") * (end - F.col("last_ts"))).alias("held"),
-        F.sum(end - F.col("first_ts")).alias("held_ms"),
+        add(F.col("held"), F.col("e_held")).alias("held"),
         add(F.col("log_dp_sq"), F.col("e_log") * F.col("e_log")).alias("log_dp_sq"),
         add_count("pairs", e_dp.isNotNull()).alias("pairs"),
         add_count("ups", e_dp > 0).alias("ups"),
@@ -352,11 +384,27 @@ def price_path(
             "sell_dp_qty"
         ),
         F.sum(n + F.when(e_x.isNotNull(), 1).otherwise(0)).alias("k_n"),
+        F.max("m_x").alias("k_x"),
+        F.max("m_y").alias("k_y"),
         add(F.col("k_sxx"), n * off_x * off_x, e_off_x * e_off_x).alias("k_sxx"),
         add(F.col("k_sxy"), n * off_x * off_y, e_off_x * e_off_y).alias("k_sxy"),
     )
 
 
+def path_bars(state: DataFrame, interval: str) -> DataFrame:
+    """Bar table from the path state of each bar: the last price holds until the bar's end."""
+    end = F.col("bar") + interval_ms(interval)
+    tail = F.col("last_price") * (end - F.col("last_ts"))
+    return state.withColumns(
+        {
+            "open": F.col("first_price"),
+            "close": F.col("last_price"),
+            "held": F.coalesce("held", F.lit(0.0)) + F.coalesce(tail, F.lit(0.0)),
+            "held_ms": end - F.col("first_ts"),
+        }
+    )
+
+
 def vtwap(
     trades: DataFrame,
     interval: str,
@@ -480,6 +528,25 @@ def run_structure(
     Inside a cell all runs but the first and the last are final. Those two are put in
     time order with the edge runs of the other cells and joined where sides agree.
     """
+    state = merge_runs(_run_cells(trades, interval, ts_kind, slice_ms))
+    return finish(state, *run_columns())
+
+
+def run_state(
+    trades: DataFrame,
+    interval: str,
+    ts_kind: str = "exchange",
+    *,
+    slice_ms: int | None = None,
+) -> DataFrame:
+    """Bars in a form that can be merged (``resample``): first and last run, and sums over the
+    runs between them. A bar of one run has no last one."""
+    state = merge_runs(_run_cells(trades, interval, ts_kind, slice_ms))
+    return finish(state, *metric_columns("run_state"))
+
+
+def _run_cells(trades, interval, ts_kind, slice_ms) -> DataFrame:
+    """Run state of every slice of every bar."""
     cells = cell_keys(interval, slice_ms)
     by_time = cell_window(cells)
     starts = F.coalesce((F.col("buy") != F.col("prev_buy")).cast("int"), F.lit(1))
@@ -503,38 +570,53 @@ def run_structure(
         )
         .withColumn("runs", F.max("run").over(Window.partitionBy(*cells)))
     )
+    return runs.groupBy(*cells).agg(F.min("run_ts").alias("first_ts"), *_run_state())
+
+
+_RUN_PARTS = ("length", "qty", "buy")
+_RUN_SUMS = ("inner_runs", "inner_buy_runs", "inner_trades")
+_RUN_TOPS = ("inner_length", "inner_qty")
+
+
+def _run_state(*, merged: bool = False) -> list[Column]:
+    """Aggregates over the runs 1 to ``runs`` of a stretch. ``merged`` runs bring along what
+    lies inside the cells they come from."""
     head = F.col("run") == 1
     tail = (F.col("run") == F.col("runs")) & ~head
     inner = ~head & ~tail
+    length = F.when(inner, F.col("length"))
+    sums = [F.count_if(inner), F.count_if(inner & F.col("buy")), F.sum(F.coalesce(length, F.lit(0)))]
+    tops = [F.max(length), F.max(F.when(inner, F.col("qty")))]
+    if merged:
+        sums = [s + F.coalesce(F.sum(n), F.lit(0)) for s, n in zip(sums, _RUN_SUMS, strict=True)]
+        tops = [F.greatest(t, F.max(n)) for t, n in zip(tops, _RUN_TOPS, strict=True)]
+    return [
+        *(F.max(F.when(head, F.col(part))).alias(f"head_{part}") for part in _RUN_PARTS),
+        *(F.max(F.when(tail, F.col(part))).alias(f"tail_{part}") for part in _RUN_PARTS),
+        *(c.alias(name) for c, name in zip(sums + tops, _RUN_SUMS + _RUN_TOPS, strict=True)),
+    ]
 
-    parts = ("length", "qty", "buy")
+
+def merge_runs(cell: DataFrame) -> DataFrame:
+    """Run states of neighbouring stretches of time to one per (exchange, symbol, bar); the
+    result is a state again."""
 
     def edge_run(name: str) -> Column:
-        fields = F.struct(*(F.col(f"{name}_{part}").alias(part) for part in parts))
+        fields = F.struct(*(F.col(f"{name}_{part}").alias(part) for part in _RUN_PARTS))
         return F.when(F.col(f"{name}_length").isNotNull(), fields)
 
-    cell = runs.groupBy(*cells).agg(
-        F.min("run_ts").alias("first_ts"),
-        *(F.max(F.when(head, F.col(part))).alias(f"head_{part}") for part in parts),
-        *(F.max(F.when(tail, F.col(part))).alias(f"tail_{part}") for part in parts),
-        F.count_if(inner).alias("inner_runs"),
-        F.count_if(inner & F.col("buy")).alias("inner_buy_runs"),
-        F.sum(F.when(inner, F.col("length")).otherwise(0)).alias("inner_trades"),
-        F.max(F.when(inner, F.col("length"))).alias("inner_length"),
-        F.max(F.when(inner, F.col("qty"))).alias("inner_qty"),
-    )
-    inner_columns = ("inner_runs", "inner_buy_runs", "inner_trades", "inner_length", "inner_qty")
+    inside = _RUN_SUMS + _RUN_TOPS
     edges = cell.select(
         *BAR,
         "first_ts",
-        *inner_columns,
+        *inside,
         F.posexplode(F.array_compact(F.array(edge_run("head"), edge_run("tail")))).alias("pos", "edge"),
     ).select(
         *BAR,
         "first_ts",
         "pos",
         "edge.*",
-        *(F.when(F.col("pos") == 0, F.col(name)).alias(name) for name in inner_columns),
+        *(F.when(F.col("pos") == 0, F.col(name)).alias(name) for name in inside),
     )
     order = Window.partitionBy(*BAR).orderBy("first_ts", "pos")
     # A cell's tail never joins its own head: other runs lie between, or sides differ.
@@ -551,31 +633,33 @@ def run_structure(
         )
         .groupBy(*BAR, "run")
         .agg(
+            F.min("first_ts").alias("first_ts"),
             F.sum("length").alias("length"),
             F.sum("qty").alias("qty"),
             F.max("buy").alias("buy"),
-            *(F.sum(name).alias(name) for name in inner_columns[:3]),
-            *(F.max(name).alias(name) for name in inner_columns[3:]),
+            *(F.sum(name).alias(name) for name in _RUN_SUMS),
+            *(F.max(name).alias(name) for name in _RUN_TOPS),
         )
+        .withColumn("runs", F.max("run").over(Window.partitionBy(*BAR)))
     )
-    bars = joined.groupBy(*BAR).agg(
-        (F.count(F.lit(1)) + F.coalesce(F.sum("inner_runs"), F.lit(0))).alias("run_count"),
-        F.greatest(F.max("length"), F.max("inner_length")).alias("max_run_length"),
-        (F.sum("length") + F.coalesce(F.sum("inner_trades"), F.lit(0))).alias("trades"),
-        (F.count_if(F.col("buy")) + F.coalesce(F.sum("inner_buy_runs"), F.lit(0))).alias(
-            "buy_run_count"
-        ),
-        F.greatest(F.max("qty"), F.max("inner_qty")).alias("max_run_volume"),
-    )
-    return finish(
-        bars,
-        "run_count",
-        "max_run_length",
-        ratio(F.col("trades"), F.col("run_count")).alias("mean_run_length"),
-        "buy_run_count",
-        (F.col("run_count") - F.col("buy_run_count")).alias("sell_run_count"),
-        "max_run_volume",
-    )
+    return joined.groupBy(*BAR).agg(F.min("first_ts").alias("first_ts"), *_run_state(merged=True))
+
+
+def run_columns() -> list[Column]:
+    """``run_structure`` columns from a run state."""
+    tail = F.col("tail_length").isNotNull()
+    runs = F.col("inner_runs") + 1 + tail.cast("int")
+    buys = F.col("inner_buy_runs") + F.coalesce(F.col("head_buy").cast("int"), F.lit(0))
+    buys = buys + F.coalesce(F.col("tail_buy").cast("int"), F.lit(0))
+    trades = F.col("head_length") + F.coalesce("tail_length", F.lit(0)) + F.col("inner_trades")
+    return [
+        runs.alias("run_count"),
+        F.greatest("head_length", "tail_length", "inner_length").alias("max_run_length"),
+        ratio(trades, runs).alias("mean_run_length"),
+        buys.alias("buy_run_count"),
+        (runs - buys).alias("sell_run_count"),
+        F.greatest("head_qty", "tail_qty", "inner_qty").alias("max_run_volume"),
+    ]
 
 
 def slippage(

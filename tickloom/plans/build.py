@@ -18,7 +18,10 @@ from tickloom.sources.lake import write_lake
 
 MAX_CELL_ROWS = 2_000_000
 
-_SLICED = {"vtwap", "impact", "updownticks", "run_structure", "returns", "slippage", "l1_price"}
+_SLICED = {
+    "vtwap", "impact", "updownticks", "run_structure", "returns", "slippage", "l1_price",
+    "path_state", "run_state",
+}
 _SIZED = {"flow", "trade_size"}
 _WIDTHS = ("1m", "15m", "1h")
 
@@ -42,6 +45,8 @@ _BUILDERS = {
     "funding": ("deriv", deriv_bars.funding),
     "open_interest": ("deriv", deriv_bars.open_interest),
     "derivative_price": ("deriv", deriv_bars.derivative_price),
+    "path_state": ("trades", trade_bars.path_state),
+    "run_state": ("trades", trade_bars.run_state),
 }
 
 
