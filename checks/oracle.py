@@ -542,6 +542,8 @@ FROM (SELECT exchange, symbol, m FROM (SELECT DISTINCT exchange, symbol FROM see
             "ohlcv", where=f"WHERE {_FIRST} AND symbol = '{SLICE_SYMBOL}' AND {_range(SLICE_FROM, SLICE_TO)}"
         ),
         "L3_lake_strict": _bar_sql("ohlcv"),
+        "L14_load_deltas": _bar_sql("ohlcv"),
+        "L14_compacted_deltas": _bar_sql("ohlcv"),
         "L3_lake_merge": _bar_sql(
             "ohlcv",
             keys="exchange, symbol, timestamp, "

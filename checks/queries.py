@@ -399,6 +399,24 @@ def lake_in_parts(spark, folder):
     return rounded(df, [*keys, _text("time")], OHLCV)
 
 
+def lake_deltas(spark, folder, *, compacted):
+    """A month load, then deltas: half of the bars stale, then all bars from a day on."""
+    root = shared_folder(spark, "lake")
+    bars = build("ohlcv", tick_tables(spark, folder), "4h")
+    target = (root, "ohlcv", "4h", "exchange")
+    lake.write_lake(bars.where(F.col("timestamp") < PART_CUT), *target)
+    stale = bars.withColumn("volume", F.lit(-1.0))
+    early = F.col("timestamp") < PART_CUT - DAY_MS
+    lake.write_lake(stale.where(~early), *target, delta=True)
+    lake.write_lake(bars.where(~early), *target, delta=True)
+    if compacted:
+        lake.compact(spark, *target)
+    df = lake.load(
+        spark, root, "ohlcv", "exchange", "4h", None, None, FIRST_DAY, LAST_DAY, sort=False
+    )
+    return rounded(df, KEYS, OHLCV)
+
+
 def lake_files(spark, folder):
     root = _written(spark, folder, "ohlcv", "4h")
     df = spark.read.parquet(f"{root}/ohlcv")
@@ -533,6 +551,8 @@ def registry():
         "L13_panel": panel,
         "L14_write_lake": lake_files,
         "L14_write_in_parts": lake_in_parts,
+        "L14_load_deltas": partial(lake_deltas, compacted=False),
+        "L14_compacted_deltas": partial(lake_deltas, compacted=True),
         "L11_preview_fetch": preview_fetch,
         "B9_returns_in_parts": partial(in_parts, dataset="returns"),
         "B10_slippage_in_parts": partial(in_parts, dataset="slippage"),

@@ -3,12 +3,18 @@
 Layout: ``root/dataset/interval=/ts_kind=/exchange=/year=/month=/symbol=/*.parquet``.
 Months come before symbols, so a load names its months in the path: Spark then lists
 the folders of those months only, not the whole lake.
+
+A write may also leave the stored months alone and add its bars as a delta, below
+``root/delta/dataset/interval=/ts_kind=/load=/...``. A load puts the last bar of each
+(series, timestamp) on top; ``compact`` folds deltas into their months.
 """
 
 from __future__ import annotations
 
 import logging
 import re
+import time
+import uuid
 from collections.abc import Sequence
 from datetime import date
 
@@ -45,6 +51,8 @@ def write_lake(
     ts_kind: str,
     *,
     replace_months: bool = False,
+    delta: bool = False,
+    load_name: str | None = None,
 ) -> str:
     """Write bars of one dataset, interval and clock.
 
@@ -53,6 +61,10 @@ def write_lake(
     are bar tables, and only the months that the new bars span are read.
     ``replace_months`` drops what the touched months held instead.
 
+    ``delta`` reads no stored bar and rewrites no month: the bars go into a folder of their own
+    (``load_name``, by default the time of the call; a later name wins, and the same name again
+    replaces its bars). Any other write folds pending deltas in first.
+
     A series holds at most one row per interval, so a month folder is bounded by the
     calendar (2.7 million rows at 1s), however many trades stand behind it. The
     rebalance hint lets AQE join small partitions and split large ones; rows are sorted
@@ -83,8 +95,18 @@ def write_lake(
     )
     folders = [name for name in PARTITIONS if name not in ("interval", "ts_kind")]
     path = f"{root}/{dataset}/interval={interval}/ts_kind={ts_kind}"
-    if not replace_months:
-        rows = _with_stored(rows, path, folders)
+    if delta:
+        name = load_name or f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+        path = f"{_delta_root(root, dataset, interval, ts_kind)}/load={name}"
+    else:
+        compact(rows.sparkSession, root, dataset, interval, ts_kind)
+        if not replace_months:
+            rows = _with_stored(rows, path, folders)
+    _write(rows, path, folders, whole=delta)
+    return path
+
+
+def _write(rows: DataFrame, path: str, folders: list[str], *, whole: bool = False) -> None:
     by_folder = [F.col(name) for name in folders]
     if rows.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
         rows = rows.hint("rebalance", *by_folder)
@@ -93,39 +115,126 @@ def write_lake(
     (
         rows.sortWithinPartitions(*folders, "timestamp")
         .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
+        .option("partitionOverwriteMode", "static" if whole else "dynamic")
         .partitionBy(*folders)
         .parquet(path)
     )
-    return path
 
 
 def _with_stored(rows: DataFrame, path: str, folders: list[str]) -> DataFrame:
-    """``rows`` and the bars stored in the folders they touch, read from a staged copy."""
+    """``rows`` and the bars stored in the folders they touch, read from a staged copy.
+
+    Only the months between the first and the last new bar are listed.
+    """
     spark = rows.sparkSession
-    try:
-        stored = spark.read.schema(rows.schema).option("basePath", path).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
+    rows = _staged(rows, "merge")
+    months = month_span(rows)
+    stored = read_months(spark, path, rows.schema, months) if months else None
+    if stored is None:
         return rows
+    old = stored.join(rows.select(*folders).distinct(), folders, "left_semi").join(
+        rows.select(*SERIES, "timestamp"), [*SERIES, "timestamp"], "left_anti"
+    )
+    return _staged(old.select(rows.columns).unionByName(rows), "merge")
+
+
+def _staged(df: DataFrame, purpose: str) -> DataFrame:
+    where = shared_folder(df.sparkSession, purpose)
+    df.write.parquet(where)
+    return df.sparkSession.read.schema(df.schema).parquet(where)
 
-    def staged(df: DataFrame) -> DataFrame:
-        where = shared_folder(spark, "merge")
-        df.write.parquet(where)
-        return spark.read.schema(rows.schema).parquet(where)
 
-    rows = staged(rows)
+def month_span(rows: DataFrame) -> list[tuple[int, int]]:
+    """Months from the first to the last bar of ``rows`` (columns year and month)."""
     month = F.col("year") * 12 + F.col("month")
     span = rows.agg(F.min(month).alias("first"), F.max(month).alias("last")).first()
     if span.first is None:
-        return rows
-    old = (
-        stored.where(month.between(span.first, span.last))
-        .join(rows.select(*folders).distinct(), folders, "left_semi")
-        .join(rows.select(*SERIES, "timestamp"), [*SERIES, "timestamp"], "left_anti")
+        return []
+    return [((n - 1) // 12, (n - 1) % 12 + 1) for n in range(span.first, span.last + 1)]
+
+
+def read_months(
+    spark: SparkSession, path: str, schema, months: Sequence[tuple[int, int]]
+) -> DataFrame | None:
+    """Stored bars of the named months, all exchanges; None if there is no such folder.
+
+    ``path`` is one interval and clock of a dataset. Other months are not listed.
+    """
+    named = _any_of([f"year={y}/month={m}" for y, m in months])
+    try:
+        reader = spark.read.schema(schema).option("basePath", path)
+        return reader.parquet(f"{path}/{_any_of([f'exchange={n}' for n in EXCHANGES])}/{named}")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+# Deltas -----------------------------------------------------------------------------
+
+
+def _delta_root(root: str, dataset: str, interval: str, ts_kind: str) -> str:
+    return f"{root}/delta/{dataset}/interval={interval}/ts_kind={ts_kind}"
+
+
+def _pending(spark: SparkSession, where: str) -> list:
+    """Paths of the loads below ``where`` that are not folded in; one listing of one folder."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(where)
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(path):
+        return []
+    return [s.getPath() for s in system.listStatus(path) if s.getPath().getName().startswith("load=")]
+
+
+def _latest(deltas: DataFrame) -> DataFrame:
+    """The bar of the last load for each (series, timestamp)."""
+    keys = [*SERIES, "timestamp"]
+    rest = [name for name in deltas.columns if name not in (*keys, "load")]
+    found = deltas.groupBy(*keys).agg(F.max_by(F.struct(*rest), "load").alias("bar"))
+    return found.select(*keys, "bar.*")
+
+
+def with_deltas(stored: DataFrame, deltas: DataFrame) -> DataFrame:
+    """Stored bars with the last delta of each (series, timestamp) on top.
+
+    Deltas are combined first; stored bars meet only their keys.
+    """
+    latest = _latest(deltas)
+    keys = [*SERIES, "timestamp"]
+    kept = stored.join(latest.select(*keys), keys, "left_anti")
+    shared = [name for name in kept.columns if name in latest.columns]
+    return kept.unionByName(latest.select(shared), allowMissingColumns=True)
+
+
+def compact(
+    spark: SparkSession, root: str, dataset: str, interval: str, ts_kind: str
+) -> int:
+    """Fold the pending deltas of one dataset, interval and clock into their months.
+
+    Only months that a delta touches are read and rewritten. A delta goes after its bars are in
+    their months; a run that stops in between leaves deltas that say the same as the months,
+    and the next run removes them. Loads that begin meanwhile stay pending. Returns the number
+    of loads folded in. Nobody should be reading the touched months.
+    """
+    check_dataset(dataset), check_interval(interval), check_ts_kind(ts_kind)
+    loads = _pending(spark, _delta_root(root, dataset, interval, ts_kind))
+    if not loads:
+        return 0
+    where = _delta_root(root, dataset, interval, ts_kind)
+    folders = [name for name in PARTITIONS if name not in ("interval", "ts_kind")]
+    schema = lake_schema(dataset)
+    names = [f for f in schema.fieldNames() if f not in ("interval", "ts_kind")]
+    kinds = ", ".join(f"`{n}` {schema[n].dataType.simpleString()}" for n in names)
+    deltas = (
+        spark.read.schema(f"{kinds}, load string")
+        .option("basePath", where)
+        .parquet(*(path.toString() for path in loads))
     )
-    return staged(old.select(rows.columns).unionByName(rows))
+    path = f"{root}/{dataset}/interval={interval}/ts_kind={ts_kind}"
+    _write(_with_stored(_latest(deltas).select(names), path, folders), path, folders)
+    for load_path in loads:
+        load_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(load_path, True)
+    return len(loads)
 
 
 def read_parquet(spark: SparkSession, *paths: str) -> DataFrame:
@@ -169,13 +278,10 @@ def check_request(
         raise ValueError(f"start date {start_date} is after end date {end_date}")
 
 
-def _month_paths(root, dataset, timestamp, interval, exchange, start_date, end_date) -> str:
+def _month_paths(exchange, start_date, end_date) -> str:
     months = [f"year={y}/month={m}" for y, m in months_between(start_date, end_date)]
     exchanges = [f"exchange={name}" for name in _as_list(exchange) or EXCHANGES]
-    return (
-        f"{root}/{dataset}/interval={interval}/ts_kind={timestamp}/"
-        f"{_any_of(exchanges)}/{_any_of(months)}"
-    )
+    return f"{_any_of(exchanges)}/{_any_of(months)}"
 
 
 def scan_months(
@@ -198,7 +304,8 @@ def scan_months(
     """
     if schema_mode not in ("declared", "strict", "merge"):
         raise ValueError(f"unknown schema mode {schema_mode!r}")
-    where = _month_paths(root, dataset, timestamp, interval, exchange, start_date, end_date)
+    months = _month_paths(exchange, start_date, end_date)
+    where = f"{root}/{dataset}/interval={interval}/ts_kind={timestamp}/{months}"
 
     def reader():
         return spark.read.option("basePath", f"{root}/{dataset}")
@@ -213,19 +320,37 @@ def scan_months(
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
+        df = None
+    deltas = _read_deltas(spark, root, dataset, timestamp, interval, months)
+    if df is None and deltas is None:
         log.warning("no file for %s", where)
         return empty_result(spark, dataset)
-    month = F.col("year") * 12 + F.col("month")
-    df = df.where(month.between(month_number(start_date), month_number(end_date)))
-    symbols = _as_list(symbol)
-    if symbols is not None:
-        df = df.where(F.col("symbol").isin(symbols))
-    exchanges = _as_list(exchange)
-    if exchanges is not None:
-        df = df.where(F.col("exchange").isin(exchanges))
+
+    def narrow(rows: DataFrame) -> DataFrame:
+        month = F.col("year") * 12 + F.col("month")
+        rows = rows.where(month.between(month_number(start_date), month_number(end_date)))
+        for name, wanted in (("symbol", _as_list(symbol)), ("exchange", _as_list(exchange))):
+            if wanted is not None:
+                rows = rows.where(F.col(name).isin(wanted))
+        return rows
+
+    if df is None:  # the deltas are all there is
+        return with_deltas(empty_result(spark, dataset), narrow(deltas))
+    df = narrow(df)
     if schema_mode == "strict":
         _check_files(dataset, reader(), df, where)
-    return df
+    return df if deltas is None else with_deltas(df, narrow(deltas))
+
+
+def _read_deltas(spark, root, dataset, timestamp, interval, months) -> DataFrame | None:
+    schema = lake_schema(dataset).add("load", "string")
+    where = f"{_delta_root(root, dataset, interval, timestamp)}/load=*/{months}"
+    try:
+        return spark.read.schema(schema).option("basePath", f"{root}/delta/{dataset}").parquet(where)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
 
 
 def _footer_columns(batches):
@@ -341,21 +466,23 @@ def partition_rows(
     Files are listed, their content is not read. What is known goes into the path.
     """
     exchanges = [f"exchange={check_exchange(n)}" for n in _as_list(exchange) or EXCHANGES]
-    where = (
-        f"{root}/{check_dataset(dataset)}/interval={interval or '*'}/ts_kind={ts_kind or '*'}/"
-        f"{_any_of(exchanges)}"
-    )
-    try:
-        files = (
-            spark.read.format("binaryFile")
-            .option("recursiveFileLookup", "true")
-            .option("pathGlobFilter", "*.parquet")
-            .load(where)
-            .select("path")
-        )
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
+    clocks = f"{check_dataset(dataset)}/interval={interval or '*'}/ts_kind={ts_kind or '*'}"
+    files = None
+    for where in (f"{root}/{clocks}", f"{root}/delta/{clocks}/load=*"):
+        try:
+            found = (
+                spark.read.format("binaryFile")
+                .option("recursiveFileLookup", "true")
+                .option("pathGlobFilter", "*.parquet")
+                .load(f"{where}/{_any_of(exchanges)}")
+                .select("path")
+            )
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            continue
+        files = found if files is None else files.unionByName(found)
+    if files is None:
         return spark.createDataFrame([], partition_schema())
 
     def folder(field) -> Column:

@@ -8,16 +8,18 @@ Lag-based datasets need ordered rows and stay batch.
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+import time
+from datetime import date
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.catalogue import SERIES
-from tickloom.functions.clock import interval_ms, ts_column
+from tickloom.functions.clock import interval_ms, ntz_from_ms, ts_column
 from tickloom.functions.expr import first_by, last_by, order_key, sum_if, taker_buy
 from tickloom.operators.slices import finish
 from tickloom.operators.trade_bars import SIZE_LIMITS, _size_class, flow_columns
-from tickloom.sources.lake import write_lake
+from tickloom.sources.lake import month_span, scan_months, write_lake
 
 
 def _windowed(trades: DataFrame, interval: str, ts_kind: str, delay: str):
@@ -101,12 +103,17 @@ def stream_to_lake(
 ):
     """Write closed bars into the lake that ``load`` reads.
 
-    Each batch is merged into its months, and a batch that runs again after a failure
-    writes the same bars over themselves.
+    Each batch is a delta, so no month is read or rewritten; ``lake.compact`` folds them in. A
+    batch that runs again after a failure replaces its own delta. Names begin with the time the
+    stream was started here, so a restarted stream comes after what was written before.
     """
+    started = f"{time.time_ns():020d}"
 
-    def store(batch: DataFrame, _: int) -> None:
-        write_lake(batch, root, dataset, interval, ts_kind)
+    def store(batch: DataFrame, number: int) -> None:
+        write_lake(
+            batch, root, dataset, interval, ts_kind, delta=True,
+            load_name=f"{started}-batch{number:09d}",
+        )
 
     writer = (
         bars.writeStream.outputMode("append")
@@ -122,15 +129,18 @@ def close_open_bars(
     """Write the bars that a stopped stream left open behind its watermark.
 
     ``bars`` are the batch form over the same trades. Bars in the lake stay as the stream
-    emitted them; only those it has not closed are added.
+    emitted them; only those it has not closed are added. Of the lake only keys are read, in the
+    months between the first and the last of ``bars``.
     """
-    path = f"{root}/{dataset}/interval={interval}/ts_kind={ts_kind}"
-    spark, keys = bars.sparkSession, [*SERIES, "timestamp"]
-    schema = "exchange string, year int, month int, symbol string, timestamp bigint"
-    try:
-        closed = spark.read.schema(schema).option("basePath", path).parquet(path).select(*keys)
-        bars = bars.join(closed, keys, "left_anti")
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-    return write_lake(bars, root, dataset, interval, ts_kind)
+    stamp = ntz_from_ms(F.col("timestamp"))
+    dated = bars.withColumns({"year": F.year(stamp), "month": F.month(stamp)})
+    months = month_span(dated.select("year", "month"))
+    if not months:
+        return write_lake(bars, root, dataset, interval, ts_kind, delta=True)
+    first, last = (date(year, month, 1) for year, month in (months[0], months[-1]))
+    keys = [*SERIES, "timestamp"]
+    closed = scan_months(
+        bars.sparkSession, root, dataset, ts_kind, interval, None, None, first, last
+    )
+    bars = bars.join(closed.select(*keys), keys, "left_anti")
+    return write_lake(bars, root, dataset, interval, ts_kind, delta=True)
