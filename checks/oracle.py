@@ -11,6 +11,7 @@ from checks.settings import (
     FINE_DATASETS,
     FINE_INTERVALS,
     GROUPS,
+    LATE_DATASETS,
     LIMITS,
     PART_CUT,
     SLICE_FROM,
@@ -584,6 +585,8 @@ FROM (SELECT exchange, symbol, m FROM (SELECT DISTINCT exchange, symbol FROM see
     }
     for number, dataset in enumerate(DATASETS, start=1):
         out[f"B{number}_{dataset}"] = out[f"measured_{dataset}"] = _bar_sql(dataset)
+    for dataset in LATE_DATASETS:
+        out[f"L14_late_{dataset}"] = _bar_sql(dataset)
     for dataset in FROM_STATES:
         for interval in ("1h", "1d"):
             out[f"X3_states_{dataset}_{interval}"] = _bar_sql(dataset, interval)

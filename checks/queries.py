@@ -14,6 +14,7 @@ from checks.settings import (
     FIRST_DAY,
     GROUPS,
     LAST_DAY,
+    LATE_DATASETS,
     LIMITS,
     MEASURED_ROWS,
     PART_CUT,
@@ -36,7 +37,15 @@ from tickloom.functions.clock import DAY_MS, from_epoch_ms, time_bucket
 from tickloom.operators.asof import asof_mid
 from tickloom.operators.ranges import balance
 from tickloom.operators.resample import FROM_STATES, merge_states, resample, vwap_with_volume
-from tickloom.plans.build import build, measure, source_of, write_dataset, write_datasets
+from tickloom.plans.build import (
+    build,
+    measure,
+    source_of,
+    sources_of,
+    write_dataset,
+    write_datasets,
+)
+from tickloom.plans.late import LOOKS_BACK, rebuild
 from tickloom.session import shared_folder
 from tickloom.sources import frames, lake, market, reports
 from tickloom.streaming.bars import (
@@ -417,6 +426,26 @@ def lake_deltas(spark, folder, *, compacted):
     return rounded(df, KEYS, OHLCV)
 
 
+def late_ticks(spark, folder, *, dataset):
+    """Bars of most ticks first; the rest come late, in no order of time, in two loads."""
+    root, tables = shared_folder(spark, "lake"), tick_tables(spark, folder)
+    target = (root, "4h", "exchange")
+    ids = {"trades": "trade_id", "quotes": "quote_id"}
+    turn = {name: F.pmod(F.col(id_), F.lit(50)) for name, id_ in ids.items()}
+    parts = [lambda n: turn[n] > 1, lambda n: turn[n] == 1, lambda n: turn[n] == 0]
+    loaded = {name: tables[name].where(parts[0](name)) for name in sources_of(dataset)}
+    for first in (*LOOKS_BACK.get(dataset, ())[:1], dataset):
+        write_dataset(first, loaded, root, "4h", limits=LIMITS)
+    for part in parts[1:]:
+        late = {name: tables[name].where(part(name)) for name in loaded}
+        loaded = {name: df.unionByName(late[name]) for name, df in loaded.items()}
+        rebuild(dataset, loaded, late, *target, limits=LIMITS)
+    df = lake.load(
+        spark, root, dataset, "exchange", "4h", None, None, FIRST_DAY, LAST_DAY, sort=False
+    )
+    return rounded(df, KEYS, metric_columns(dataset))
+
+
 def lake_files(spark, folder):
     root = _written(spark, folder, "ohlcv", "4h")
     df = spark.read.parquet(f"{root}/ohlcv")
@@ -584,6 +613,8 @@ def registry():
     for number, dataset in enumerate(DATASETS, start=1):
         found[f"B{number}_{dataset}"] = partial(dataset_bars, dataset=dataset)
         found[f"measured_{dataset}"] = partial(measured, dataset=dataset)
+    for dataset in LATE_DATASETS:
+        found[f"L14_late_{dataset}"] = partial(late_ticks, dataset=dataset)
     for dataset in FROM_STATES:
         for interval in ("1h", "1d"):
             found[f"X3_states_{dataset}_{interval}"] = partial(

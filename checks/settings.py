@@ -15,6 +15,9 @@ MEASURED_ROWS = 5
 FINE_INTERVALS = ("1m", "1h")
 FINE_DATASETS = ("ohlcv", "vtwap", "flow", "trade_size", "returns", "slippage", "l1_price", "basis")
 
+# Datasets that are brought up to date after late ticks.
+LATE_DATASETS = ("ohlcv", "trade_size", "run_structure", "returns", "slippage", "l1_price")
+
 GROUPS = {
     "tally": ("ohlcv", "flow", "trade_size", "range"),
     "path": ("vtwap", "impact", "updownticks", "returns"),

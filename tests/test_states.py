@@ -3,7 +3,7 @@ import random
 import pytest
 
 from tests.helpers import same
-from tickloom.catalogue import STATES, metric_columns
+from tickloom.catalogue import metric_columns
 from tickloom.operators.resample import FROM_STATES, from_states, merge_states, resample
 from tickloom.plans.build import build, write_dataset
 from tickloom.sources import lake, reports
@@ -37,7 +37,7 @@ def test_merged_states_give_the_bars_of_the_trades(busy, dataset, interval):
     assert sorted(got.collect()) == sorted(want.select("exchange", "symbol", *longs).collect())
 
 
-@pytest.mark.parametrize("kind", STATES)
+@pytest.mark.parametrize("kind", ["path_state", "run_state"])
 def test_merge_is_associative_and_independent_of_slices(busy, kind):
     fine = build(kind, {"trades": busy}, "1m")
     direct = build(kind, {"trades": busy}, "1d")
@@ -77,7 +77,12 @@ def test_wrong_requests(busy):
 
 
 def test_empty(busy, root):
-    for kind in STATES:
+    for kind in ("path_state", "run_state"):
         none = build(kind, {"trades": busy.limit(0)}, "1m")
         assert merge_states(none, kind, "1h").collect() == []
     assert lake.empty_result(busy.sparkSession, "path_state").columns
+
+
+def test_mid_states(small):
+    fine, direct = (build("mid_state", {"quotes": small["quotes"]}, i) for i in ("1m", "1d"))
+    same(merge_states(fine, "mid_state", "1d"), direct, tolerance=0)

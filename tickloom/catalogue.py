@@ -118,6 +118,7 @@ _STATE_COLUMNS: dict[str, dict[str, T.DataType]] = {
         "first_ts head_length tail_length inner_runs inner_buy_runs inner_trades inner_length",
         "head_buy tail_buy",
     ),
+    "mid_state": _fields("last_mid", "quotes"),
 }
 STATES = tuple(_STATE_COLUMNS)
 _COLUMNS = _METRIC_COLUMNS | _STATE_COLUMNS

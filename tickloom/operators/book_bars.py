@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tickloom.catalogue import BAR, BOOK_DEPTHS
 from tickloom.functions.clock import interval_ms
-from tickloom.functions.expr import ratio
+from tickloom.functions.expr import order_key, ratio
 from tickloom.operators.slices import (
     cell_keys,
     cell_window,
@@ -88,6 +88,19 @@ def l1_price(
     )
 
 
+def mid_state(quotes: DataFrame, interval: str, ts_kind: str = "exchange") -> DataFrame:
+    """The last valid mid of each bar (null and zero are none), which later bars look back at,
+    and the number of quotes."""
+    order = order_key(F.col("ts"), F.col("id"), interval_ms(interval))
+    mid = F.nullif((F.col("bid_price") + F.col("ask_price")) / F.lit(2.0), F.lit(0.0))
+    rows = _quote_ticks(quotes, interval, ts_kind).withColumn("mid", mid)
+    bars = rows.groupBy(*BAR).agg(
+        F.max_by("mid", F.when(F.col("mid").isNotNull(), order)).alias("last_mid"),
+        F.count(F.lit(1)).alias("quotes"),
+    )
+    return finish(bars, "last_mid", "quotes")
+
+
 def quote_tally(quotes: DataFrame, interval: str, ts_kind: str = "exchange") -> DataFrame:
     """Wide bar table behind l1_imbalance and l1_liquidity."""
     bid, ask, bid_size, ask_size = map(F.col, _TOP)

@@ -33,7 +33,16 @@ _FROM_PATH = {
     "returns": return_columns,
 }
 FROM_STATES = {**dict.fromkeys(_FROM_PATH, "path_state"), "run_structure": "run_state"}
-_MERGES = {"path_state": merge_paths, "run_state": merge_runs}
+
+
+def _merge_mids(states: DataFrame) -> DataFrame:
+    known = F.when(F.col("last_mid").isNotNull(), F.col("timestamp"))
+    return states.groupBy(*BAR).agg(
+        F.max_by("last_mid", known).alias("last_mid"), F.sum("quotes").alias("quotes")
+    )
+
+
+_MERGES = {"path_state": merge_paths, "run_state": merge_runs, "mid_state": _merge_mids}
 
 
 def _merged(states: DataFrame, kind: str, interval: str) -> DataFrame:
@@ -42,7 +51,7 @@ def _merged(states: DataFrame, kind: str, interval: str) -> DataFrame:
 
 
 def merge_states(states: DataFrame, kind: str, interval: str) -> DataFrame:
-    """States of ``kind`` (``path_state`` or ``run_state``) merged to the coarser ``interval``.
+    """States of ``kind`` (``path_state``, ``run_state``, ``mid_state``) merged to the coarser ``interval``.
 
     The input holds one row per bar, not per trade; it may itself come from a merge.
     """

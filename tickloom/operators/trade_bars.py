@@ -680,7 +680,7 @@ def slippage(
     quote the sums of ``sign*q*p`` and ``sign*q`` are kept; the mid they need, the last
     one of an earlier slice, is the same for all of them and is filled in on the slice
     table. So trades and quotes are scanned, shuffled and sorted once. A quote whose mid
-    is null or zero counts as no quote. ``previous`` (exchange, symbol, value) holds the
+    is null or zero counts as no quote, a trade without price or quantity costs nothing. ``previous`` (exchange, symbol, value) holds the
     last mid before the input, for trades before its first quote.
 
     ``cuts`` (``ranges.balance``) takes the place of slices of one width. In a millisecond that
@@ -738,8 +738,12 @@ def slippage(
         last_mid, own_mid = F.max_by("mid", quote_order), F.max("parts") > 1
     met, open_ = trade & known_mid, trade & ~known_mid
     price, qty, m = F.col("price"), F.col("qty"), F.col("m")
+    priced = price.isNotNull() & qty.isNotNull()
     sums = []
-    for side, of_side, sign in (("buy", F.col("buy"), 1.0), ("sell", ~F.col("buy"), -1.0)):
+    for side, of_side, sign in (
+        ("buy", F.col("buy") & priced, 1.0),
+        ("sell", ~F.col("buy") & priced, -1.0),
+    ):
         sums += [
             sum_if(met & of_side, F.lit(sign) * qty * (price - m) / m).alias(f"{side}_cost"),
             sum_if(met & of_side, qty).alias(f"{side}_qty"),

@@ -47,6 +47,7 @@ _BUILDERS = {
     "derivative_price": ("deriv", deriv_bars.derivative_price),
     "path_state": ("trades", trade_bars.path_state),
     "run_state": ("trades", trade_bars.run_state),
+    "mid_state": ("quotes", book_bars.mid_state),
 }
 
 
@@ -55,6 +56,11 @@ def source_of(dataset: str) -> str:
     return _BUILDERS[check_dataset(dataset)][0]
 
 
+def sources_of(dataset: str) -> tuple[str, ...]:
+    """Names of all inputs of a dataset."""
+    return ("trades", "quotes") if dataset == "slippage" else (source_of(dataset),)
+
+
 @dataclass(frozen=True)
 class Sizing:
     """Into which slices to cut the bars of one input."""
@@ -92,7 +98,7 @@ def measure(
 
 def _width(dataset: str, sizing: dict[str, Sizing]) -> int | None:
     """Slice width for a dataset: that of its input, for slippage the lesser of its two."""
-    sources = ("trades", "quotes") if dataset == "slippage" else (_BUILDERS[dataset][0],)
+    sources = sources_of(dataset)
     known = [sizing[name].slice_ms for name in sources if name in sizing]
     return min(known) if len(known) == len(sources) else None
 

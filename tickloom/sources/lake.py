@@ -278,7 +278,13 @@ def check_request(
         raise ValueError(f"start date {start_date} is after end date {end_date}")
 
 
+#: Dates of a scan that takes every month there is.
+EARLIEST, LATEST = date(1, 1, 1), date(9999, 12, 31)
+
+
 def _month_paths(exchange, start_date, end_date) -> str:
+    if (start_date, end_date) == (EARLIEST, LATEST):
+        return f"{_any_of([f'exchange={name}' for name in _as_list(exchange) or EXCHANGES])}"
     months = [f"year={y}/month={m}" for y, m in months_between(start_date, end_date)]
     exchanges = [f"exchange={name}" for name in _as_list(exchange) or EXCHANGES]
     return f"{_any_of(exchanges)}/{_any_of(months)}"
