@@ -14,6 +14,7 @@ from checks.settings import (
     LATE_DATASETS,
     LIMITS,
     PART_CUT,
+    SIZED_GROUP,
     SLICE_FROM,
     SLICE_SYMBOL,
     SLICE_TO,
@@ -576,6 +577,9 @@ FROM (SELECT exchange, symbol, m FROM (SELECT DISTINCT exchange, symbol FROM see
         "X4_stream_ohlcv": _closed("ohlcv", "exchange"),
         "X4_stream_ohlcv_true": _closed("ohlcv", "true"),
         "X4_stream_flow": _closed("flow", "exchange"),
+        "X4_stream_resample_ohlcv": _closed("ohlcv", "exchange"),
+        "X4_stream_resample_flow": _closed("flow", "true"),
+        "L14_write_datasets_sized": _side_by_side(SIZED_GROUP),
         "X4_stream_to_lake_ohlcv": _bar_sql("ohlcv"),
         "X4_stream_to_lake_flow": _bar_sql("flow"),
         **{

@@ -18,6 +18,7 @@ from checks.settings import (
     LIMITS,
     MEASURED_ROWS,
     PART_CUT,
+    SIZED_GROUP,
     SLICE_FROM,
     SLICE_SYMBOL,
     SLICE_TO,
@@ -52,6 +53,7 @@ from tickloom.streaming.bars import (
     close_open_bars,
     stream_flow,
     stream_ohlcv,
+    stream_resample,
     stream_to_lake,
     write_stream,
 )
@@ -154,11 +156,15 @@ def symbols_of(spark, folder):
     return reports.list_symbols(spark, root, EXCHANGE).where(F.col("symbol").isin(names))
 
 
-def shared_pass(spark, folder, *, datasets):
+def shared_pass(spark, folder, *, datasets, sized=False):
     """Datasets of one group, written with one pass and read back side by side."""
     root = shared_folder(spark, "lake")
     tables = tick_tables(spark, folder)
-    write_datasets(datasets, tables, root, "4h", "exchange", limits=LIMITS)
+    sizing = {}
+    if sized:
+        names = {name for dataset in datasets for name in sources_of(dataset)}
+        sizing = {name: measure(tables[name], "4h", max_rows=MEASURED_ROWS) for name in names}
+    write_datasets(datasets, tables, root, "4h", "exchange", limits=LIMITS, sizing=sizing)
     parts, names = None, []
     for dataset in datasets:
         columns = {name: f"{dataset}_{name}" for name in metric_columns(dataset)}
@@ -544,11 +550,15 @@ def streamed_to_lake(spark, folder, *, dataset):
     return rounded(df, KEYS, metric_columns(dataset))
 
 
-def streamed(spark, folder, *, dataset, ts_kind="exchange"):
-    """Closed bars of a stream over the events file, with a 30-minute watermark."""
+def streamed(spark, folder, *, dataset, ts_kind="exchange", fine=None):
+    """Closed bars of a stream over the events file, with a 30-minute watermark.
+
+    ``fine``: made from the stream's own bars of that interval."""
     source = _event_stream(spark, folder)
     options = {"interval": "4h", "ts_kind": ts_kind, "delay": "30 minutes"}
-    if dataset == "flow":
+    if fine is not None:
+        bars = stream_resample(market.trades(source), dataset, fine, limits=LIMITS, **options)
+    elif dataset == "flow":
         bars = stream_flow(market.trades(source), limits=LIMITS, **options)
     else:
         bars = stream_ohlcv(market.trades(source), **options)
@@ -603,12 +613,15 @@ def registry():
         "X4_stream_ohlcv": partial(streamed, dataset="ohlcv"),
         "X4_stream_ohlcv_true": partial(streamed, dataset="ohlcv", ts_kind="true"),
         "X4_stream_flow": partial(streamed, dataset="flow"),
+        "X4_stream_resample_ohlcv": partial(streamed, dataset="ohlcv", fine="1m"),
+        "X4_stream_resample_flow": partial(streamed, dataset="flow", ts_kind="true", fine="1h"),
         "X4_stream_to_lake_ohlcv": partial(streamed_to_lake, dataset="ohlcv"),
         "X4_stream_to_lake_flow": partial(streamed_to_lake, dataset="flow"),
         **{
             f"L14_write_datasets_{name}": partial(shared_pass, datasets=datasets)
             for name, datasets in GROUPS.items()
         },
+        "L14_write_datasets_sized": partial(shared_pass, datasets=SIZED_GROUP, sized=True),
     }
     for number, dataset in enumerate(DATASETS, start=1):
         found[f"B{number}_{dataset}"] = partial(dataset_bars, dataset=dataset)

@@ -2,6 +2,8 @@
 
 from datetime import date
 
+from tickloom.catalogue import DATASETS
+
 LIMITS = (700.0, 2400.0)
 FIRST_DAY, LAST_DAY = date(2020, 1, 1), date(2030, 12, 31)
 SLICE_SYMBOL = "perpetual-S1-USDT:USDT"
@@ -12,8 +14,8 @@ SLICE_FROM, SLICE_TO = date(2024, 1, 5), date(2024, 1, 10)
 PART_CUT = 1705363200000
 MEASURED_ROWS = 5
 
-FINE_INTERVALS = ("1m", "1h")
-FINE_DATASETS = ("ohlcv", "vtwap", "flow", "trade_size", "returns", "slippage", "l1_price", "basis")
+FINE_INTERVALS = ("1m", "5m", "1h")
+FINE_DATASETS = DATASETS
 
 # Datasets that are brought up to date after late ticks.
 LATE_DATASETS = ("ohlcv", "trade_size", "run_structure", "returns", "slippage", "l1_price")
@@ -26,6 +28,9 @@ GROUPS = {
     "deriv": ("basis", "funding", "open_interest", "derivative_price"),
 }
 
+# Written together with measured slices: members of one pass, and datasets built alone.
+SIZED_GROUP = ("vtwap", "updownticks", "returns", "run_structure", "slippage")
+
 # Digits to compare; 6 unless named, more for small values.
 DIGITS = {
     "basis_mean": 10,

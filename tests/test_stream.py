@@ -10,6 +10,7 @@ from tickloom.streaming.bars import (
     close_open_bars,
     stream_flow,
     stream_ohlcv,
+    stream_resample,
     stream_to_lake,
     write_stream,
 )
@@ -68,3 +69,26 @@ def test_late_trades_and_the_tail(spark, small, tmp_path):
     close_open_bars(batch, *target)
     close_open_bars(batch, *target)
     same(load().select(batch.columns), batch)
+
+
+@pytest.mark.parametrize("dataset", ["ohlcv", "flow"])
+def test_bars_of_bars_over_a_restart(spark, small, tmp_path, dataset):
+    """Hours made of the stream's own minutes, in two runs of one checkpoint."""
+    source, out, state = (str(tmp_path / name) for name in ("in", "out", "state"))
+    trades = small["trades"]
+    middle = trades.agg(F.expr("percentile_approx(exchange_ts, 0.5)")).first()[0]
+    for early in (True, False):
+        part = trades.where((F.col("exchange_ts") <= middle) == early)
+        part.coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(trades.schema).parquet(source)
+        bars = stream_resample(stream, dataset, "1m", "4h", delay="20 minutes")
+        write_stream(bars, out, state).awaitTermination()
+    last = trades.agg(F.max("exchange_ts")).first()[0] - 20 * 60_000
+    closed = build(dataset, small, "4h").where(F.col("timestamp") + HOURS4 <= last)
+    same(spark.read.schema(bars.schema).parquet(out), closed)
+
+
+def test_bars_of_bars_need_a_merge_and_a_multiple(small):
+    for dataset, fine, coarse in (("returns", "1m", "1h"), ("ohlcv", "1h", "1m"), ("flow", "1h", "1h")):
+        with pytest.raises(ValueError):
+            stream_resample(small["trades"], dataset, fine, coarse)
