@@ -34,6 +34,7 @@ from tickloom.catalogue import (
 )
 from tickloom.functions.clock import day_ms, next_day_ms
 from tickloom.operators.resample import FROM_STATES
+from tickloom.operators.trade_bars import QUANTILES
 
 _K = "CAST(json_extract_string(props, '$.k') AS BIGINT)"
 _MS = "(epoch_us(ts) // 1000 + (event_id % 4) * 2678400000)"
@@ -447,6 +448,22 @@ def _side_by_side(datasets: tuple[str, ...]) -> str:
     return f"SELECT * FROM {joined}"
 
 
+def _sketched() -> str:
+    """Quantiles that are one of the day's values, by rank."""
+    picks = []
+    for value, points in QUANTILES.items():
+        for name, point in points.items():
+            digits, amount = nudge(f"{value}_{name}")
+            picks.append(
+                f"round(quantile_disc({value}, {point}) + {amount:.12f}, {digits}) + 0.0 AS {value}_{name}"
+            )
+    day = INTERVAL_MS["1d"]
+    return (
+        f"WITH {_TRADES} SELECT exchange, symbol, exchange_ts - exchange_ts % {day} AS timestamp, "
+        f"{', '.join(picks)} FROM trades GROUP BY ALL"
+    )
+
+
 def _stamped() -> str:
     return f"WITH {_TRADES}, s AS (SELECT trade_id, exchange_ts AS timestamp FROM trades)"
 
@@ -574,6 +591,7 @@ FROM (SELECT exchange, symbol, m FROM (SELECT DISTINCT exchange, symbol FROM see
         ),
         "X3_resample_flow": _bar_sql("flow", "1d"),
         "X3_resample_open_interest": _bar_sql("open_interest", "1d"),
+        "X3_sketch_quantiles": _sketched(),
         "X4_stream_ohlcv": _closed("ohlcv", "exchange"),
         "X4_stream_ohlcv_true": _closed("ohlcv", "true"),
         "X4_stream_flow": _closed("flow", "exchange"),

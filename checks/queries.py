@@ -38,6 +38,8 @@ from tickloom.functions.clock import DAY_MS, from_epoch_ms, time_bucket
 from tickloom.operators.asof import asof_mid
 from tickloom.operators.ranges import balance
 from tickloom.operators.resample import FROM_STATES, merge_states, resample, vwap_with_volume
+from tickloom.operators.sketches import with_quantiles
+from tickloom.operators.trade_bars import QUANTILES
 from tickloom.plans.build import (
     build,
     measure,
@@ -526,6 +528,17 @@ def from_stored_states(spark, folder, *, dataset, interval):
     return rounded(resample(states, dataset, interval), KEYS, metric_columns(dataset))
 
 
+def sketched_quantiles(spark, folder):
+    """4-hour sketches through the lake, merged to days. Few trades a day: sketches keep all."""
+    root = _written(spark, folder, "sketch_state", "4h")
+    states = lake.load(
+        spark, root, "sketch_state", "exchange", "4h", None, None, FIRST_DAY, LAST_DAY, sort=False
+    )
+    days = with_quantiles(merge_states(states, "sketch_state", "1d"), QUANTILES)
+    names = [f"{value}_{name}" for value, points in QUANTILES.items() for name in points]
+    return rounded(days, KEYS, names)
+
+
 def _event_stream(spark, folder):
     # As a glob, so that a single file and a folder of files both work.
     return spark.readStream.schema(market.read_events(spark, folder).schema).parquet(
@@ -610,6 +623,7 @@ def registry():
         "X3_resample_vwap": partial(resampled, dataset="vtwap"),
         "X3_resample_flow": partial(resampled, dataset="flow"),
         "X3_resample_open_interest": partial(resampled, dataset="open_interest"),
+        "X3_sketch_quantiles": sketched_quantiles,
         "X4_stream_ohlcv": partial(streamed, dataset="ohlcv"),
         "X4_stream_ohlcv_true": partial(streamed, dataset="ohlcv", ts_kind="true"),
         "X4_stream_flow": partial(streamed, dataset="flow"),

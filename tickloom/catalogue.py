@@ -47,10 +47,13 @@ BAR = ("exchange", "symbol", "bar")
 PARTITIONS = ("interval", "ts_kind", "exchange", "year", "month", "symbol")
 
 
-def _fields(doubles: str = "", longs: str = "", flags: str = "") -> dict[str, T.DataType]:
+def _fields(
+    doubles: str = "", longs: str = "", flags: str = "", bytes_: str = ""
+) -> dict[str, T.DataType]:
     out: dict[str, T.DataType] = {name: T.DoubleType() for name in doubles.split()}
     out.update({name: T.LongType() for name in longs.split()})
     out.update({name: T.BooleanType() for name in flags.split()})
+    out.update({name: T.BinaryType() for name in bytes_.split()})
     return out
 
 
@@ -119,6 +122,7 @@ _STATE_COLUMNS: dict[str, dict[str, T.DataType]] = {
         "head_buy tail_buy",
     ),
     "mid_state": _fields("last_mid", "quotes"),
+    "sketch_state": _fields(bytes_="qty_sketch price_sketch"),
 }
 STATES = tuple(_STATE_COLUMNS)
 _COLUMNS = _METRIC_COLUMNS | _STATE_COLUMNS

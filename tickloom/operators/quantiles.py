@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tickloom.operators.sketches import K, quantile_of
+
 # Bins per factor e. Logarithms of doubles lie within +-746, so 400,000 keeps the bins
 # of positive values above zero.
 _PER_E = 512
@@ -91,9 +93,13 @@ def quantile_aggregates(
 ) -> list[Column]:
     """Quantiles inside an ordinary ``agg``.
 
-    ``approx``: bounded memory, rank error at most rows / ``accuracy``.
+    ``approx``: bounded memory, rank error at most rows / ``accuracy``. ``sketch``: the KLL
+    sketch that ``sketches`` stores, a fixed few KB a bar.
     """
     points = F.array(*(F.lit(float(f)) for f in fractions.values()))
+    if method == "sketch":
+        sketch = F.kll_sketch_agg_double(F.when(~F.isnan(value), F.col(value)), F.lit(K))
+        return [quantile_of(sketch, f).alias(name) for name, f in fractions.items()]
     if method != "approx":
         raise ValueError(f"unknown quantile method {method!r}")
     found = F.percentile_approx(value, points, accuracy)

@@ -9,6 +9,7 @@ from tickloom.catalogue import BAR, SERIES, SIZE_CLASSES, metric_columns
 from tickloom.functions.clock import interval_ms, time_bucket
 from tickloom.functions.expr import ratio
 from tickloom.operators.deriv_bars import open_interest_columns
+from tickloom.operators.sketches import merge_sketches
 from tickloom.operators.slices import finish
 from tickloom.operators.trade_bars import (
     flow_columns,
@@ -42,7 +43,12 @@ def _merge_mids(states: DataFrame) -> DataFrame:
     )
 
 
-_MERGES = {"path_state": merge_paths, "run_state": merge_runs, "mid_state": _merge_mids}
+_MERGES = {
+    "path_state": merge_paths,
+    "run_state": merge_runs,
+    "mid_state": _merge_mids,
+    "sketch_state": merge_sketches,
+}
 
 
 def _merged(states: DataFrame, kind: str, interval: str) -> DataFrame:
@@ -51,7 +57,7 @@ def _merged(states: DataFrame, kind: str, interval: str) -> DataFrame:
 
 
 def merge_states(states: DataFrame, kind: str, interval: str) -> DataFrame:
-    """States of ``kind`` (``path_state``, ``run_state``, ``mid_state``) merged to the coarser ``interval``.
+    """States of ``kind`` (a table of ``catalogue.STATES``) merged to the coarser ``interval``.
 
     The input holds one row per bar, not per trade; it may itself come from a merge.
     """

@@ -84,7 +84,7 @@ def trade_tally(
 
     A builder selects its columns and Catalyst drops the other sums. ``spread`` names
     the values whose quantiles are wanted; all of them come from one more pass.
-    ``quantiles``: ``exact`` (any bar size) or ``approx``.
+    ``quantiles``: ``exact`` (any bar size), ``approx`` or ``sketch``.
     """
     rows = _trade_ticks(trades, interval, ts_kind)
     order = order_key(F.col("ts"), F.col("id"), interval_ms(interval))

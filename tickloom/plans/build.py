@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tickloom.catalogue import INTERVAL_MS, SERIES, check_dataset
 from tickloom.functions.clock import interval_ms, time_bucket, ts_column
-from tickloom.operators import book_bars, deriv_bars, trade_bars
+from tickloom.operators import book_bars, deriv_bars, sketches, trade_bars
 from tickloom.operators.ranges import Cuts
 from tickloom.operators.slices import finish
 from tickloom.session import shared_folder
@@ -48,6 +48,7 @@ _BUILDERS = {
     "path_state": ("trades", trade_bars.path_state),
     "run_state": ("trades", trade_bars.run_state),
     "mid_state": ("quotes", book_bars.mid_state),
+    "sketch_state": ("trades", sketches.sketch_state),
 }
 
 
