@@ -72,7 +72,10 @@ def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 def op9_repeated_strings(spark: SparkSession, folder: str) -> DataFrame:
     cut = repeats.remove_repeats(table(spark, folder, "documents"))
-    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    share = F.when(F.col("n_bytes") > 0, F.col("n_removed") / F.col("n_bytes")).otherwise(0.0)
+    return cut.select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", share.alias("removed_share")
+    )
 
 
 def op10_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:

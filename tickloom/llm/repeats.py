@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from .common import bit_map, parts, ship, stage
+from .common import parts, ship, stage
 
 LENGTH = 400
 GRAM = 32
@@ -125,15 +125,16 @@ def _texts(batch: pa.RecordBatch) -> list[bytes]:
 
 
 def _find(schema: pa.Schema):
-    """doc_id, mark, first, last, gram, h1, h2 of every segment."""
+    """doc_id, mark, first, last, off (anchor behind first), gram, h1, h2 of every segment."""
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in parts(batches):
             texts = _texts(batch)
-            rows: list[list] = [[] for _ in range(6)]
-            for k, first, last, _, gram in segments(texts):
+            rows: list[list] = [[] for _ in range(7)]
+            for k, first, last, anchor, gram in segments(texts):
                 h1, h2 = _digest(texts[k][first : last + LENGTH])
-                for column, x in zip(rows, (k, first, last, gram, h1, h2), strict=True):
+                row = (k, first, last, anchor - first, gram, h1, h2)
+                for column, x in zip(rows, row, strict=True):
                     column.append(x)
             row = pa.array(rows[0], pa.int64())
             yield pa.RecordBatch.from_arrays(
@@ -148,20 +149,18 @@ def _find(schema: pa.Schema):
     return apply
 
 
-def _fetch(bits: np.ndarray, schema: pa.Schema):
-    """key (the anchor's hash), h1, h2, off and raw of segments whose bit is set."""
+def _fetch(schema: pa.Schema):
+    """key (the anchor's hash), h1, h2, off and raw of the segments named next to each text."""
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in parts(batches):
-            texts, marks = _texts(batch), batch.column(2).to_pylist()
             rows: list[list] = [[] for _ in range(5)]
-            for k, first, last, anchor, gram in segments(texts):
-                raw = texts[k][first : last + LENGTH]
-                h1, h2 = _digest(raw)
-                place = (h1 ^ marks[k] ^ first) % (len(bits) * 8)
-                if bits[place >> 3] >> (place & 7) & 1:
-                    for column, x in zip(rows, (gram, h1, h2, anchor - first, raw), strict=True):
-                        column.append(x)
+            for text, wanted in zip(_texts(batch), batch.column(2).to_pylist(), strict=True):
+                for x in wanted:
+                    raw = text[x["first"] : x["last"] + LENGTH]
+                    row = (x["gram"], x["h1"], x["h2"], x["off"], raw)
+                    for column, value in zip(rows, row, strict=True):
+                        column.append(value)
             yield pa.RecordBatch.from_arrays(
                 [*(pa.array(x, pa.int64()) for x in rows[:4]), pa.array(rows[4], pa.binary())],
                 schema=schema,
@@ -347,7 +346,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     ship(docs.sparkSession)
     docs = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("mark"))
     id_field = docs.schema["doc_id"]
-    found = T.StructType([id_field, *_longs("mark", "first", "last", "gram", "h1", "h2")])
+    found = T.StructType([id_field, *_longs("mark", "first", "last", "off", "gram", "h1", "h2")])
     found = stage(docs.mapInArrow(_find(to_arrow_schema(found)), found), "segments")
     by_anchor = (
         found.groupBy("gram")
@@ -364,15 +363,26 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     kinds = (
         met.where("NOT copies")
         .groupBy("gram", "h1", "h2")
-        .agg(F.count("*").alias("n"), F.min(F.struct("mark", "first")).alias("one"))
+        .agg(
+            F.count("*").alias("n"),
+            F.min(F.struct("mark", "first", "last", "off", F.col("doc_id").alias("id"))).alias("one"),
+        )
     )
     kinds = stage(kinds, "kinds")
-    sample = F.col("one.mark").bitwiseXOR(F.col("one.first")).bitwiseXOR(F.col("h1"))
-    bits = bit_map(kinds.select(sample.alias("at")), "at")
+    # One place per kind, gathered per document: only these bytes move, at any size.
+    places = (
+        kinds.select("gram", "h1", "h2", "one.*")
+        .groupBy(F.col("mark").alias("at"), "id")
+        .agg(F.collect_list(F.struct("first", "last", "off", "gram", "h1", "h2")).alias("wanted"))
+    )
     raw = T.StructType([*_longs("key", "h1", "h2", "off"), T.StructField("raw", T.BinaryType())])
-    fetched = docs.mapInArrow(_fetch(bits, to_arrow_schema(raw)), raw)
-    names = kinds.select(F.col("gram").alias("key"), "h1", "h2")
-    fetched = fetched.join(names, ["key", "h1", "h2"]).groupBy("key", "h1", "h2")
+    fetched = (
+        docs.join(places, (docs["mark"] == places["at"]) & docs["doc_id"].eqNullSafe(places["id"]))
+        .select("doc_id", "text", "wanted")
+        .mapInArrow(_fetch(to_arrow_schema(raw)), raw)
+        .groupBy("key", "h1", "h2")
+    )
+    # Rows with equal ids and texts bring a kind several times.
     distinct = stage(fetched.agg(F.first("off").alias("off"), F.first("raw").alias("raw")), "distinct")
     partly = stage(_resolve(distinct), "partly")
     # copies repeat whole, whatever else they meet
@@ -383,10 +393,8 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     once = met.where("NOT copies").join(
         kinds.where("n = 1").select("gram", "h1", "h2"), ["gram", "h1", "h2"]
     )
-    offs = distinct.select(F.col("key").alias("gram"), "h1", "h2", "off")
     once = (
-        once.join(offs, ["gram", "h1", "h2"])
-        .join(partly, ["h1", "h2"])
+        once.join(partly, ["h1", "h2"])
         .select(
             "doc_id",
             "mark",
