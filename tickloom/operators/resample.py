@@ -136,7 +136,9 @@ def resample(bars: DataFrame, dataset: str, interval: str) -> DataFrame:
         )
         return finish(merged, *open_interest_columns())
     if dataset in FROM_STATES:
-        raise ValueError(f"{dataset!r} is merged from {FROM_STATES[dataset]}, not from bars")
+        raise ValueError(
+            f"{dataset!r} bars cannot be merged; make them from {FROM_STATES[dataset]}"
+        )
     raise ValueError(f"{dataset!r} cannot be merged; only {', '.join(MERGEABLE)}")
 
 
