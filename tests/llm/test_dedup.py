@@ -112,15 +112,15 @@ def test_repeated_strings(frame, rows, monkeypatch, hot):
     assert repeats.remove_repeats(frame([])).count() == 0
 
 
-def shingle_set(text):
+def shingle_set(text, width=3):
     words = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "").encode().split()
-    if len(words) < 3:
+    if len(words) < width:
         return {tuple(words)} if words else set()
-    return {tuple(words[k : k + 3]) for k in range(len(words) - 2)}
+    return {tuple(words[k : k + width]) for k in range(len(words) - width + 1)}
 
 
-@pytest.mark.parametrize("block", [1024, 4])
-def test_ngram_join(frame, rows, monkeypatch, block):
+@pytest.mark.parametrize(("block", "width", "share"), [(1024, 3, 90), (4, 3, 90), (4, 5, 80)])
+def test_ngram_join(frame, rows, monkeypatch, block, width, share):
     monkeypatch.setattr(ngram_join, "BLOCK", block)
     monkeypatch.setattr(ngram_join, "UNIT", 500)
     monkeypatch.setattr(ngram_join, "SETS", 10)
@@ -134,22 +134,26 @@ def test_ngram_join(frame, rows, monkeypatch, block):
         family.append((200 + k, " ".join(words), "a"))
     common = prose(10, 80, 10**6)
     shared = [(300 + k, f"{common} {prose(500 + k, 30, 10**6)}", "a") for k in range(12)]
-    every = rows + family + shared
-    found = ngram_join.join(frame(every)).collect()
-    sets = [shingle_set(t) for _, t, _ in every]
+    words = prose(11, 24, 10**6).split()
+    ties = [(400 + k, " ".join(words[:n]), "a") for k, n in enumerate((24, 22, 20, 18))]
+    every = rows + family + shared + ties
+    found = ngram_join.join(frame(every), width, share).collect()
+    sets = [shingle_set(t, width) for _, t, _ in every]
+    exact = [100 * len(s & t) == share * len(s | t) for s in sets[-4:] for t in sets[-4:]]
+    assert sum(exact) >= 2  # similarity right at the limit
     ids = [d for d, _, _ in every]
     links = [
         (ids[a], ids[b])
         for a in range(len(ids))
         for b in range(a)
         if ids[a] is not None and ids[b] is not None and sets[a] and sets[b]
-        and 100 * len(sets[a] & sets[b]) >= 90 * len(sets[a] | sets[b])
+        and 100 * len(sets[a] & sets[b]) >= share * len(sets[a] | sets[b])
     ]
     label = least_labels({d for d in ids if d is not None}, links)
     assert Counter((x.doc_id, x.n_shingles, x.component_id) for x in found) == Counter(
         (d, len(s), label.get(d)) for d, s in zip(ids, sets, strict=True)
     )
-    assert ngram_join.join(frame([])).count() == 0
+    assert ngram_join.join(frame([]), width, share).count() == 0
 
 
 def test_tree_loses_no_pair():
@@ -158,12 +162,12 @@ def test_tree_loses_no_pair():
     c = r.poisson(4, (n, ngram_join.GROUPS)).astype(np.int32)
     c[100:200] = c[:100] + (r.random((100, ngram_join.GROUPS)) < 0.03)
     sizes = c.sum(1)
-    x, y = ngram_join.surviving(*ngram_join.tree_pairs(np.arange(n), c, sizes), c, sizes)
+    x, y = ngram_join.surviving(*ngram_join.tree_pairs(np.arange(n), c, sizes, 90), c, sizes, 90)
     a, b = np.triu_indices(n, 1)
-    a, b = ngram_join.surviving(a, b, c, sizes)
+    a, b = ngram_join.surviving(a, b, c, sizes, 90)
     pairs = lambda p, q: {tuple(sorted(e)) for e in zip(p.tolist(), q.tolist(), strict=True)}
     assert pairs(x, y) == pairs(a, b) and len(a) >= 90
-    x, y = ngram_join.tree_pairs(np.arange(100), c, sizes, np.arange(100, n))
+    x, y = ngram_join.tree_pairs(np.arange(100), c, sizes, 90, np.arange(100, n))
     assert {(k, k + 100) for k in range(100)} & pairs(a, b) <= pairs(x, y)
 
 

@@ -31,6 +31,6 @@ def test_every_link_is_counted(frame, rows, monkeypatch, block):
         n = sum(bool(near(own, s)) for _, s in nodes)
         others = [s for _, s in nodes if s == own]
         expected[d, (n - 1 if others else None) if own else 0] += 1
-    found = Counter((x.doc_id, x.n_links) for x in ngram_join.join(frame(every)).collect())
+    found = Counter((x.doc_id, x.n_links) for x in ngram_join.join(frame(every), width=3, share=90).collect())
     assert found == expected
     assert max(n or 0 for _, n in found) > 5

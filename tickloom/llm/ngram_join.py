@@ -9,7 +9,7 @@ How the join is spread, with no pair lost:
 1. Equal sets are grouped first (a hot text is one row from here on).
 2. Shingles get one order everywhere: frequent ones last (a fixed-size table of counts over
    all documents says which), then by hash. Linked sets share a shingle within their first
-   n - ceil(0.9 n) + 1, so only documents that meet at such a shingle are compared.
+   n - ceil(share n / 100) + 1, so only documents that meet at such a shingle are compared.
 3. Documents at one shingle are points of an R-tree; pairs that survive its bounds join
    documents into families (components of a superset of the links). A shingle of more than
    ``BLOCK`` documents is compared block against block.
@@ -35,13 +35,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from .common import bit_map, map_place, parts, ship, stage
+from .common import parts, ship, stage
 from .components import components, least_ids
 
-#: Words of a shingle.
-WIDTH = 3
-#: Linked sets share at least SHARE in 100 of their union.
-SHARE = 90
+#: Words of a shingle, unless told otherwise.
+WIDTH = 5
+#: Linked sets share at least SHARE in 100 of their union, unless told otherwise.
+SHARE = 80
 GROUPS = 64
 LEAF = 32
 FINE = 8
@@ -115,15 +115,17 @@ def points(raw: list[bytes]) -> np.ndarray:
     return out
 
 
-def may_reach(shared: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> np.ndarray:
+def may_reach(shared: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, share: int) -> np.ndarray:
     """Whether sets of such sizes that share so many shingles are similar enough."""
-    return (100 + SHARE) * shared >= SHARE * (n_a + n_b)
+    return (100 + share) * shared >= share * (n_a + n_b)
 
 
 _TRIANGLES: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
-def tree_pairs(at: np.ndarray, c: np.ndarray, n: np.ndarray, second: np.ndarray | None = None):
+def tree_pairs(
+    at: np.ndarray, c: np.ndarray, n: np.ndarray, share: int, second: np.ndarray | None = None
+):
     """Pairs of rows in ``at`` (or one of ``at``, one of ``second``) that the leaves let through.
 
     Leaves of ``LEAF`` points in order of size and of their fullest group; two leaves are
@@ -148,9 +150,9 @@ def tree_pairs(at: np.ndarray, c: np.ndarray, n: np.ndarray, second: np.ndarray
     for k, part in enumerate(one[0]):
         low = k if second is None else 0
         bound = np.minimum(one[1][k], two[1][low:]).sum(1)
-        open_ = may_reach(bound, one[2][k], two[2][low:])
-        open_ &= 100 * one[3][k] >= SHARE * two[2][low:]
-        open_ &= 100 * two[3][low:] >= SHARE * one[2][k]
+        open_ = may_reach(bound, one[2][k], two[2][low:], share)
+        open_ &= 100 * one[3][k] >= share * two[2][low:]
+        open_ &= 100 * two[3][low:] >= share * one[2][k]
         for other in (np.flatnonzero(open_) + low).tolist():
             rows = two[0][other]
             x, y = np.repeat(part, len(rows)), np.tile(rows, len(part))
@@ -161,16 +163,16 @@ def tree_pairs(at: np.ndarray, c: np.ndarray, n: np.ndarray, second: np.ndarray
     return np.concatenate(a), np.concatenate(b)
 
 
-def surviving(a: np.ndarray, b: np.ndarray, c: np.ndarray, n: np.ndarray):
+def surviving(a: np.ndarray, b: np.ndarray, c: np.ndarray, n: np.ndarray, share: int):
     """Of pairs of rows, those whose points may reach the overlap."""
     low, high = np.minimum(n[a], n[b]), np.maximum(n[a], n[b])
-    near = 100 * low >= SHARE * high
+    near = 100 * low >= share * high
     a, b = a[near], b[near]
-    keep = [
-        may_reach(np.minimum(c[a[k : k + 50_000]], c[b[k : k + 50_000]]).sum(1), n[a[k : k + 50_000]], n[b[k : k + 50_000]])
-        for k in range(0, len(a), 50_000)
-    ]
-    keep = np.concatenate(keep) if keep else np.zeros(0, dtype=bool)
+    keep = [np.zeros(0, dtype=bool)]
+    for k in range(0, len(a), 50_000):
+        x, y = a[k : k + 50_000], b[k : k + 50_000]
+        keep.append(may_reach(np.minimum(c[x], c[y]).sum(1), n[x], n[y], share))
+    keep = np.concatenate(keep)
     return a[keep], b[keep]
 
 
@@ -196,7 +198,7 @@ def _labels(ids: np.ndarray, a: np.ndarray, b: np.ndarray) -> pd.DataFrame:
     return pd.DataFrame({"a": ids[moved], "b": least[moved]}).drop_duplicates()
 
 
-def _meet(group: pd.DataFrame) -> pd.DataFrame:
+def _meet(group: pd.DataFrame, share: int) -> pd.DataFrame:
     """Documents that met at a shingle, joined where the tree and their points allow it."""
     group = group.sort_values(["token", "left", "right", "rep"], ignore_index=True)
     c, n = points(group["point"].tolist()), group["n"].to_numpy()
@@ -205,14 +207,14 @@ def _meet(group: pd.DataFrame) -> pd.DataFrame:
     found = [np.zeros((0, 2), dtype=np.int64)]
 
     def settle() -> None:
-        x, y = surviving(np.concatenate(a), np.concatenate(b), c, n)
+        x, y = surviving(np.concatenate(a), np.concatenate(b), c, n, share)
         pairs = np.sort(np.stack([codes[x], codes[y]], 1), axis=1)
         found.append(np.unique(pairs, axis=0))
         a.clear()
         b.clear()
 
     for one, two in _runs(group, "token"):
-        x, y = tree_pairs(one, c, n, two)
+        x, y = tree_pairs(one, c, n, share, two)
         a.append(x)
         b.append(y)
         waiting += len(x)
@@ -225,7 +227,9 @@ def _meet(group: pd.DataFrame) -> pd.DataFrame:
     return _labels(ids, pairs[:, 0], pairs[:, 1])
 
 
-def _connect(group: pd.DataFrame, c: np.ndarray, n: np.ndarray, shared) -> pd.DataFrame:
+def _connect(
+    group: pd.DataFrame, c: np.ndarray, n: np.ndarray, shared: Callable, share: int
+) -> pd.DataFrame:
     """Joins rows of a family whose ``shared(a, b)`` reaches the overlap, if the tree lets them
     through and they aren't connected yet."""
     root = list(range(len(n)))
@@ -238,9 +242,9 @@ def _connect(group: pd.DataFrame, c: np.ndarray, n: np.ndarray, shared) -> pd.Da
 
     linked_a, linked_b = [], []
     for one, two in _runs(group, "family"):
-        x, y = surviving(*tree_pairs(one, c, n, two), c, n)
+        x, y = surviving(*tree_pairs(one, c, n, share, two), c, n, share)
         for a, b in zip(x.tolist(), y.tolist(), strict=True):
-            if (p := find(a)) != (q := find(b)) and may_reach(shared(a, b), n[a], n[b]):
+            if (p := find(a)) != (q := find(b)) and may_reach(shared(a, b), n[a], n[b], share):
                 root[max(p, q)] = min(p, q)
                 linked_a.append(a)
                 linked_b.append(b)
@@ -248,7 +252,7 @@ def _connect(group: pd.DataFrame, c: np.ndarray, n: np.ndarray, shared) -> pd.Da
     return _labels(group["rep"].to_numpy(), a, b)
 
 
-def _narrow(group: pd.DataFrame) -> pd.DataFrame:
+def _narrow(group: pd.DataFrame, share: int) -> pd.DataFrame:
     """Families by the bounds of finer points."""
     group = group.sort_values(["family", "left", "right", "rep"], ignore_index=True)
     fine = [unpack(r) for r in group["fine"]]
@@ -260,10 +264,10 @@ def _narrow(group: pd.DataFrame) -> pd.DataFrame:
         groups = min(len(f), len(g))
         return np.int64(np.minimum(fold(f, groups), fold(g, groups)).sum())
 
-    return _connect(group, c, n, shared)
+    return _connect(group, c, n, shared, share)
 
 
-def _verify(group: pd.DataFrame) -> pd.DataFrame:
+def _verify(group: pd.DataFrame, share: int) -> pd.DataFrame:
     """All links between different sets of a family: labels of ids, and links of each set."""
     where = ["family", "left", "right", "rep", "key"]
     group = group.drop_duplicates(where).sort_values(where, ignore_index=True)
@@ -276,7 +280,7 @@ def _verify(group: pd.DataFrame) -> pd.DataFrame:
     copies, links = group["copies"].to_numpy(), np.zeros(len(n), dtype=np.int64)
     linked = [np.zeros((2, 0), dtype=np.int64)]
     for one, two in _runs(group, "family"):
-        x, y = surviving(*tree_pairs(one, c, n, two), c, n)
+        x, y = surviving(*tree_pairs(one, c, n, share, two), c, n, share)
         order = np.argsort(x, kind="stable")
         x, y = x[order], y[order]
         edges = np.flatnonzero(np.diff(x, prepend=-1, append=-1)).tolist() if len(x) else []
@@ -287,7 +291,7 @@ def _verify(group: pd.DataFrame) -> pd.DataFrame:
             inside[codes[a]] = False
             starts = np.cumsum(n[others]) - n[others]
             shared = np.add.reduceat(hits, starts, dtype=np.int64)
-            b = others[may_reach(shared, n[a], n[others])]
+            b = others[may_reach(shared, n[a], n[others], share)]
             links[a] += copies[b].sum()
             links[b] += copies[a]
             linked.append(np.stack([np.full(len(b), a), b]))
@@ -299,12 +303,12 @@ def _verify(group: pd.DataFrame) -> pd.DataFrame:
     return out[["a", "b", "key", "links"]].astype({"a": "Int64", "b": "Int64", "links": "Int64"})
 
 
-def _count(schema: pa.Schema):
+def _count(width: int, schema: pa.Schema):
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(COUNTERS, dtype=np.int64)
         for batch in parts(batches):
             for text in batch.column(0).to_pylist():
-                places = (shingles(text) & np.uint64(COUNTERS - 1)).astype(np.int64)
+                places = (shingles(text, width) & np.uint64(COUNTERS - 1)).astype(np.int64)
                 np.add.at(counts, places, 1)
         at = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(counts[at])], schema=schema)
@@ -312,17 +316,17 @@ def _count(schema: pa.Schema):
     return apply
 
 
-def _describe(frequent: np.ndarray, schema: pa.Schema):
+def _describe(width: int, share: int, frequent: np.ndarray, schema: pa.Schema):
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in parts(batches):
             n, key, where, fine, prefix = [], [], [], [], []
             for text in batch.column(1).to_pylist():
-                s = shingles(text)
+                s = shingles(text, width)
                 n.append(len(s))
                 key.append(set_key(s))
                 where.append(point(s) if len(s) else None)
                 fine.append(fine_point(s) if len(s) else None)
-                first = len(s) - -(-SHARE * len(s) // 100) + 1 if len(s) else 0
+                first = len(s) - -(-share * len(s) // 100) + 1 if len(s) else 0
                 prefix.append(s[order_of(s, frequent)[:first]].view(np.int64))
             ends = np.cumsum([0, *map(len, prefix)])
             flat = np.concatenate(prefix) if prefix else np.zeros(0, dtype=np.int64)
@@ -341,17 +345,15 @@ def _describe(frequent: np.ndarray, schema: pa.Schema):
     return apply
 
 
-def _sets(bits: np.ndarray, schema: pa.Schema):
-    """Sets of the documents whose bit is set."""
+def _sets(width: int, schema: pa.Schema):
+    """Sets of documents."""
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in parts(batches):
-            place = batch.column(2).to_numpy()
-            rows = pa.array(np.flatnonzero(bits[place >> 3] >> (place & 7) & 1))
-            found = [shingles(t) for t in batch.column(1).take(rows).to_pylist()]
+            found = [shingles(t, width) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column(0).take(rows),
+                    batch.column(0),
                     pa.array([set_key(s) for s in found], pa.binary()),
                     pa.array([s.tobytes() for s in found], pa.binary()),
                 ],
@@ -388,11 +390,12 @@ def _spread(
     )
 
 
-def join(docs: DataFrame) -> DataFrame:
+def join(docs: DataFrame, width: int = WIDTH, share: int = SHARE) -> DataFrame:
     """doc_id, n_shingles, component_id and n_links for every row of ``docs`` (doc_id bigint, text).
 
+    Two documents link when their sets share ``share`` in 100 (1 to 100) of their union.
     Other columns are ignored. Words are lower-cased (A-Z); a set holds the distinct shingles
-    of ``WIDTH`` words, or the whole sequence of a shorter text. Texts without words (null
+    of ``width`` words, or the whole sequence of a shorter text. Texts without words (null
     too) have an empty set and link with nothing: their component is their own id. Rows with
     equal ids are one node; a row with a null id belongs to the component of the rows with
     an equal set, null if there is none. An empty table gives no rows.
@@ -411,7 +414,10 @@ def join(docs: DataFrame) -> DataFrame:
     def mapped(rows: DataFrame, function: Callable, out: T.StructType, *more) -> DataFrame:
         return rows.mapInArrow(function(*more, to_arrow_schema(out)), out)
 
-    counted = mapped(docs.select("text"), _count, schema(counter=long, n=long))
+    def sharing(function: Callable) -> Callable[[pd.DataFrame], pd.DataFrame]:
+        return lambda group: function(group, share)
+
+    counted = mapped(docs.select("text"), _count, schema(counter=long, n=long), width)
     counted = stage(counted.groupBy("counter").agg(F.sum("n").alias("n")), "counters")
     mean = (counted.agg(F.sum("n")).first()[0] or 0) / COUNTERS
     often = counted.where(F.col("n") > mean + max(64, 6 * mean**0.5)).select("counter").toPandas()
@@ -421,7 +427,7 @@ def join(docs: DataFrame) -> DataFrame:
     described = schema(
         doc_id=long, n=long, key=binary, point=binary, fine=binary, prefix=T.ArrayType(long)
     )
-    described = stage(mapped(docs, _describe, described, frequent), "shingles")
+    described = stage(mapped(docs, _describe, described, width, share, frequent), "shingles")
     sets = described.where("key is not null AND doc_id is not null").select("key", "doc_id")
     sets = sets.distinct().groupBy("key")
     sets = stage(sets.agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")), "sets")
@@ -435,7 +441,7 @@ def join(docs: DataFrame) -> DataFrame:
         _spread(meeting, "token", BLOCK, meeting.count() // UNIT)
         .join(reps.select("rep", "n", "point"), "rep")
         .groupBy("unit")
-        .applyInPandas(_meet, edge)
+        .applyInPandas(sharing(_meet), edge)
     )
 
     def families_of(edges: DataFrame, purpose: str) -> tuple[DataFrame, int, int]:
@@ -452,18 +458,17 @@ def join(docs: DataFrame) -> DataFrame:
         _spread(wide.drop("copies"), "family", BLOCK, total // SETS)
         .join(reps.select("rep", "key", "fine").distinct(), ["rep", "key"])
         .groupBy("unit")
-        .applyInPandas(_narrow, edge)
+        .applyInPandas(sharing(_narrow), edge)
     )
     families, total, weight = families_of(tight, "families")
     # Where each set goes is settled before any set is moved.
     units = max(total // SETS, weight // SET_SUM)
     places = stage(_spread(families, "family", BLOCK, units, "n").drop("n"), "places")
-    bits = bit_map(families.select(F.xxhash64("rep").alias("at")), "at")
-    wanted = docs.select("doc_id", "text", map_place(F.xxhash64("doc_id")).alias("place"))
+    members = families.select(F.col("rep").alias("doc_id"))
     found = schema(rep=long, key=binary, hashes=binary)
-    wanted = mapped(wanted.where("doc_id is not null"), _sets, found, bits)
+    wanted = mapped(docs.join(members, "doc_id", "left_semi"), _sets, found, width)
     verified = wanted.join(places, ["rep", "key"]).groupBy("unit")
-    verified = verified.applyInPandas(_verify, schema(a=long, b=long, key=binary, links=long))
+    verified = verified.applyInPandas(sharing(_verify), schema(a=long, b=long, key=binary, links=long))
     verified = stage(verified, "verified")
     found = components(verified.where("a is not null").select("a", "b"))
     counts = verified.where("key is not null").groupBy("key").agg(F.sum("links").alias("links"))

@@ -79,7 +79,7 @@ def op9_repeated_strings(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op10_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
-    joined = ngram_join.join(table(spark, folder, "documents"))
+    joined = ngram_join.join(table(spark, folder, "documents"), width=3, share=90)
     return joined.select("doc_id", "n_shingles", "component_id")
 
 
