@@ -1,7 +1,7 @@
 """Mixing sources to target weights by Efraimidis-Spirakis sampling.
 
-Every document gets the exponential key ``-ln(u) / quality`` (``u`` depends on its id
-alone). A source whose target is ``e`` times its size and a rest gives every document
+Every document gets the exponential key ``-ln(u) / quality`` (``u`` depends on its id and
+text alone). A source whose target is ``e`` times its size and a rest gives every document
 ``e`` times (the complete epochs) and then documents in key order until their running
 size is nearest to the rest. Built-in functions only.
 
@@ -13,7 +13,7 @@ at most ``BUCKETS`` rows per source, and only buckets are sorted.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -85,6 +85,7 @@ def mix(
     share: float = SHARE,
     most_epochs: int = MOST_EPOCHS,
     seed: str = "mix",
+    extra: Mapping[str, Column] | None = None,
 ) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text, source; other columns are ignored).
 
@@ -92,17 +93,24 @@ def mix(
     whole source is taken), copies (how often this document is) and taken (size x copies).
 
     Null text has size 0; null sources form a source of their own; a null doc_id is one
-    more id. Rows with equal ids share a key and stand in order of size: equal rows are
-    interchangeable. An empty table gives no rows. A source's taken words miss its target
+    more id. Keys depend on id and text, so rows of one id (null too) are spread like any
+    others; equal rows share a key and are interchangeable. No document is taken more than
+    ``most_epochs`` times. ``extra`` names expressions over ``docs`` to return as well. An empty table gives no rows. A source's taken words miss its target
     by at most half of the document at the cut.
     """
+    row = F.concat(
+        F.coalesce(F.col("doc_id").cast("string"), F.lit("")),
+        F.lit(" "),
+        F.coalesce(F.col("text"), F.lit("")),
+    )
     slim = stage(
         docs.select(
             "doc_id",
             "source",
             F.coalesce(F.concat(F.lit("="), "source"), F.lit("")).alias("name"),
             count_words(F.col("text")).alias("size"),
-            (-F.ln(uniform(F.col("doc_id"), seed)) / quality_weight(F.col("text"))).alias("key"),
+            (-F.ln(uniform(row, seed)) / quality_weight(F.col("text"))).alias("key"),
+            *[value.alias(name) for name, value in (extra or {}).items()],
         ),
         "mix",
     )
@@ -140,7 +148,8 @@ def mix(
         F.floor(F.try_divide(F.col("target"), F.col("source_size"))), F.lit(0)
     ).cast("int")
     rest = F.col("target") - F.col("epochs") * F.col("source_size")
-    chosen = (F.col("before") * 2 + F.col("size") <= F.col("rest") * 2).cast("int")
+    fits = F.col("before") * 2 + F.col("size") <= F.col("rest") * 2
+    chosen = (fits & (F.col("epochs") < most_epochs)).cast("int")
     return (
         slim.join(offsets, ["name", "bucket"])
         .withColumn("before", before)
@@ -156,6 +165,7 @@ def mix(
             "epochs",
             "copies",
             (F.col("size") * F.col("copies")).cast("long").alias("taken"),
+            *(extra or {}),
         )
     )
 
@@ -164,7 +174,8 @@ SQL = r"""
 WITH d AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
     len(regexp_extract_all(coalesce(text, ''), '[#*$%&|<>]')) AS symbols,
-    ('0x' || md5('mix' || coalesce(CAST(doc_id AS VARCHAR), ''))[1:13])::BIGINT AS bits
+    ('0x' || md5('mix' || coalesce(CAST(doc_id AS VARCHAR), '') || ' ' || coalesce(text, ''))[1:13])::BIGINT
+      AS bits
   FROM documents),
 k AS (
   SELECT doc_id, source, size::BIGINT AS size,
