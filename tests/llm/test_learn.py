@@ -57,6 +57,16 @@ def test_labels_of_held_out_rows_and_other_columns_do_not_matter(tables):
         assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0)
 
 
+def test_training_rows_are_bounded(spark):
+    docs = spark.createDataFrame([(1, f"text {k}") for k in range(500)] + [(2, "b"), (3, "c")], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(1, 1), (1, 0), (2, 1), (3, 1), (4, 1), (6, 0)], "doc_id bigint, y int")
+    kept = [d for d in (1, 2, 3) if zlib.crc32(str(d).encode()) % 5]
+    found = learn.training_rows(docs, labels, "y").collect()
+    expected = {1: ("text 0", 0.0), 2: ("b", 1.0), 3: ("c", 1.0)}
+    assert sorted(tuple(r) for r in found) == sorted(expected[d] for d in kept) and 1 in kept
+    assert learn.training_rows(docs, labels, "y", most=1).count() <= 1
+
+
 @pytest.mark.parametrize("model", [quality_model, toxicity])
 def test_edges(spark, frame, rows, model):
     name = "quality" if model is quality_model else "toxic"

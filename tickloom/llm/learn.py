@@ -27,16 +27,20 @@ def training_rows(
     """text and y of at most ``most`` labelled rows that are not held out.
 
     They are those with the smallest hash of their id; rows without a label, and labels
-    other than 0 and 1, don't count. The bound holds at every size of the input.
+    other than 0 and 1, don't count. An id counts once, with its least label and the least
+    of its texts. The bound holds at every size of the input, however often ids repeat.
     """
     chosen = (
         labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull())
         .where(fold(F.col("doc_id")) != 0)
-        .select("doc_id", F.col(label).cast("double").alias("y"))
-        .orderBy(F.xxhash64("doc_id"), "doc_id", "y")
+        .groupBy("doc_id")
+        .agg(F.min(F.col(label).cast("double")).alias("y"))
+        .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(most)
     )
-    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "y")
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    once = rows.groupBy("doc_id", "y").agg(F.min("text").alias("text"))
+    return once.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most).select("text", "y")
 
 
 def row_sums(values: np.ndarray, ends: np.ndarray) -> np.ndarray:
