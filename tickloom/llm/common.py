@@ -63,6 +63,14 @@ def parts(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.Re
             yield batch.slice(at, rows)
 
 
+def unused(docs: DataFrame, name: str) -> str:
+    """``name``, or what follows from it, such that ``docs`` has no such column."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name = f"{name}_"
+    return name
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body(value)`` with ``value`` computed once, however often the body names it."""
     return F.transform(F.array(value), body)[0]

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from .common import MAP_BITS, bit_map, parts, ship, stage
+from .common import MAP_BITS, bit_map, parts, ship, stage, unused
 
 SPAN = 2
 DIVISOR = 3
@@ -272,8 +272,10 @@ def repeated_windows(docs: DataFrame, size: int = 8) -> DataFrame:
     )
     place = F.struct("doc_id", "mark", "first")
     origins = found.groupBy("one", "two").agg(F.count("*").alias("n"), F.min(place).alias("origin"))
+    # Written first: a join of two plain tables is one that Spark can split at a hot key.
+    origins = stage(origins.where("n > 1").drop("n"), "origins")
     return (
-        found.join(origins.where("n > 1").drop("n"), ["one", "two"])
+        found.join(origins, ["one", "two"])
         .where(~place.eqNullSafe(F.col("origin")))
         .select("doc_id", "mark", "first")
     )
@@ -302,45 +304,47 @@ def _cut(schema: pa.Schema, at: int):
     return apply
 
 
-def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    """``docs`` without the spans (doc_id, mark, first, lines), then n_lines and n_removed."""
+def _without(docs: DataFrame, gone: DataFrame, names: tuple[str, str]) -> DataFrame:
+    """``docs`` without the spans (doc_id, mark, first, lines), then their two numbers of lines."""
+    of_id, of_text, spans_of = (unused(docs, x) for x in ("of_id", "of_text", "spans"))
     spans = (
         gone.dropDuplicates(["doc_id", "mark", "first"])
-        .groupBy(F.col("doc_id").alias("__id"), F.col("mark").alias("__of"))
-        .agg(F.collect_list(F.struct("first", "lines")).alias("__gone"))
+        .groupBy(F.col("doc_id").alias(of_id), F.col("mark").alias(of_text))
+        .agg(F.collect_list(F.struct("first", "lines")).alias(spans_of))
     )
     out = T.StructType(
         [
             *docs.schema.fields,
-            T.StructField("n_lines", T.LongType()),
-            T.StructField("n_removed", T.LongType()),
+            *[T.StructField(name, T.LongType()) for name in names],
         ]
     )
     at = docs.schema.names.index("text")
-    marked = docs.withColumn("__mark", F.xxhash64("text"))
-    of_row = marked["doc_id"].eqNullSafe(F.col("__id")) & (F.col("__mark") == F.col("__of"))
+    of_row = docs["doc_id"].eqNullSafe(F.col(of_id)) & (F.xxhash64("text") == F.col(of_text))
     return (
-        marked.join(spans, of_row, "left")
-        .drop("__mark", "__id", "__of")
+        docs.join(spans, of_row, "left")
+        .drop(of_id, of_text)
         .mapInArrow(_cut(to_arrow_schema(out), at), out)
     )
 
 
-def dedup_lines(docs: DataFrame) -> DataFrame:
+NAMES = ("n_lines", "n_removed")
+
+
+def dedup_lines(docs: DataFrame, names: tuple[str, str] = NAMES) -> DataFrame:
     """All columns of ``docs`` with repeated chunks cut from ``text``, then n_lines, n_removed.
 
     Needs doc_id and text. A null text stays null and an empty one empty, with 0 lines. The
     first occurrence stays (in order of doc_id, a hash of the text, line). Rows equal in doc_id
     (null too) and text count as one document and keep or lose the same chunks; rows of one id
-    with different texts are documents of their own. Columns of ``docs`` named n_lines or
-    n_removed are replaced. An empty table gives no rows.
+    with different texts are documents of their own. The two counts have the
+    names ``names``; columns of ``docs`` so named are replaced. An empty table gives no rows.
     """
-    docs = docs.drop("n_lines", "n_removed")
-    return _without(docs, repeated_chunks(docs))
+    docs = docs.drop(*names)
+    return _without(docs, repeated_chunks(docs), names)
 
 
-def dedup_runs(docs: DataFrame, size: int = 8) -> DataFrame:
+def dedup_runs(docs: DataFrame, size: int = 8, names: tuple[str, str] = NAMES) -> DataFrame:
     """As ``dedup_lines``, but every line of each run of two or more lines that stands before
     goes, wherever chunks end: all later occurrences of passages, whatever their length."""
-    docs = docs.drop("n_lines", "n_removed")
-    return _without(docs, repeated_windows(docs, size).withColumn("lines", F.lit(2)))
+    docs = docs.drop(*names)
+    return _without(docs, repeated_windows(docs, size).withColumn("lines", F.lit(2)), names)
