@@ -123,6 +123,7 @@ def shingle_set(text, width=3):
 def test_ngram_join(frame, rows, monkeypatch, block, width, share):
     monkeypatch.setattr(ngram_join, "BLOCK", block)
     monkeypatch.setattr(ngram_join, "UNIT", 500)
+    monkeypatch.setattr(ngram_join, "WAITING", block)
     monkeypatch.setattr(ngram_join, "SETS", 10)
     base = prose(9, 200, 10**6).split()
     r = random.Random(9)

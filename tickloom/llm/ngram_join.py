@@ -48,6 +48,8 @@ FINE = 8
 BLOCK = 1024
 #: Rows that a task of the comparison gets, about: (shingle, document), and sets.
 UNIT, SETS = 10_000, 1000
+#: Pairs that a task holds before it keeps only what they connect.
+WAITING = 1 << 18
 #: Shingles that the sets of a block hold together, about: 8 bytes each.
 SET_SUM = 1 << 21
 #: Counters of the table of shingle frequencies.
@@ -198,33 +200,36 @@ def _labels(ids: np.ndarray, a: np.ndarray, b: np.ndarray) -> pd.DataFrame:
     return pd.DataFrame({"a": ids[moved], "b": least[moved]}).drop_duplicates()
 
 
+def _forest(n: int, links: list[np.ndarray]) -> list[np.ndarray]:
+    """One array of links that connect the same of ``n`` rows: fewer than ``n``."""
+    a, b = np.concatenate(links, axis=1)
+    rows = np.arange(n)
+    least = least_ids(rows, a, b)
+    moved = np.flatnonzero(least != rows)
+    return [np.stack([moved, least[moved]])]
+
+
 def _meet(group: pd.DataFrame, share: int) -> pd.DataFrame:
     """Documents that met at a shingle, joined where the tree and their points allow it."""
     group = group.sort_values(["token", "left", "right", "rep"], ignore_index=True)
     c, n = points(group["point"].tolist()), group["n"].to_numpy()
     ids, codes = np.unique(group["rep"].to_numpy(), return_inverse=True)
-    a, b, waiting = [], [], 0
-    found = [np.zeros((0, 2), dtype=np.int64)]
+    linked, pairs, waiting = [np.zeros((2, 0), dtype=np.int64)], [], 0
 
-    def settle() -> None:
-        x, y = surviving(np.concatenate(a), np.concatenate(b), c, n, share)
-        pairs = np.sort(np.stack([codes[x], codes[y]], 1), axis=1)
-        found.append(np.unique(pairs, axis=0))
-        a.clear()
-        b.clear()
+    def settle() -> list[np.ndarray]:
+        x, y = surviving(*np.concatenate(pairs, axis=1), c, n, share)
+        pairs.clear()
+        return _forest(len(ids), [*linked, np.stack([codes[x], codes[y]])])
 
     for one, two in _runs(group, "token"):
-        x, y = tree_pairs(one, c, n, share, two)
-        a.append(x)
-        b.append(y)
-        waiting += len(x)
-        if waiting > 1_000_000:
-            settle()
-            waiting = 0
-    if a:
-        settle()
-    pairs = np.concatenate(found)
-    return _labels(ids, pairs[:, 0], pairs[:, 1])
+        pairs.append(np.stack(tree_pairs(one, c, n, share, two)))
+        waiting += pairs[-1].shape[1]
+        if waiting > WAITING:
+            linked, waiting = settle(), 0
+    if pairs:
+        linked = settle()
+    a, b = np.concatenate(linked, axis=1)
+    return _labels(ids, a, b)
 
 
 def _connect(
@@ -243,11 +248,12 @@ def _connect(
     linked_a, linked_b = [], []
     for one, two in _runs(group, "family"):
         x, y = surviving(*tree_pairs(one, c, n, share, two), c, n, share)
-        for a, b in zip(x.tolist(), y.tolist(), strict=True):
-            if (p := find(a)) != (q := find(b)) and may_reach(shared(a, b), n[a], n[b], share):
-                root[max(p, q)] = min(p, q)
-                linked_a.append(a)
-                linked_b.append(b)
+        for k in range(0, len(x), 10_000):
+            for a, b in zip(x[k : k + 10_000].tolist(), y[k : k + 10_000].tolist(), strict=True):
+                if (p := find(a)) != (q := find(b)) and may_reach(shared(a, b), n[a], n[b], share):
+                    root[max(p, q)] = min(p, q)
+                    linked_a.append(a)
+                    linked_b.append(b)
     a, b = np.array(linked_a, dtype=np.int64), np.array(linked_b, dtype=np.int64)
     return _labels(group["rep"].to_numpy(), a, b)
 
@@ -278,7 +284,7 @@ def _verify(group: pd.DataFrame, share: int) -> pd.DataFrame:
     codes = np.split(codes, np.cumsum(n)[:-1])
     inside = np.zeros(len(values), dtype=bool)
     copies, links = group["copies"].to_numpy(), np.zeros(len(n), dtype=np.int64)
-    linked = [np.zeros((2, 0), dtype=np.int64)]
+    linked, waiting = [np.zeros((2, 0), dtype=np.int64)], 0
     for one, two in _runs(group, "family"):
         x, y = surviving(*tree_pairs(one, c, n, share, two), c, n, share)
         order = np.argsort(x, kind="stable")
@@ -295,6 +301,9 @@ def _verify(group: pd.DataFrame, share: int) -> pd.DataFrame:
             links[a] += copies[b].sum()
             links[b] += copies[a]
             linked.append(np.stack([np.full(len(b), a), b]))
+            waiting += len(b)
+            if waiting > WAITING:
+                linked, waiting = _forest(len(n), linked), 0
     a, b = np.concatenate(linked, axis=1)
     labels = _labels(group["rep"].to_numpy(), a, b)
     some = np.flatnonzero(links)
