@@ -1,8 +1,9 @@
-"""Line dedup beyond plain documents: rows that share an id, and runs found without chunks()."""
+"""Line dedup beyond plain documents: rows that share an id, boundaries, and runs without hashes."""
 
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from tickloom.llm import lines
@@ -53,11 +54,66 @@ def test_runs_of_any_length_go(frame, size):
             parts += [passage(10**7 + 100 * (10 * doc + n), 3), r.choice(runs[n])]
         docs.append((doc, "\n".join(parts), "a"))
     docs += [(50, docs[10][1], "a"), (51, "x\nx\nx\nx", "a")]
-    found = Counter((x.doc_id, x.text, x.n_removed) for x in lines.dedup_runs(frame(docs), size).collect())
+    found = Counter((x.doc_id, x.text, x.n_removed) for x in lines.dedup_lines(frame(docs), size).collect())
     assert found == without_runs(docs)
     cut = {doc: n for doc, _, n in found}
     assert cut[50] == docs[10][1].count("\n") + 1 and sum(cut.values()) > 100
-    assert lines.dedup_runs(frame([])).count() == 0
+    assert lines.dedup_lines(frame([])).count() == 0
+
+
+def hashed(raw):
+    return np.array([lines._hash(x.encode()) for x in raw], dtype=np.uint64)
+
+
+def chunks_of(raw, rules):
+    first, last = lines.chunks(hashed(raw), np.zeros(len(raw), np.int64), rules)
+    return list(zip(first.tolist(), last.tolist()))
+
+
+def test_boundaries_resist_shifts():
+    base = [f"line {k}" for k in range(200)]
+    moved = ["new", *base[:100], "other", *base[100:]]
+    for rules in range(1, 5):
+        one, two = ({tuple(x[a : b + 1]) for a, b in chunks_of(x, rules)} for x in (base, moved))
+        broken = {c for c in one if base[99] in c and base[100] in c}
+        assert one - two == broken and one
+    assert {(k, k + 1) for k in range(199)} <= set(chunks_of(base, 4))
+    assert max(b - a for a, b in chunks_of(base, 4)) > 2
+    two = [*base[:3], *base[:3]]  # of two texts: no chunk over their border
+    first, last = lines.chunks(hashed(two), np.array([0, 0, 0, 1, 1, 1]))
+    assert all((a < 3) == (b < 3) for a, b in zip(first.tolist(), last.tolist()))
+    assert [len(x) for x in lines.chunks(hashed([]), np.zeros(0, np.int64))] == [0, 0]
+
+
+@pytest.mark.parametrize("rules", [1, 2])
+def test_fewer_rules_extend_what_they_find(frame, rules):
+    r = random.Random(5)
+    runs = [[f"r{k} {i}" for i in range(2 + k % 7)] for k in range(30)]
+    docs = []
+    for doc in range(40):
+        raw = []
+        for k in r.sample(range(30), 4):
+            at = r.randrange(len(runs[k]) - 1)
+            raw += [f"own {doc} {k}", *runs[k][at:]]
+        docs.append((doc, "\n".join(raw), "a"))
+    seen, expected = set(), {}
+    for doc, text, _ in docs:
+        raw, gone = text.split("\n"), set()
+        at = chunks_of(raw, rules)
+        windows = [(a, b) for a in range(len(raw)) for b in range(a + 1, len(raw))]
+        for a, b in windows:
+            if tuple(raw[a : b + 1]) in seen and any(a <= x and y <= b for x, y in at):
+                gone |= set(range(a, b + 1))
+        seen |= {tuple(raw[a : b + 1]) for a, b in windows}
+        expected[doc] = "\n".join(x for k, x in enumerate(raw) if k not in gone)
+    found = {x.doc_id: x.text for x in lines.dedup_lines(frame(docs), rules=rules).collect()}
+    assert found == expected and sum(t != expected[d] for d, t, _ in docs) > 20
+
+
+def test_long_text_of_equal_lines(frame):
+    text = "\n".join(["same"] * 20_000 + ["other", "end"])
+    found = {x.doc_id: x.n_removed for x in lines.dedup_lines(frame([(1, text, "a"), (2, text, "a")])).collect()}
+    assert found == {1: 19_999, 2: 20_002}
 
 
 def test_op4_cuts_short_runs(spark, tmp_path):

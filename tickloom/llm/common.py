@@ -8,7 +8,6 @@ import zipfile
 from collections.abc import Callable, Iterator
 from pathlib import Path
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -94,31 +93,3 @@ def uniform(key: Column, salt: str = "") -> Column:
     digest = F.md5(F.concat(F.lit(salt), F.coalesce(key.cast("string"), F.lit(""))))
     bits = F.conv(F.substring(digest, 1, 13), 16, 10).cast("double")
     return (bits + 0.5) / F.lit(float(2**52))
-
-
-#: Bits of a map that says which keys are wanted; its size never depends on the input.
-MAP_BITS = 1 << 23
-
-
-def map_place(key: Column) -> Column:
-    """Place of a 64-bit key in a bit map."""
-    return F.pmod(key, F.lit(MAP_BITS)).cast("int")
-
-
-def bit_map(keys: DataFrame, key: str) -> np.ndarray:
-    """A map of ``MAP_BITS`` bits, as bytes, with the places of all keys set.
-
-    At most ``MAP_BITS`` / 32 rows reach the driver. Other keys may share a place: the map
-    saves work, what it lets through is checked.
-    """
-    words = (
-        keys.select(map_place(F.col(key)).alias("place"))
-        .groupBy((F.col("place") / 32).cast("int").alias("word"))
-        .agg(F.bit_or(F.expr("shiftleft(1L, place % 32)")).alias("mask"))
-        .toPandas()
-    )
-    bits = np.zeros(MAP_BITS // 8, dtype=np.uint8)
-    bits.view("<u4")[words["word"].to_numpy(dtype=np.int64)] = words["mask"].to_numpy(
-        dtype=np.int64
-    )
-    return bits
