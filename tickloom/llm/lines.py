@@ -296,3 +296,29 @@ def dedup_lines(
     out = T.StructType([*docs.schema.fields, *[T.StructField(x, T.LongType()) for x in names]])
     at = docs.schema.names.index("text")
     return marked.mapInArrow(_cut(to_arrow_schema(out), at), out)
+
+
+#: The same rows for a table whose doc_ids differ: neighbouring lines looked up in all before.
+SQL = """
+WITH texts AS (
+    SELECT doc_id, text, string_split(text, chr(10)) AS raw FROM documents WHERE text <> ''
+), split AS (
+    SELECT doc_id, unnest(raw) AS line, generate_subscripts(raw, 1) AS k FROM texts
+), pairs AS (
+    SELECT *, lead(line) OVER (PARTITION BY doc_id ORDER BY k) AS next FROM split
+), found AS (
+    SELECT *, next IS NOT NULL
+        AND row_number() OVER (PARTITION BY line, next ORDER BY doc_id NULLS FIRST, k) > 1 AS again
+    FROM pairs
+), marked AS (
+    SELECT *, again OR coalesce(lag(again) OVER (PARTITION BY doc_id ORDER BY k), false) AS gone
+    FROM found
+), cut AS (
+    SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_removed,
+        string_agg(line, chr(10) ORDER BY k) FILTER (WHERE NOT gone) AS kept
+    FROM marked GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(c.n_lines, 0) AS n_lines, coalesce(c.n_removed, 0) AS n_removed,
+    sha256(CASE WHEN c.n_removed > 0 THEN coalesce(c.kept, '') ELSE d.text END) AS kept_sha256
+FROM documents d LEFT JOIN cut c ON d.doc_id IS NOT DISTINCT FROM c.doc_id
+"""

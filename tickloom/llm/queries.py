@@ -129,6 +129,7 @@ def sql_texts() -> dict[str, str]:
     return {
         "op1_mixing": mixing.SQL,
         "op2_quality_rules": quality.SQL,
+        "op4_line_dedup": lines.SQL,
         "op5_license_scan": licenses.SQL,
         "op11_conversation_repair": turns.SQL,
         "op12_warc": warc.SQL,
