@@ -52,6 +52,8 @@ UNIT, SETS = 10_000, 1000
 WAITING = 1 << 18
 #: Shingles that the sets of a block hold together, about: 8 bytes each.
 SET_SUM = 1 << 21
+#: Shingles that families dealt to one unit hold together, on average: a unit may get several.
+UNIT_SUM = 1 << 18
 #: Counters of the table of shingle frequencies.
 COUNTERS = 1 << 18
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
@@ -280,18 +282,22 @@ def _verify(group: pd.DataFrame, share: int) -> pd.DataFrame:
     sets = [np.frombuffer(r, dtype=np.uint64) for r in group["hashes"]]
     n = np.array([len(s) for s in sets])
     c = points([point(s) for s in sets])
-    values, codes = np.unique(np.concatenate(sets), return_inverse=True)
-    codes = np.split(codes, np.cumsum(n)[:-1])
-    inside = np.zeros(len(values), dtype=bool)
     copies, links = group["copies"].to_numpy(), np.zeros(len(n), dtype=np.int64)
     linked, waiting = [np.zeros((2, 0), dtype=np.int64)], 0
     for one, two in _runs(group, "family"):
         x, y = surviving(*tree_pairs(one, c, n, share, two), c, n, share)
         order = np.argsort(x, kind="stable")
         x, y = x[order], y[order]
-        edges = np.flatnonzero(np.diff(x, prepend=-1, append=-1)).tolist() if len(x) else []
+        rows = np.union1d(x, y)
+        if not len(rows):
+            continue
+        values, codes = np.unique(np.concatenate([sets[k] for k in rows.tolist()]), return_inverse=True)
+        codes = np.split(codes.astype(np.int32), np.cumsum(n[rows])[:-1])
+        codes = dict(zip(rows.tolist(), codes, strict=True))
+        inside = np.zeros(len(values), dtype=bool)
+        edges = np.flatnonzero(np.diff(x, prepend=-1, append=-1)).tolist()
         for at, end in zip(edges, edges[1:], strict=False):
-            a, others = x[at], y[at:end]
+            a, others = int(x[at]), y[at:end]
             inside[codes[a]] = True
             hits = inside[np.concatenate([codes[b] for b in others.tolist()])]
             inside[codes[a]] = False
@@ -471,7 +477,7 @@ def join(docs: DataFrame, width: int = WIDTH, share: int = SHARE) -> DataFrame:
     )
     families, total, weight = families_of(tight, "families")
     # Where each set goes is settled before any set is moved.
-    units = max(total // SETS, weight // SET_SUM)
+    units = max(total // SETS, weight // UNIT_SUM)
     places = stage(_spread(families, "family", BLOCK, units, "n").drop("n"), "places")
     members = families.select(F.col("rep").alias("doc_id"))
     found = schema(rep=long, key=binary, hashes=binary)
