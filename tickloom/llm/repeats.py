@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from . import passages
 from .common import parts, ship, stage
 
 LENGTH = 400
@@ -305,9 +306,9 @@ def _resolve(distinct: DataFrame, level: int = 0) -> DataFrame:
 def _remove(schema: pa.Schema):
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in parts(batches):
-            texts, gone = _texts(batch), batch.column(2).to_pylist()
-            rows: list[list] = [[] for _ in range(5)]
-            for text, spans in zip(texts, gone, strict=True):
+            texts, gone, shared = _texts(batch), *(batch.column(k).to_pylist() for k in (2, 3))
+            rows: list[list] = [[] for _ in range(6)]
+            for text, spans, segments in zip(texts, gone, shared, strict=True):
                 kept, removed, at, runs = [], 0, 0, []
                 for span in sorted((s["first"], s["last"] + LENGTH) for s in spans or []):
                     if runs and span[0] <= runs[-1][1]:
@@ -319,7 +320,8 @@ def _remove(schema: pa.Schema):
                     removed += end - first
                     at = end
                 kept = b"".join([*kept, text[at:]])
-                values = (len(text), removed, len(runs), hashlib.sha256(kept).hexdigest(), kept)
+                digest, words = hashlib.sha256(kept).hexdigest(), passages.covered(segments or [])
+                values = (len(text), removed, len(runs), digest, kept, words)
                 for column, x in zip(rows, values, strict=True):
                     column.append(x)
             yield pa.RecordBatch.from_arrays(
@@ -328,6 +330,7 @@ def _remove(schema: pa.Schema):
                     *(pa.array(x, pa.int64()) for x in rows[:3]),
                     pa.array(rows[3], pa.string()),
                     pa.array(rows[4], pa.binary()),
+                    pa.array(rows[5], pa.int64()),
                 ],
                 schema=schema,
             )
@@ -336,16 +339,21 @@ def _remove(schema: pa.Schema):
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and kept (bytes) of every row.
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept (bytes) and n_shared_words of every row.
 
     Needs doc_id and text; other columns are ignored. A null text is empty, a text shorter
     than ``LENGTH`` stays whole. Every row is a document of its own: rows with equal or null
     ids, and equal rows, repeat one another's strings. Cutting may split a character, so what
     is kept are bytes. An empty table gives no rows.
+
+    ``n_shared_words`` counts the words of the text in passages of over 50 words that another row
+    holds too, word for word, whatever their bytes; they are told, not removed.
     """
     ship(docs.sparkSession)
     docs = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("mark"))
     id_field = docs.schema["doc_id"]
+    # First, so that its shuffles are gone when those of the texts come.
+    shared = passages.shared(docs)
     found = T.StructType([id_field, *_longs("mark", "first", "last", "off", "gram", "h1", "h2")])
     found = stage(docs.mapInArrow(_find(to_arrow_schema(found)), found), "segments")
     by_anchor = (
@@ -407,8 +415,12 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
         copies.unionByName(whole)
         .unionByName(once)
         .distinct()
+        .unionByName(shared, allowMissingColumns=True)
         .groupBy("mark", F.col("doc_id").alias("id"))
-        .agg(F.collect_list(F.struct("first", "last")).alias("gone"))
+        .agg(
+            F.collect_list(F.when(F.col("mask").isNull(), F.struct("first", "last"))).alias("gone"),
+            F.collect_list(F.when(F.col("mask").isNotNull(), F.struct("first", "mask"))).alias("shared"),
+        )
     )
     out = T.StructType(
         [
@@ -416,9 +428,10 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
             *_longs("n_bytes", "n_removed", "n_spans"),
             T.StructField("kept_sha256", T.StringType()),
             T.StructField("kept", T.BinaryType()),
+            *_longs("n_shared_words"),
         ]
     )
     cut = docs.join(
         gone, (docs["mark"] == gone["mark"]) & docs["doc_id"].eqNullSafe(gone["id"]), "left"
-    ).select("doc_id", "text", "gone")
+    ).select("doc_id", "text", "gone", "shared")
     return cut.mapInArrow(_remove(to_arrow_schema(out)), out)
