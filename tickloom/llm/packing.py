@@ -15,15 +15,17 @@ none is tried again only with bins that changed since. At most one bin a group i
 from __future__ import annotations
 
 import functools
+import re
 import zlib
 from array import array
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import chain
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,10 +34,15 @@ from .common import parts, ship, stage
 
 CAPACITY = 2048
 GROUP = 8192
-#: Words of which a worker keeps the ids; the first ones it meets hold the frequent ones.
+#: Words, and pieces of words, of which a worker keeps the ids; the first ones it meets hold
+#: the frequent ones.
 CACHED_WORDS = 800_000
 #: Texts tokenised together.
 AT_ONCE = 1000
+#: What the tokenizer's pre-tokenizer makes of a lower-cased word of visible ASCII characters.
+PIECE = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
+#: Words that aren't cut here: other characters, and what might be a special token.
+WHOLE = re.compile(rb"[^\x21-\x7E]|<\|")
 
 
 def vocabulary_path() -> str:
@@ -46,34 +53,72 @@ def vocabulary_path() -> str:
 
 @functools.lru_cache(1)
 def _encoder(path: str):
-    """Tokenizer and the ids of words seen so far, kept while the worker lives."""
+    """Tokenizer and the ids of words and of pieces seen so far, kept while the worker lives."""
     import os
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
-    return Tokenizer.from_file(path), {}
+    return Tokenizer.from_file(path), {}, {}
 
 
-def encode(texts: list[str | None], path: str) -> list[bytes]:
+def _lookup(keys: list[bytes], known: dict[bytes, bytes], find: Callable) -> list[bytes]:
+    """What is known of distinct keys; ``find`` is asked for the others, all at once."""
+    found = [known.get(k) for k in keys]
+    at = [i for i, ids in enumerate(found) if ids is None]
+    new = [keys[i] for i in at]
+    fresh = find(new) if new else []
+    for i, ids in zip(at, fresh, strict=True):
+        found[i] = ids
+    if len(known) < CACHED_WORDS:
+        known.update(zip(new, fresh, strict=True))
+    return found
+
+
+def _word_ids(words: list[bytes], path: str) -> list[bytes]:
+    """Ids of distinct words.
+
+    The tokenizer's merges stay inside a piece of its pre-tokenizer, so the ids of a word are
+    those of its pieces in a row, and far fewer pieces than words differ.
+    """
+    tokenizer, known, known_pieces = _encoder(path)
+
+    def tokenise(new: list[bytes]) -> list[bytes]:
+        encoded = tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
+        return [array("I", e.ids).tobytes() for e in encoded]
+
+    def by_pieces(new: list[bytes]) -> list[bytes]:
+        cut = [[w] if WHOLE.search(w) else PIECE.findall(w.lower()) for w in new]
+        pieces = list(dict.fromkeys(chain.from_iterable(cut)))
+        ids = dict(zip(pieces, _lookup(pieces, known_pieces, tokenise), strict=True))
+        return [b"".join(map(ids.__getitem__, c)) for c in cut]
+
+    return _lookup(words, known, by_pieces)
+
+
+def encode(texts: list[str | None] | pa.Array, path: str) -> list[bytes]:
     """Ids of each text as little-endian unsigned 32-bit numbers, without special tokens.
 
     The tokenizer never joins across white space, so the ids of a text are those of its
-    words in a row, and most words were met before.
+    words in a row, and most words were met before. Arrow splits the texts and numbers the
+    distinct words; ids are then gathered by these numbers.
     """
-    tokenizer, known = _encoder(path)
+    texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
     out = []
     for k in range(0, len(texts), AT_ONCE):
-        split = [t.encode().split() if t else [] for t in texts[k : k + AT_ONCE]]
-        here: dict[bytes, bytes | None] = dict.fromkeys(chain.from_iterable(split))
-        here = {w: known.get(w) for w in here}
-        new = [w for w, ids in here.items() if ids is None]
-        encoded = tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
-        fresh = {w: array("I", e.ids).tobytes() for w, e in zip(new, encoded, strict=True)}
-        here |= fresh
-        if len(known) < CACHED_WORDS:
-            known.update(fresh)
-        out += [b"".join(map(here.__getitem__, words)) for words in split]
+        split = pc.ascii_split_whitespace(pc.fill_null(texts[k : k + AT_ONCE], ""))
+        words = split.flatten().dictionary_encode()
+        known = words.dictionary.cast(pa.binary()).to_numpy(zero_copy_only=False).tolist()
+        known = _word_ids(known, path)
+        ids = np.frombuffer(b"".join(known), dtype="<u4")
+        length = np.fromiter(map(len, known), np.int64, len(known)) // 4
+        start = np.cumsum(length) - length
+        at = words.indices.to_numpy()
+        start, length = start[at], length[at]
+        ends = np.concatenate([[0], np.cumsum(length)])
+        ids = ids[np.repeat(start - ends[:-1], length) + np.arange(ends[-1])].tobytes()
+        edges = (4 * ends[np.cumsum([0, *pc.list_value_length(split).to_pylist()])]).tolist()
+        out += [ids[a:b] for a, b in zip(edges, edges[1:], strict=False)]
     return out
 
 
@@ -81,7 +126,7 @@ def _pieces(path: str, capacity: int, schema: pa.Schema):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in parts(batches, AT_ONCE):
             row, piece, start, length, crc = [], [], [], [], []
-            for i, ids in enumerate(encode(batch.column(1).to_pylist(), path)):
+            for i, ids in enumerate(encode(batch.column(1), path)):
                 ids += b"\0\0\0\0"
                 for k, at in enumerate(range(0, len(ids), capacity * 4)):
                     part = ids[at : at + capacity * 4]
