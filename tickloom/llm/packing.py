@@ -79,7 +79,7 @@ def _word_ids(words: list[bytes], path: str) -> list[bytes]:
     """Ids of distinct words.
 
     The tokenizer's merges stay inside a piece of its pre-tokenizer, so the ids of a word are
-    those of its pieces in a row, and far fewer pieces than words differ.
+    those of its pieces in a row, and fewer pieces than words differ.
     """
     tokenizer, known, known_pieces = _encoder(path)
 
